@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from regfacts.session import spread, tune
 
 # orders per chunk of a file: a chunk holds the lines of so many orders
-ORDERS_PER_CHUNK = 20_000
+ORDERS_PER_CHUNK = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -92,7 +92,7 @@ def normalize_code(c: ColumnOrName, variant: str = "silver", strip: bool = True)
         return (
             F.when(text.rlike(r"^\d{4}$"), text)
             .when(text.rlike(r"^\d+(\.0+)?$"), _pad4(digits))
-            .when((text != "") & (F.lower(text) != "nan"), text)
+            .when(~F.lower(text).isin("", "nan"), text)
         )
     if variant == "norm":
         return F.when(text.rlike(r"^\d+(\.0)?$"), _pad4(F.substring_index(text, ".", 1))).when(

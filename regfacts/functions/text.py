@@ -17,16 +17,8 @@ def as_col(c: ColumnOrName) -> Column:
 
 
 def pystrip(c: ColumnOrName) -> Column:
-    """Strip every kind of whitespace; plain `trim` strips spaces only.
-
-    Text that starts and ends with a visible ASCII character, which is nearly
-    all of it, is passed on without a search.
-    """
-    c = as_col(c)
-    first, last = F.ascii(c), F.ascii(F.right(c, F.lit(1)))
-    return F.when((first > 32) & (first < 127) & (last > 32) & (last < 127), c).otherwise(
-        F.btrim(c, F.lit(fixed.PY_WHITESPACE))
-    )
+    """Strip every kind of whitespace; plain `trim` strips spaces only."""
+    return F.btrim(as_col(c), F.lit(fixed.PY_WHITESPACE))
 
 
 def is_missing(c: ColumnOrName) -> Column:
@@ -45,7 +37,7 @@ def clean_text(c: ColumnOrName, strip: bool = True) -> Column:
     stripped text several times should strip it once, in a projection below.
     """
     text = pystrip(c) if strip else as_col(c)
-    return F.when((text != "") & (F.lower(text) != "nan"), text)
+    return F.when(~F.lower(text).isin("", "nan"), text)
 
 
 def drop_na_tokens(c: ColumnOrName, tokens: Iterable[str] = fixed.NA_TOKENS) -> Column:

@@ -93,33 +93,36 @@ def fill_all(
     for f in fills:
         if f.back not in (None, "part", "group"):
             raise ValueError(f"unknown backward scope: {f.back}")
-    # rank 0: values from earlier chunks, 1: the rows themselves, 2: from later chunks
-    rows = df.withColumn("_rank", F.lit(1))
-    for f in fills:
-        rows = rows.unionByName(
-            _carry_rows(df, list(f.cols), part, list(f.keys), f.back, order, chunk),
-            allowMissingColumns=True,
-        )
+    rows = df
+    rank: list[Column] = []
+    split = has_split_parts(df, part, chunk)
+    if split:
+        # rank 0: values from earlier chunks, 1: the rows, 2: values from later chunks
+        rows = df.withColumn("_rank", F.lit(1))
+        rank = [F.col("_rank")]
+        for f in fills:
+            rows = rows.unionByName(
+                _carry_rows(df, list(f.cols), part, list(f.keys), f.back, order, chunk),
+                allowMissingColumns=True,
+            )
     # one shuffle; it also serves the per-group windows below
     rows = rows.repartition(*part, chunk)
     for f in fills:
         down = (
-            Window.partitionBy(*part, chunk, *f.keys).orderBy("_rank", order).rowsBetween(*BEFORE)
+            Window.partitionBy(*part, chunk, *f.keys).orderBy(*rank, order).rowsBetween(*BEFORE)
         )
-        rows = rows.withColumns(
-            {
-                c: F.when(F.col("_rank") == 2, F.col(c)).otherwise(
-                    F.last(c, ignorenulls=True).over(down)
-                )
-                for c in f.cols
+        filled = {c: F.last(c, ignorenulls=True).over(down) for c in f.cols}
+        if split:
+            filled = {
+                c: F.when(F.col("_rank") == 2, F.col(c)).otherwise(v) for c, v in filled.items()
             }
-        )
+        rows = rows.withColumns(filled)
     for f in fills:
         if f.back:
             scope = f.keys if f.back == "group" else ()
             up = (
                 Window.partitionBy(*part, chunk, *scope)
-                .orderBy(F.col("_rank").desc(), F.col(order).desc())
+                .orderBy(*[r.desc() for r in rank], F.col(order).desc())
                 .rowsBetween(*BEFORE)
             )
             rows = rows.withColumns(
@@ -128,7 +131,16 @@ def fill_all(
                     for c in f.cols
                 }
             )
-    return rows.filter(F.col("_rank") == 1).select(*df.columns)
+    return (rows.filter(F.col("_rank") == 1) if split else rows).select(*df.columns)
+
+
+def has_split_parts(df: DataFrame, part: Sequence[str], chunk: str = "chunk") -> bool:
+    """Does any part have more than one chunk? If not, chunks need no carry rows.
+
+    One narrow aggregate over two columns; only a flag reaches the driver.
+    """
+    spans = df.groupBy(*part).agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"))
+    return bool(spans.agg(F.bool_or(F.col("low") < F.col("high"))).first()[0])
 
 
 def _carry_rows(
@@ -168,13 +180,14 @@ def _carry_rows(
         return carried
 
     # the first value of a chunk after the forward fill: a group that was seen
-    # in an earlier chunk has one from its first row on
+    # in an earlier chunk has one from its first row on, unless that row has its own
     scope = group if back == "group" else part
     heads = pieces.groupBy(*scope, chunk).agg(
         *[
             F.min(
                 F.when(
-                    F.col(f"_in_{c}").isNotNull(),
+                    F.col(f"_in_{c}").isNotNull()
+                    & ~F.col(f"_lead_{c}.at").eqNullSafe(F.col("_first")),
                     F.struct(F.col("_first").alias("at"), F.col(f"_in_{c}").alias("value")),
                 ).otherwise(F.col(f"_lead_{c}"))
             ).alias(f"_head_{c}")
