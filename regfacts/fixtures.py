@@ -7,7 +7,7 @@ the full tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regfacts.session import spread, tune
@@ -97,11 +97,9 @@ def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LINE = F.struct(
-    F.col("l_orderkey").cast("bigint").alias("o"), F.col("l_partkey").cast("bigint").alias("p"),
-    F.col("l_suppkey").cast("bigint").alias("s"), F.col("l_linenumber").cast("bigint").alias("l"),
-    F.col("n"),
-)
+def _line() -> Column:
+    keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "n")
+    return F.struct(*[F.col(k).cast("bigint").alias(k) for k in keys])
 
 
 def _lined(rows: DataFrame, *columns) -> DataFrame:
@@ -111,7 +109,7 @@ def _lined(rows: DataFrame, *columns) -> DataFrame:
         F.concat(F.lit("/raw/20251231/"), "template", F.lit("_data_points.csv")).alias(
             "source_path"
         ),
-        LINE.alias("line"),
+        _line().alias("line"),
         F.floor(F.col("l_orderkey") / ORDERS_PER_CHUNK).alias("chunk"),
     )
 
@@ -174,3 +172,241 @@ def legacy_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number == 1, F.col("column_name")).alias("ColumnName"),
         F.col("value").alias("FactValue"),
     )
+
+
+def cell_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that occur in the points, with gaps, open rows and unused templates.
+
+    No cells for line 5 (their facts do not map) and none for size 10 (a template
+    the dictionary does not know); sizes from 40 on are open-row templates.
+    """
+    rows = point_rows(spark, sf_dir)
+    size = F.regexp_extract("template", r"^K_(\d+)", 1).cast("int")
+    cells = rows.filter((F.col("l_linenumber") != 5) & (size != 10)).select(
+        F.col("template").alias("template_code"),
+        F.when(size.between(40, 99), F.lit("OPEN_0007"))
+        .otherwise((F.col("l_linenumber") * 10).cast("string"))
+        .alias("row_code"),
+        F.col("column").alias("col_code"),
+        F.col("column_name").alias("col_name"),
+    ).distinct()
+    unused = table(spark, sf_dir, "region").select(
+        F.concat(F.lit("K_6"), F.col("r_regionkey").cast("string"), F.lit(".00")).alias(
+            "template_code"
+        ),
+        F.lit("10").alias("row_code"), F.lit("10").alias("col_code"),
+        F.col("r_name").alias("col_name"),
+    )
+    both = cells.unionByName(unused)
+    return both.select(
+        "template_code",
+        F.concat("template_code", F.lit(" - Table")).alias("template_name"),
+        F.lit("Common disclosures").alias("module_name"),
+        "row_code",
+        F.concat(F.lit("Row "), "row_code").alias("row_name"),
+        "col_code",
+        "col_name",
+        F.when(F.col("col_code") == "40", F.lit("PCT")).otherwise(F.lit("EUR")).alias("unit"),
+        F.concat("template_code", "row_code").alias("dpm_point_id"),
+        F.lit("(m) Amount").alias("main_property"),
+        F.lit("").alias("dimensions"),
+        F.struct("template_code", "row_code", "col_code").alias("line"),
+    )
+
+
+def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as canonical rows; the day and the user's kind of event are the key."""
+    return event_facts_of(table(spark, sf_dir, "events"))
+
+
+def event_facts_of(events: DataFrame) -> DataFrame:
+    absent = F.lit(None).cast("string")
+    return events.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("entity_name"),
+        absent.alias("country"),
+        absent.alias("module_name"),
+        absent.alias("cell"),
+        absent.alias("open_key"),
+        F.col("event_type").alias("template"),
+        F.lit("0010").alias("row"),
+        absent.alias("row_name"),
+        F.when(F.col("event_type") != "signup", F.lit("0020")).alias("column"),
+        absent.alias("column_name"),
+        absent.alias("sheet"),
+        F.to_date("ts").alias("reference_date"),
+        F.col("value").alias("fact_value"),
+        "event_id",
+    )
+
+
+def event_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(new, stored) events; the new ones start some days before the stored end."""
+    facts = event_facts(spark, sf_dir)
+    return (
+        facts.filter(F.col("reference_date") >= F.lit("2024-01-14").cast("date")),
+        facts.filter(F.col("reference_date") < F.lit("2024-01-17").cast("date")),
+    )
+
+
+def export_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide export: one row per customer, one column per quarter of orders."""
+    orders = table(spark, sf_dir, "orders")
+    quarter = F.date_trunc("quarter", "o_orderdate").cast("date")
+    column = (
+        11 + (F.year(quarter) - 1995) * 4 + F.quarter(quarter) - 1
+    ).cast("int")
+    row = (F.col("custkey") + 2).cast("int")
+    totals = (
+        orders.groupBy(F.col("o_custkey").alias("custkey"), quarter.alias("quarter"))
+        .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+        .select(row.alias("r"), column.alias("c"), F.col("cents").cast("string").alias("value"),
+                "quarter")
+    )
+    dates = totals.select(
+        F.lit(0).alias("r"), "c",
+        F.concat(F.col("quarter").cast("string"), F.lit(" 00:00:00")).alias("value"),
+    ).distinct()
+    names = ("Entity Name", "Country", "Module Name", "Cell", "Open Key", "Template", "Row",
+             "Row Name", "Column", "Column Name", "Sheet")
+    header = spark.range(1).select(
+        F.lit(1).alias("r"),
+        F.posexplode(F.array(*[F.lit(n) for n in names])).alias("c", "value"),
+    )
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
+    ids = customers.select(
+        row.alias("r"),
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("c"), F.col("c_name").alias("value")),
+                F.struct(F.lit(2), F.col("c_mktsegment")),
+                F.struct(F.lit(5), F.lit("K_01.00")),
+                F.struct(F.lit(6), F.lit("0010")),
+                F.struct(F.lit(8), F.lit("0020")),
+            )
+        ).alias("c", "value"),
+    )
+    grid = totals.drop("quarter").unionByName(dates).unionByName(header).unionByName(ids)
+    return grid.select(
+        F.lit("20251231_common_disclosures.xlsx").alias("workbook"),
+        F.lit(0).alias("sheet_no"),
+        F.lit("Export").alias("sheet"),
+        "r", "c", "value",
+    )
+
+
+def nation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metadata sheet: a title row, a header row, one row per nation."""
+    cells = table(spark, sf_dir, "nation").select(
+        (F.col("n_nationkey") + 2).cast("int").alias("r"),
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("c"), F.col("n_name").alias("value")),
+                F.struct(F.lit(1), F.col("n_regionkey").cast("string")),
+            )
+        ).alias("c", "value"),
+    )
+    head = table(spark, sf_dir, "region").limit(1).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("r"), F.lit(0).alias("c"), F.lit("Title").alias("value")),
+                F.struct(F.lit(1), F.lit(0), F.lit("Name")),
+                F.struct(F.lit(1), F.lit(1), F.lit("Region")),
+            )
+        ).alias("r", "c", "value")
+    )
+    return head.unionByName(cells).select(
+        F.lit("TR_Metadata.xlsx").alias("workbook"), F.lit(0).alias("sheet_no"),
+        F.lit("List of Institutions").alias("sheet"), "r", "c", "value",
+    )
+
+
+def layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout workbooks: a sheet per part size, a row per part, two coded columns.
+
+    Parts of brand 1 are section headers: a label, no code and no data.
+    """
+    part = table(spark, sf_dir, "part")
+    sheet = F.concat(F.lit("K_"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".00.a"))
+    point = F.col("p_partkey").cast("string")
+    is_head = F.col("p_brand") == "Brand#1"
+
+    def cell(c: int, value: Column) -> Column:
+        return F.struct(F.lit(c).alias("c"), value.alias("value"))
+
+    body = part.select(
+        sheet.alias("sheet"),
+        (F.col("p_partkey") + 10).cast("int").alias("r"),
+        F.inline(
+            F.when(
+                is_head, F.array(cell(1, F.concat(F.lit("0005 Section "), "p_name")))
+            ).otherwise(
+                F.array(
+                    cell(1, F.concat(F.col("p_name"), F.lit("\n"), F.col("p_type"))),
+                    cell(2, F.concat(point, F.lit(".0"))),
+                    cell(3, F.concat(point, F.lit("_x000D_\n€£$"))),
+                    cell(4, F.concat(point, F.lit("_x000D_\n%"))),
+                    cell(8, F.concat(F.lit("(q) "), F.col("p_type"))),
+                    cell(9, F.col("p_brand")),
+                    cell(10, F.concat(F.lit("size "), F.col("p_size").cast("string"))),
+                )
+            )
+        ).alias("c", "value"),
+    )
+    head = part.select(sheet.alias("sheet")).distinct().select(
+        "sheet",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"), v.alias("value"))
+                    for r, c, v in (
+                        (0, 0, F.concat(F.lit("Table "), "sheet")),
+                        (4, 3, F.lit("Amount")), (4, 4, F.lit("(q) Share")),
+                        (5, 3, F.lit("0010")), (5, 4, F.lit("0020")),
+                        (6, 8, F.lit("(q)")), (7, 1, F.lit("Rows")),
+                    )
+                ]
+            )
+        ).alias("r", "c", "value"),
+    )
+    return head.unionByName(body).select(
+        F.lit("x_CODISPILLAR3_y.xlsx").alias("workbook"), F.lit(0).alias("sheet_no"), "sheet",
+        "r", "c", "value",
+    )
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed response per order: shape by status (F standard, O richer, P tables)."""
+    orders = table(spark, sf_dir, "orders")
+    orders = spread(orders)
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    entity, status = F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    head = '{"results":[{"result":{"data":{'
+    standard = F.concat(
+        F.lit(head + '"dsr":{"DS":[{"ValueDicts":{"D0":["GR","ES"],"D1":["IRRBB"],"D7":'
+              '["0010","0020"]},"RT":'),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('[["x"]]')).otherwise(F.lit("[]")),
+        F.lit(',"PH":[{"DM0":[{"G0":"C'), entity,
+        F.lit('","M":[{"DM1":[{"G1":1,"G2":0,"M":[{"DM2":[{"G3":"{K}","G5":"0030","M":[{"DM3":['
+              '{"G7":0,"X":[{"M0":"'), cents,
+        F.lit('D"}]},{"G7":9,"X":[{"M0":"n.a."}]}]}]}]}]}]}]}]}]}]}}}}]}'),
+    )
+    richer = F.concat(
+        F.lit(head + '"descriptor":{"Select":[{"Value":"G0","Name":"d.ENT_NAM"},{"Value":"G1",'
+              '"NativeReferenceName":"CellCode"},{"Value":"G2","Name":"d.Template"},{"Value":"G3",'
+              '"Name":"d.ReferenceDate"}]},"dsr":{"DS":[{"ValueDicts":{"D0":["C'), entity,
+        F.lit('"],"D1":["K_01.00","K_02.00"]},"SH":[{"DM0":[{"S":[{"N":"G2","DN":"D1"}],"G2":1}]}'
+              '],"PH":[{"DM1":[{"S":[{"N":"G0","DN":"D0"}],"G0":0,"G3":1767139200000,"M":[{"DM2":['
+              '{"G1":"{c1}","X":[{"M0":"'), cents,
+        F.lit('D"}]},{"G1":" ","X":[{"M0":"1"}]}]}]}]}]}]}}}}]}'),
+    )
+    tables = F.concat(
+        F.lit(head + '"dsr":{"DataShapes":[{"Tables":[{"Columns":[{"DisplayName":"Entity"},'
+              '{"Name":"FactValue"},{}],"Rows":[["C'), entity, F.lit('","'), cents,
+        F.lit('",true],["C'), entity, F.lit('"]]}]}]}}}}]}'),
+    )
+    text = F.when(status == "F", standard).when(status == "O", richer).otherwise(tables)
+    return orders.select(
+        F.col("o_orderkey").alias("response_id"),
+        F.col("o_orderpriority").alias("priority"),
+        F.try_parse_json(text).alias("response"),
+    )

@@ -1,3 +1,3 @@
 """Incremental loading with Structured Streaming."""
 
-from regfacts.streaming.ingest import stream_ingest  # noqa: F401
+from regfacts.streaming.ingest import stream_append, stream_ingest  # noqa: F401

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,8 +45,6 @@ def append_new(
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
     try:
         spark.read.parquet(path)
     except AnalysisException:
@@ -53,6 +52,31 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def stream_append(
+    stream: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    order: Sequence[str],
+) -> StreamingQuery:
+    """Work off a stream in micro-batches: prepare the rows, append those with a new key.
+
+    `prepare` gives canonical rows plus the columns of `order`.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        rows = prepare(batch)
+        append_new(rows.select(natural_key(rows).alias("fact_key"), "*"), out_dir,
+                   ["fact_key"], order)
+
+    return (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_ingest(
     spark: SparkSession,
     in_dir: str,
@@ -61,7 +85,7 @@ def stream_ingest(
     columns: Sequence[str] = fixed.BRONZE_COLUMNS,
     normalize: Callable[[DataFrame], DataFrame] = normalize_points,
 ) -> StreamingQuery:
-    """Normalize all files that have landed since the last run and append them.
+    """Normalize all points files that have landed since the last run and append them.
 
     Fills depend on the order inside a file only, and a file is never split over
     two batches. Stops when the folder is worked off.
@@ -81,18 +105,11 @@ def stream_ingest(
             F.col("_metadata.file_path").alias("source_path"),
         )
     )
-    raw = bronze(files, columns)
 
-    def load(batch: DataFrame, _: int) -> None:
-        # line numbers are per batch, and so is every file
-        lined = settle(with_line_no(batch).drop("_metadata"))
-        rows = normalize(lined)
-        keyed = rows.select(natural_key(rows).alias("fact_key"), "*")
-        append_new(keyed, out_dir, ["fact_key"], ["source_file", "line"])
+    def prepare(batch: DataFrame) -> DataFrame:
+        # written first: line numbers must not change between the reads of a batch
+        return normalize(settle(with_line_no(batch).drop("_metadata")))
 
-    return (
-        raw.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return stream_append(
+        bronze(files, columns), out_dir, checkpoint, prepare, ["source_file", "line"]
     )
