@@ -248,19 +248,24 @@ def event_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     )
 
 
+def _cell(c: int, value: Column) -> Column:
+    return F.struct(F.lit(c).alias("c"), value.alias("value"))
+
+
 def export_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A wide export: one row per customer, one column per quarter of orders."""
     orders = table(spark, sf_dir, "orders")
     quarter = F.date_trunc("quarter", "o_orderdate").cast("date")
-    column = (
-        11 + (F.year(quarter) - 1995) * 4 + F.quarter(quarter) - 1
-    ).cast("int")
     row = (F.col("custkey") + 2).cast("int")
     totals = (
         orders.groupBy(F.col("o_custkey").alias("custkey"), quarter.alias("quarter"))
         .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
-        .select(row.alias("r"), column.alias("c"), F.col("cents").cast("string").alias("value"),
-                "quarter")
+        .select(
+            row.alias("r"),
+            (11 + (F.year("quarter") - 1995) * 4 + F.quarter("quarter") - 1).cast("int").alias("c"),
+            F.col("cents").cast("string").alias("value"),
+            "quarter",
+        )
     )
     dates = totals.select(
         F.lit(0).alias("r"), "c",
@@ -277,11 +282,11 @@ def export_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         row.alias("r"),
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("c"), F.col("c_name").alias("value")),
-                F.struct(F.lit(2), F.col("c_mktsegment")),
-                F.struct(F.lit(5), F.lit("K_01.00")),
-                F.struct(F.lit(6), F.lit("0010")),
-                F.struct(F.lit(8), F.lit("0020")),
+                _cell(0, F.col("c_name")),
+                _cell(2, F.col("c_mktsegment")),
+                _cell(5, F.lit("K_01.00")),
+                _cell(6, F.lit("0010")),
+                _cell(8, F.lit("0020")),
             )
         ).alias("c", "value"),
     )
@@ -300,17 +305,18 @@ def nation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_nationkey") + 2).cast("int").alias("r"),
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("c"), F.col("n_name").alias("value")),
-                F.struct(F.lit(1), F.col("n_regionkey").cast("string")),
+                _cell(0, F.col("n_name")),
+                _cell(1, F.col("n_regionkey").cast("string")),
             )
         ).alias("c", "value"),
     )
     head = table(spark, sf_dir, "region").limit(1).select(
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("r"), F.lit(0).alias("c"), F.lit("Title").alias("value")),
-                F.struct(F.lit(1), F.lit(0), F.lit("Name")),
-                F.struct(F.lit(1), F.lit(1), F.lit("Region")),
+                *[
+                    F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"), F.lit(v).alias("value"))
+                    for r, c, v in ((0, 0, "Title"), (1, 0, "Name"), (1, 1, "Region"))
+                ]
             )
         ).alias("r", "c", "value")
     )
@@ -330,24 +336,21 @@ def layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = F.col("p_partkey").cast("string")
     is_head = F.col("p_brand") == "Brand#1"
 
-    def cell(c: int, value: Column) -> Column:
-        return F.struct(F.lit(c).alias("c"), value.alias("value"))
-
     body = part.select(
         sheet.alias("sheet"),
         (F.col("p_partkey") + 10).cast("int").alias("r"),
         F.inline(
             F.when(
-                is_head, F.array(cell(1, F.concat(F.lit("0005 Section "), "p_name")))
+                is_head, F.array(_cell(1, F.concat(F.lit("0005 Section "), "p_name")))
             ).otherwise(
                 F.array(
-                    cell(1, F.concat(F.col("p_name"), F.lit("\n"), F.col("p_type"))),
-                    cell(2, F.concat(point, F.lit(".0"))),
-                    cell(3, F.concat(point, F.lit("_x000D_\n€£$"))),
-                    cell(4, F.concat(point, F.lit("_x000D_\n%"))),
-                    cell(8, F.concat(F.lit("(q) "), F.col("p_type"))),
-                    cell(9, F.col("p_brand")),
-                    cell(10, F.concat(F.lit("size "), F.col("p_size").cast("string"))),
+                    _cell(1, F.concat(F.col("p_name"), F.lit("\n"), F.col("p_type"))),
+                    _cell(2, F.concat(point, F.lit(".0"))),
+                    _cell(3, F.concat(point, F.lit("_x000D_\n€£$"))),
+                    _cell(4, F.concat(point, F.lit("_x000D_\n%"))),
+                    _cell(8, F.concat(F.lit("(q) "), F.col("p_type"))),
+                    _cell(9, F.col("p_brand")),
+                    _cell(10, F.concat(F.lit("size "), F.col("p_size").cast("string"))),
                 )
             )
         ).alias("c", "value"),

@@ -22,6 +22,7 @@ from regfacts.operators.windows import first_n
 TEXTS = "map<string,string>"
 VARIANTS = "array<variant>"
 OBJECT = "map<string,variant>"
+NODES = f"array<struct<path:array<int>,groups:{OBJECT},item:variant>>"
 PAIRS = "array<struct<key:string,value:string>>"
 SELECTS = "array<struct<Value:string,NativeReferenceName:string,Name:string>>"
 GROUP_NAME = r"^G\d+$"
@@ -71,12 +72,15 @@ def _children(node: Column) -> Column:
 
 def _walk(df: DataFrame, roots: Column, depth: int) -> DataFrame:
     """Add `nodes`: the groups of all levels, in document order."""
-    df = df.withColumn("_level", roots).withColumn("nodes", F.col("_level"))
+    columns = df.columns
+    df = df.select(*columns, roots.alias("_level"), F.array().cast(NODES).alias("nodes"))
+    below = F.flatten(F.transform("_level", _children)).alias("_level")
+    seen = F.concat("nodes", "_level").alias("nodes")
     for _ in range(depth):
-        df = df.withColumn("_level", F.flatten(F.transform("_level", _children)))
-        df = df.withColumn("nodes", F.concat("nodes", "_level"))
+        # both columns read the level, so Spark keeps the steps apart
+        df = df.select(*columns, below, seen)
     # by path, so that a group comes before its children and after earlier siblings
-    return df.drop("_level").withColumn("nodes", F.array_sort("nodes", _by_path))
+    return df.select(*columns, F.array_sort(F.concat("nodes", "_level"), _by_path).alias("nodes"))
 
 
 def _by_path(a: Column, b: Column) -> Column:

@@ -732,7 +732,7 @@ s as (select *, coalesce(last_value(head ignore nulls) over (partition by t orde
 d as (select * from s where head is null)
 select t as template_code, concat('Table ', t, '.a') as template_name,
   'Common disclosures' as module_name, section,
-  lpad(cast(p_partkey as varchar), greatest(4, length(cast(p_partkey as varchar))), '0') as row_code,
+  lpad(cast(p_partkey as varchar), cast(greatest(4, length(cast(p_partkey as varchar))) as integer), '0') as row_code,
   concat(p_name, ' ', p_type) as row_name, c as col_code,
   case when c = '0010' then 'Amount' else '0020' end as col_name,
   case when c = '0010' then 'EUR' else 'PCT' end as unit, cast(p_partkey as varchar) as dpm_point_id,
@@ -753,9 +753,9 @@ def distinct_open_keys(spark, sf):
 @query("""select concat('U', cast(user_id as varchar)) as template_code, count(*) as attempts,
   count(*) filter (where event_type = 'error') as failures,
   count(*) filter (where event_type = 'view') as restart_tokens,
-  cast(coalesce(sum(case when event_type = 'purchase' then cast(value as bigint) end), 0)
+  cast(coalesce(sum(case when event_type = 'purchase' then cast(floor(value) as bigint) end), 0)
     as bigint) as "rows",
-  case when coalesce(sum(case when event_type = 'purchase' then cast(value as bigint) end), 0) = 0
+  case when coalesce(sum(case when event_type = 'purchase' then cast(floor(value) as bigint) end), 0) = 0
          then 'failed'
        when count(*) filter (where event_type in ('error', 'view')) > 0 then 'partial'
        else 'complete' end as status,
@@ -767,7 +767,7 @@ def run_status(spark, sf):
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("template_code"),
         F.when(kind == "error", F.lit("timeout")).alias("error"),
         (kind == "view").alias("restart_token"),
-        F.when(kind == "purchase", F.round("value").cast("bigint")).otherwise(0).alias("rows"),
+        F.when(kind == "purchase", F.floor("value").cast("bigint")).otherwise(0).alias("rows"),
     )
     return agg.run_status(attempts)
 
@@ -920,7 +920,7 @@ def date_functions(spark, sf):
         fn.ref_date_from_path(F.concat(F.lit("/raw/19990101/"), folder, F.lit("/K.csv"))).alias(
             "from_path"
         ),
-        fn.epoch_ms_to_date(F.unix_millis("o_orderdate")).alias("from_ms"),
+        fn.epoch_ms_to_date(F.unix_millis(F.col("o_orderdate").cast("timestamp"))).alias("from_ms"),
         fn.to_date_coerce(
             F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd"))
             .otherwise(F.lit("no date"))
@@ -929,9 +929,9 @@ def date_functions(spark, sf):
 
 
 @query("""with t as (select p_partkey, cast(p_partkey as varchar) as k, p_size from part)
-select p_partkey, lpad(k, greatest(4, length(k)), '0') as silver,
-  case when p_size < 25 then lpad(k, greatest(4, length(k)), '0') else concat(k, '.00') end as norm,
-  lpad(k, greatest(4, length(k)), '0') as dictionary,
+select p_partkey, lpad(k, cast(greatest(4, length(k)) as integer), '0') as silver,
+  case when p_size < 25 then lpad(k, cast(greatest(4, length(k)) as integer), '0') else concat(k, '.00') end as norm,
+  lpad(k, cast(greatest(4, length(k)) as integer), '0') as dictionary,
   case when p_size between 10 and 99 then concat('K_', cast(p_size as varchar), '.00') end as template,
   lpad(cast(p_size as varchar), 4, '0') as row_part
 from t""")
