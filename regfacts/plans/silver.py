@@ -162,7 +162,11 @@ def build_star(
         manifest_path=manifest_path,
     )
     write_star(star, out_root, replace)
-    tables = {name: stored(spark, out_root, name) for name in Star.__dataclass_fields__}
+    tables = {
+        name: stored(spark, out_root, name)
+        or spark.createDataFrame([], getattr(star, name).schema)
+        for name in Star.__dataclass_fields__
+    }
     template_views(tables["fact"], tables["dim_template"])
     return star_summary(
         facts,
