@@ -19,6 +19,7 @@ from regfacts.operators.merge import explode_dimensions
 from regfacts.operators.project import detect_layout
 from regfacts.operators.windows import keep_last
 from regfacts.schema import FACT_ID_PARTS, SILVER_FACT_COLUMNS
+from regfacts.session import settle
 from regfacts.sources.readers import (
     read_dictionary, read_manifest, read_template_summary, scan_directory,
 )
@@ -151,7 +152,8 @@ def build_star(
     """Load the points of one folder (`yyyyMMdd`) into the star; returns the counts."""
     iso = f"{folder[:4]}-{folder[4:6]}-{folder[6:8]}"
     scan = scan_directory(spark, f"{raw_root}/{folder}", required=required, recursive=False)
-    lei_points, _ = refuse_other_layouts(scan.points)
+    # parsed once: facts, institutions and counts all read the columnar copy
+    lei_points, _ = refuse_other_layouts(settle(scan.points))
     star, facts = make_star(
         lei_points,
         read_dictionary(spark, dictionary_path),

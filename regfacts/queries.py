@@ -19,6 +19,7 @@ from regfacts.operators import joins, merge, project, responses, windows
 from regfacts.plans import dictionary as layouts
 from regfacts.plans import enrich, normalize, silver, validate
 from regfacts.session import work_folder
+from regfacts.sources import writers
 from regfacts.sources.readers import expected_files
 from regfacts.streaming import stream_append
 
@@ -835,6 +836,138 @@ def slice_facts(spark, sf):
     return cut.select("source_file", "Entity", "Row", "Column", "FactValue")
 
 
+@query(f"""with {POINTS} select distinct concat(tpl, ' - Table') as template from pts
+where concat(tpl, ' - Table') like '%3.00%'""")
+def templates_matching(spark, sf):
+    names = fx.point_rows(spark, sf).select(
+        F.concat("template", F.lit(" - Table")).alias("template")
+    ).distinct()
+    return project.templates_matching(names, "3.00")
+
+
+@query("select distinct lang, source, text from documents")
+def distinct_rows(spark, sf):
+    return joins.distinct_rows(fx.table(spark, sf, "documents").select("lang", "source", "text"))
+
+
+@query("""select p_partkey as key from part where p_partkey not in (0, 3)
+  and p_partkey not in (select l_partkey from lineitem where l_discount > 0.09)""")
+def missing(spark, sf):
+    parts = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("key"))
+    reduced = fx.table(spark, sf, "lineitem").filter("l_discount > 0.09").select(
+        F.col("l_partkey").alias("key")
+    )
+    return joins.missing(parts, reduced, [0, 3])
+
+
+@query("""select distinct l_partkey as key from lineitem
+where l_partkey not in (select p_partkey from part where p_size < 25)""")
+def extra(spark, sf):
+    small = fx.table(spark, sf, "part").filter("p_size < 25").select(
+        F.col("p_partkey").alias("key")
+    )
+    sold = fx.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("key"))
+    return joins.extra(small, sold)
+
+
+@query("""select p_type, string_agg(distinct p_brand, ',' order by p_brand) as names from part
+group by p_type""")
+def sorted_names(spark, sf):
+    names = agg.sorted_names(fx.table(spark, sf, "part"), "p_brand", ["p_type"])
+    return names.withColumn("names", F.array_join("names", ","))
+
+
+@query("select c_name from customer order by c_name limit 20")
+def preview(spark, sf):
+    return agg.preview(fx.table(spark, sf, "customer").select("c_name"), ["c_name"], 20)[0]
+
+
+@query("""select user_id, count(*) as "rows", count(*) >= 60 as capped from events group by 1""")
+def capped(spark, sf):
+    return agg.capped(fx.table(spark, sf, "events"), ["user_id"], 60)
+
+
+@query("""select distinct p_brand as code from part""")
+def distinct_column_codes(spark, sf):
+    return agg.distinct_codes(
+        fx.table(spark, sf, "part").select(F.col("p_brand").alias("Column")), "column"
+    )
+
+
+@query(f"""with {POINTS}, {DICTIONARY}
+select distinct row_code as code from dict where row_code not like 'OPEN%'""")
+def distinct_row_codes(spark, sf):
+    return agg.distinct_codes(fx.cell_dictionary(spark, sf), "row")
+
+
+@query("""select '2025-12-31' as reference_date, concat('K_', cast(c_custkey as varchar)) as
+  template_code, c_mktsegment as status, c_nationkey as "rows", c_acctbal < 0 as
+  template_restart_token, 0 as entity_restart_token_count, '[]' as failed_entities_json
+from customer""")
+def manifest_rows(spark, sf):
+    absent = F.lit(None).cast("string")
+    records = fx.table(spark, sf, "customer").select(
+        F.concat(F.lit("K_"), F.col("c_custkey").cast("string")).alias("template_code"),
+        F.col("c_mktsegment").alias("status"),
+        F.col("c_nationkey").cast("string").alias("rows"),
+        (F.col("c_acctbal") < 0).cast("string").alias("template_restart_token"),
+        F.lit("3.0").alias("entity_restart_token_count"),
+        absent.alias("row_partition_restart_token_count"),
+        absent.alias("failed_entities"), absent.alias("reason"), absent.alias("updated_at"),
+    )
+    return agg.manifest_rows(records, DATE).select(
+        "reference_date", "template_code", "status", "rows", "template_restart_token",
+        "entity_restart_token_count", "failed_entities_json",
+    )
+
+
+@query("""select p_partkey, case when p_size < 20 then 'EUR' when p_size < 40 then 'PCT'
+  else 'TEXT' end as unit, case when p_size < 40 then cast(p_partkey as varchar) end as point,
+  concat(p_name, ' ', p_type) as label, p_name as section, replace(p_name, ' ', '_') as safe,
+  concat('K_', lpad(cast(p_size as varchar), 2, '0'), '.00') as sheet
+from part""")
+def label_functions(spark, sf):
+    point = F.col("p_partkey").cast("string")
+    cell = (
+        F.when(F.col("p_size") < 20, F.concat(point, F.lit("_x000D_\n€£$")))
+        .when(F.col("p_size") < 40, F.concat(point, F.lit("_x000D_\n%")))
+        .otherwise(point)
+    )
+    code = F.concat(F.lit("K_"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".00"))
+    return fx.table(spark, sf, "part").select(
+        "p_partkey",
+        fn.infer_unit(cell).alias("unit"),
+        fn.dpm_id(cell).alias("point"),
+        fn.clean_label(F.concat(F.lit("\xa0"), "p_name", F.lit("\n"), "p_type")).alias("label"),
+        fn.clean_section(F.concat(F.lit("0005  "), "p_name", F.lit("\n"))).alias("section"),
+        fn.safe_name("p_name").alias("safe"),
+        fn.strip_sheet_variant(F.concat(code, F.lit(".a(0010)"))).alias("sheet"),
+    )
+
+
+@query(f"""with {SILVER}
+select tpl as template_code, '2025-12-31' as reference_date, count(distinct fact_id) as facts,
+  count(distinct case when open_key is not null then fact_id end) as open_facts
+from sv group by tpl""")
+def write_star(spark, sf):
+    root = f"{work_folder(spark)}/star-{uuid.uuid4().hex}"
+    dictionary = fx.cell_dictionary(spark, sf)
+    manifest = dictionary.select(
+        "template_code", F.lit("complete").alias("status"),
+        *[
+            F.lit(None).cast("string").alias(c)
+            for c in ("rows", "template_restart_token", "entity_restart_token_count",
+                      "row_partition_restart_token_count", "failed_entities", "reason",
+                      "updated_at")
+        ],
+    ).distinct()
+    star, _ = silver.make_star(fx.bronze_points(spark, sf), dictionary, manifest, DATE, RUN)
+    writers.write_star(star, root)
+    return writers.stored(spark, root, "fact").groupBy(
+        "template_code", F.col("reference_date").cast("string").alias("reference_date")
+    ).agg(F.count("*").alias("facts"), F.count("open_key").alias("open_facts"))
+
+
 # --- responses ---------------------------------------------------------------
 CENTS = "cast(cast(cast(round(o_totalprice * 100) as bigint) as double) as varchar)"
 
