@@ -87,7 +87,7 @@ def cells_from_grid(rows: DataFrame, columns: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("c", "col_code", "col_name"))).alias("coded")
     )
     return (
-        rows.join(lists, ["workbook", "sheet"])
+        rows.join(broadcast_if_small(lists), ["workbook", "sheet"])
         .select("*", F.inline("coded"))
         .drop("coded")
         .withColumn("cell", F.col("cells")[F.col("c")])

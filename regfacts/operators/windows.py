@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regfacts.functions import normalize_code, pystrip
-from regfacts.session import settle
+from regfacts.session import broadcast_if_small, settle
 
 BEFORE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -319,7 +319,8 @@ def locate_header(grid: DataFrame) -> DataFrame:
         )
         .filter((F.col("n_rows") >= 6) & (F.col("n_cols") >= 4) & F.col("codes_row").isNotNull())
     )
-    # one sheet row is one small record: its size is not bound to the data
+    # one small record per sheet, read several times
+    sheets = settle(sheets)
     r, c, top = F.col("r"), F.col("c"), F.col("codes_row")
     rows_label = (c == 1) & (text == "Rows")
     row_number = (c == 2) & normalize_code("value", "dictionary").isNotNull()
@@ -328,7 +329,7 @@ def locate_header(grid: DataFrame) -> DataFrame:
     )
     is_property = (r == top + 1) & (c >= 3) & F.col("value").startswith("(")
     found = (
-        grid.join(sheets.select(*sheet, "codes_row"), sheet)
+        grid.join(broadcast_if_small(sheets.select(*sheet, "codes_row")), sheet)
         .filter(r > top)
         .filter(rows_label | row_number | is_property)
         .groupBy(*sheet)

@@ -17,6 +17,7 @@ from regfacts.operators.windows import (
     carry_section, keep_first, locate_header, next_row_property,
 )
 from regfacts.schema import DICTIONARY_COLUMNS
+from regfacts.session import broadcast_if_small, settle
 
 SHEET = ["workbook", "sheet"]
 OPEN_ROWS = "open rows"
@@ -28,9 +29,8 @@ def coded_columns(grid: DataFrame, headers: DataFrame) -> DataFrame:
 
     A blank name, or one that looks like a property, gives way to the code.
     """
-    header = headers.select(*SHEET, "codes_row")
     text = pystrip("value")
-    near = grid.join(header, SHEET).filter(
+    near = grid.join(headers, SHEET).filter(
         F.col("r").between(F.col("codes_row") - 1, F.col("codes_row"))
     )
     is_code = F.col("r") == F.col("codes_row")
@@ -57,7 +57,7 @@ def labelled_rows(grid: DataFrame, headers: DataFrame, columns: DataFrame) -> Da
     rows = (
         row_cells(grid)
         .join(headers, SHEET)
-        .join(codes, SHEET)
+        .join(broadcast_if_small(codes), SHEET)
         .filter(F.col("r") >= F.col("data_start"))
     )
     label = pystrip(F.col("cells")[1])
@@ -108,11 +108,15 @@ def build_dictionary(grid: DataFrame) -> DataFrame:
     grid = grid.withColumn("module_name", module_from_file(workbook)).filter(
         F.col("module_name").isNotNull()
     )
-    headers = locate_header(grid)
-    columns = coded_columns(grid, headers)
+    # both are one small record per sheet or coded column; without a broadcast a
+    # large sheet would meet its header in one task
+    headers = broadcast_if_small(settle(locate_header(grid)))
+    columns = settle(coded_columns(grid, headers))
     rows = labelled_rows(grid, headers, columns)
-    sheets = grid.groupBy(*SHEET).agg(
-        F.first("module_name").alias("module_name"), F.first("sheet_no").alias("sheet_no")
+    sheets = broadcast_if_small(
+        grid.groupBy(*SHEET).agg(
+            F.min("module_name").alias("module_name"), F.min("sheet_no").alias("sheet_no")
+        )
     )
     named = grid.filter((F.col("c") == 1) & (pystrip("value") == MAIN_PROPERTY)).select(*SHEET, "r")
     properties = grid.join(named, [*SHEET, "r"], "left_semi")

@@ -12,9 +12,8 @@ from regfacts.functions import normalize_code, template_from_file
 from regfacts.operators.aggregates import (
     cell_match_counts, distinct_points, open_templates, severity, validation_summary,
 )
-from regfacts.operators.joins import (
-    compare_inventories, dictionary_cells, in_dictionary, map_to_dictionary,
-)
+from regfacts.operators.joins import compare_inventories, dictionary_cells, map_to_dictionary
+from regfacts.session import broadcast_if_small
 
 REQUIRED = ("Entity", "Row", "Column")
 RECORD = (
@@ -49,28 +48,26 @@ def validate(
     matched = map_to_dictionary(cells, dictionary_cells(dictionary))
     counts = cell_match_counts(matched, ["source_file"])
     if files is None:
-        listed = counts.select("source_file", F.array().cast("array<string>").alias("missing_columns"))
+        records = counts.withColumn("missing_columns", F.array().cast("array<string>"))
     else:
-        listed = files.select(
-            "source_file",
-            F.array_except(F.array(*[F.lit(c) for c in sorted(required)]), "columns").alias(
-                "missing_columns"
-            ),
+        lacking = F.array_except(F.array(*[F.lit(c) for c in sorted(required)]), "columns")
+        listed = files.select("source_file", lacking.alias("missing_columns"))
+        records = listed.join(counts, "source_file", "left").fillna(
+            0,
+            subset=["facts_checked", "facts_mapped", "unmapped_facts", "malformed_facts",
+                    "duplicate_fact_keys"],
         )
-    records = listed.join(counts, "source_file", "left").withColumns(
+    records = records.withColumns(
+        {"template_code": template_from_file("source_file"), "rows": F.col("facts_checked")}
+    )
+    # one row per template of the dictionary tells both: known, and open
+    opened = open_templates(dictionary).withColumnRenamed("is_open_row", "is_open_template")
+    records = records.join(broadcast_if_small(opened), "template_code", "left").withColumns(
         {
-            "template_code": template_from_file("source_file"),
-            "rows": F.coalesce("facts_checked", F.lit(0)),
+            "template_in_dictionary": F.col("is_open_template").isNotNull(),
+            "is_open_template": F.coalesce("is_open_template", F.lit(False)),
         }
     )
-    records = records.fillna(
-        0,
-        subset=["facts_checked", "facts_mapped", "unmapped_facts", "malformed_facts",
-                "duplicate_fact_keys"],
-    )
-    opened = open_templates(dictionary).withColumnRenamed("is_open_row", "is_open_template")
-    records = in_dictionary(records, dictionary).join(opened, "template_code", "left")
-    records = records.fillna(False, subset=["is_open_template"])
     return severity(records).select(*RECORD)
 
 
