@@ -68,6 +68,7 @@ MODULES = {
 }
 CELL_BREAK = "_x000D_"
 CONTENTS_SHEET = "TOC"
+SHEET_FILE_PREFIX = "trex_metadata_"
 INSTITUTIONS_SHEET = "List of Institutions"
 
 # --- JSON query responses ---------------------------------------------------

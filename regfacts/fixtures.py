@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.session import spread, tune
+from regfacts.session import settle, spread, tune
 
 # orders per chunk of a file: a chunk holds the lines of so many orders
 ORDERS_PER_CHUNK = 1_000_000
@@ -178,7 +178,8 @@ def cell_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that occur in the points, with gaps, open rows and unused templates.
 
     No cells for line 5 (their facts do not map) and none for size 10 (a template
-    the dictionary does not know); sizes from 40 on are open-row templates.
+    the dictionary does not know); sizes from 40 on are open-row templates. Written
+    once, as it stands for a dictionary file.
     """
     rows = point_rows(spark, sf_dir)
     size = F.regexp_extract("template", r"^K_(\d+)", 1).cast("int")
@@ -198,7 +199,7 @@ def cell_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("col_name"),
     )
     both = cells.unionByName(unused)
-    return both.select(
+    dictionary = both.select(
         "template_code",
         F.concat("template_code", F.lit(" - Table")).alias("template_name"),
         F.lit("Common disclosures").alias("module_name"),
@@ -212,6 +213,7 @@ def cell_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("dimensions"),
         F.struct("template_code", "row_code", "col_code").alias("line"),
     )
+    return settle(dictionary)
 
 
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
