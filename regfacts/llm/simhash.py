@@ -3,7 +3,7 @@
 A fingerprint bit is the majority of that bit over the hashes of a document's
 word shingles. Candidate pairs come from 2^(r+1) - 1 structured bit masks: bit
 i carries a vector m(i) of r+1 bits, and mask v keeps the bits whose vector has
-an even product with v. The vectors of at most r differing bits span at most r
+an odd product with v. The vectors of at most r differing bits span at most r
 dimensions, so some v is orthogonal to all of them and that mask keeps none of
 the differing bits: every pair within the radius meets in some table.
 """
@@ -69,7 +69,7 @@ def covering_masks(radius: int) -> list[int]:
     vectors = [1 + (i * 11) % ((1 << (radius + 1)) - 1) for i in range(64)]
     masks = []
     for v in range(1, 1 << (radius + 1)):
-        mask = sum(1 << i for i in range(64) if (vectors[i] & v).bit_count() % 2 == 0)
+        mask = sum(1 << i for i in range(64) if (vectors[i] & v).bit_count() % 2)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     return masks
 
