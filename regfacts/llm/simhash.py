@@ -16,7 +16,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfacts.llm.common import Workspace, record_batch, runs, table_rows, utf8, whole_groups
@@ -163,6 +163,25 @@ def near_components(docs: DataFrame, work: Workspace, *, shingle_words: int, rad
         "doc_id", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+#: Near duplicates: five-word shingles; fingerprints of texts of similarity 0.8 or more are mostly this near.
+SHINGLE_WORDS, RADIUS = 5, 4
+
+
+def one_per_group(docs: DataFrame, work: Workspace, *, shingle_words: int = SHINGLE_WORDS,
+                  radius: int = RADIUS) -> DataFrame:
+    """docs with one row of each group of near duplicates: that of the smallest id.
+
+    Of several rows of that id the one of smallest text hash stays. Rows of
+    null id stay. All texts without words are one group.
+    """
+    ids = near_components(docs.select("doc_id", "text"), work, shingle_words=shingle_words, radius=radius)
+    chosen = ids.groupBy("component_id").agg(F.min("doc_id").alias("__id")).where("__id is not null").select("__id")
+    kept = docs.join(chosen, F.col("doc_id") == F.col("__id"), "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    one = kept.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == 1).drop("__rank")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def hexadecimal(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
