@@ -48,17 +48,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's checkpoint folder.
 
-    Only where none is set (tests, a laptop) a temporary one is chosen, once per
-    session.
+    Only where none is set and driver and executors are one process (tests, a
+    laptop) a temporary one is chosen, once per application. A cluster without
+    the setting is an error: its executors would not see each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="regfacts-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="regfacts-")
+    return _LOCAL_FOLDERS[app]
 
 
 def settle(df: DataFrame, *partition_by: str) -> DataFrame:
