@@ -60,6 +60,13 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a step holds few texts at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def batches_of(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose sizes sum to `limit` or little more."""
     start = total = 0

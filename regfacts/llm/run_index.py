@@ -12,6 +12,18 @@ from __future__ import annotations
 import numpy as np
 
 
+def _ordered(key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places by (key, place), and the keys in that order."""
+    bits = n.bit_length()
+    if int(key.max(initial=0)) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    # one number sorts much faster than an indirect sort
+    packed = key << bits | np.arange(n)
+    packed.sort()
+    return packed & ((1 << bits) - 1), packed >> bits
+
+
 class RunLengthIndex:
     """Index of several byte strings; matches do not cross their ends.
 
@@ -36,7 +48,7 @@ class RunLengthIndex:
         #: symbols from a place to the end of its string
         self.left = np.repeat(ends, size + 1) - place
         levels, final = self._ranks(text, int(code.max(initial=0)), int(size.max(initial=0)) + 1)
-        order = np.argsort(final * n + place)
+        order = _ordered(final, n)[0]
         before = np.where(order > 0, text[order - 1], 0)
         head = np.ones(n, bool)
         head[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
@@ -53,15 +65,14 @@ class RunLengthIndex:
         """Ranks of all suffixes by their first 1, 2, 4 ... packs of symbols."""
         n = len(text)
         bits = max(1, top.bit_length())
-        step = 63 // bits
+        step = max(1, (63 - n.bit_length()) // bits)
         padded = np.append(text, np.zeros(step, np.int64))
         key = np.zeros(n, np.int64)
         for t in range(step):
             key = (key << bits) | np.where(self.left > t, padded[t:t + n], 0)
         levels, h = [], step
         while True:
-            order = np.argsort(key)
-            ordered = key[order]
+            order, ordered = _ordered(key, n)
             rank = np.empty(n, np.int32)
             rank[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))
             levels.append((h, rank))

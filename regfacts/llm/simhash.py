@@ -119,7 +119,7 @@ def _link_buckets(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         yield record_batch("x long, y long", [pair[:, 0], pair[:, 1]])
 
 
-def print_links(prints: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+def print_links(prints: DataFrame, radius: int, work: Workspace, block: int = BLOCK) -> DataFrame:
     """Links (x, y) between distinct fingerprints `print`, enough for the components at `radius`.
 
     A bucket of more than `block` fingerprints is cut into blocks and every two
@@ -129,7 +129,8 @@ def print_links(prints: DataFrame, radius: int, block: int = BLOCK) -> DataFrame
                       for i, m in enumerate(covering_masks(radius))])
     keyed = prints.select("print", F.explode(masks).alias("t")).select(
         "print", F.col("t.mask").alias("mask"), F.col("print").bitwiseAND(F.col("t.bits")).alias("kept"))
-    sizes = keyed.groupBy("mask", "kept").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join meets plain shuffles, whose hot keys Spark splits
+    sizes = work.write(keyed.groupBy("mask", "kept").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("print"), blocks).cast("int")
     # the pairs of blocks that hold one's own block; a single block meets itself
@@ -153,7 +154,7 @@ def near_components(docs: DataFrame, work: Workspace, *, shingle_words: int, rad
     rows = work.write(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("print")), "prints")
     firsts = work.write(rows.where(F.col("doc_id").isNotNull())
                         .groupBy("print").agg(F.min("doc_id").alias("first")), "firsts")
-    links = work.write(print_links(firsts.select("print"), radius), "links")
+    links = work.write(print_links(firsts.select("print"), radius, work), "links")
     x = firsts.select(F.col("print").alias("x"), F.col("first").alias("a"))
     y = firsts.select(F.col("print").alias("y"), F.col("first").alias("b"))
     roots = components(links.join(x, "x").join(y, "y").select("a", "b"), work)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regfacts.llm import anchors
-from regfacts.llm.common import Workspace, batches_of, record_batch, runs, table_rows, utf8, whole_groups
+from regfacts.llm.common import Workspace, batches_of, record_batch, runs, slices, table_rows, utf8, whole_groups
 from regfacts.llm.registry import query
 from regfacts.llm.run_index import RunLengthIndex
 
@@ -31,7 +31,7 @@ LENGTH, KGRAM = 400, 64
 #: Contents of one anchor that are indexed in one block; more are cut finer.
 GROUP = 512
 #: Frames of one index.
-INDEX_ROWS = 1800
+INDEX_ROWS = 900
 STEP = 16
 
 _FRAME = "row1 long, row2 long, anchor long, f1 long, f2 long, lo long, more int, ahead int"
@@ -56,7 +56,7 @@ def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
 
 def _frames(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
     table = anchors.byte_symbols()
-    for batch in batches:
+    for batch in slices(batches):
         row1, row2 = batch.column("row1").to_numpy(), batch.column("row2").to_numpy()
         parts = [(i, at, piece) for i, text in enumerate(utf8(batch.column("text"))) if len(text) >= length
                  for at, piece in _pieces(text, length)]
@@ -94,7 +94,7 @@ def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
 
 def _first_pass(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Texts without open frames are done; the others go on with the bodies of these."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = utf8(batch.column("text"))
         marks = batch.column("marks").to_pylist()
         bodies = []
@@ -130,7 +130,7 @@ def _finer(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterato
     All windows of a block share the core between them; it is the new anchor.
     """
     digest = xxhash.xxh3_128_digest
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for r in batch.to_pylist():
             body, ahead, more = r["body"], r["ahead"], r["more"]
@@ -169,7 +169,7 @@ _SINGLE = "row1 long, row2 long, f1 long, f2 long, lo long, weight long"
 
 def _single(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_digest
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for r in batch.to_pylist():
             q, ahead = r["q"], r["ahead"]
@@ -190,17 +190,18 @@ def repeated_spans(docs: DataFrame, work: Workspace, *, length: int = LENGTH, kg
                        F.xxhash64("doc_id", "text").alias("row2"))
     frames = work.write(docs.where(F.octet_length("text") >= length).select("row1", "row2", "text").mapInArrow(
         partial(_frames, length=length, k=kgram), _FRAME), "frames")
-    shared = frames.groupBy("anchor").agg(
+    # written, so that the join below meets plain shuffles, whose hot keys Spark splits
+    shared = work.write(frames.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("c"), F.min("f1").alias("a1"), F.max("f1").alias("b1"), F.min("f2").alias("a2"),
-        F.max("f2").alias("b2")).where("c > 1").select("anchor", F.expr("a1 = b1 and a2 = b2").alias("same"))
+        F.max("f2").alias("b2")).where("c > 1").select("anchor", F.expr("a1 = b1 and a2 = b2").alias("same")), "shared")
     live = work.write(frames.join(shared, "anchor"), "live")
     work.drop("frames")
     mixed = live.where(~F.col("same"))
     contents = work.write(mixed.groupBy("anchor", "f1", "f2").agg(
         F.count(F.lit(1)).alias("weight"), F.min(F.struct("row1", "row2", "lo", "more", "ahead")).alias("at")), "contents")
     copies = mixed.join(contents.where("weight > 1").select("anchor", "f1", "f2"), ["anchor", "f1", "f2"])
-    number = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.min("weight").alias("least")) \
-        .where("least = 1").select("anchor", "contents")
+    number = work.write(contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.min("weight").alias("least")) \
+        .where("least = 1").select("anchor", "contents"), "number")
     to_index = contents.join(number, "anchor").select("at.row1", "at.row2", "anchor", "at.lo", "at.more", "at.ahead",
                                                       "weight", "contents")
     whole = live.where("same").unionByName(copies.select(live.columns)).select(
@@ -241,7 +242,7 @@ def _spans(marks: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for text, (lo, hi) in zip(utf8(batch.column("text")), _spans(batch.column("marks")), strict=True):
             removed, n, kept = cut(text, lo, hi)

@@ -134,7 +134,7 @@ def test_links_of_large_buckets_keep_components(spark, block):
     base = [rng.getrandbits(63) for _ in range(3)]
     prints = sorted({b ^ (1 << rng.randrange(62)) ^ (1 << rng.randrange(62)) for b in base for _ in range(40)})
     frame = spark.createDataFrame([(p,) for p in prints], "print long")
-    links = simhash.print_links(frame, 4, block=block).toDF("a", "b")
+    links = simhash.print_links(frame, 4, Workspace(spark, "t"), block=block).toDF("a", "b")
     roots = {r.node: r.root for r in components(links, Workspace(spark, "t")).collect()}
     want = components_by_hand({p: p for p in prints}, prints, 4)
     assert {p: roots.get(p, p) for p in prints} == want
