@@ -1,4 +1,11 @@
 """All queries of this subpackage."""
 
-from regfacts.llm import quality_rules, simhash, suffix_dedup  # noqa: F401
+from regfacts.llm import (  # noqa: F401
+    decontaminate,
+    packing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+)
 from regfacts.llm.registry import ORACLES, QUERIES  # noqa: F401
