@@ -9,7 +9,7 @@ edit distance over the stretch of text that the hit allows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -164,14 +164,18 @@ def clean_documents(docs: DataFrame, items: DataFrame, *, error_share: float = E
                     block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs without those that hold an item; a narrow pass for every block of items."""
     for block in _blocks(items, block_chars):
-        def leaks(text: pa.Array, block=block) -> pa.Array:
-            matcher = _cached(block, error_share)
-            return pa.array([bool(matcher.find(normalized(t))) for t in text.to_pylist()], pa.bool_())
-
-        docs = docs.where(~F.arrow_udf(leaks, "boolean").asNondeterministic()(F.col("text")))
+        docs = docs.where(~F.arrow_udf(_leaks(block, error_share), "boolean").asNondeterministic()(F.col("text")))
     return docs
 
 
+def _leaks(block: list[tuple[int, str]], error_share: float) -> Callable[[pa.Array], pa.Array]:
+    def leaks(text: pa.Array) -> pa.Array:
+        matcher = _cached(block, error_share)
+        return pa.array([bool(matcher.find(normalized(t))) for t in text.to_pylist()], pa.bool_())
+
+    return leaks
+
+
 _MATCHERS: dict[int, tuple[list, Matcher]] = {}
 
 
