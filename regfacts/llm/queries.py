@@ -7,5 +7,6 @@ from regfacts.llm import (  # noqa: F401
     simhash,
     suffix_dedup,
     token_files,
+    warc,
 )
 from regfacts.llm.registry import ORACLES, QUERIES  # noqa: F401

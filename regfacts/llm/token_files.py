@@ -119,7 +119,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end: int)
 
     def flush() -> pa.RecordBatch:
         name = f"{where}/{uuid.uuid4().hex}.pkid"
-        with fs.open_output_stream(name) as sink:
+        with fs.open_output_stream(name, compression=None) as sink:
             n = write_file(sink, held_docs, held_ids, width(max(encoder(path).size, end + 1)))
         return record_batch("name string, row long, n_docs long, n_ids long",
                             [[name], [row - len(held_docs)], [len(held_docs)], [n]])

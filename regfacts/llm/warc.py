@@ -143,7 +143,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
         for row in batch.to_pylist():
             if stream is None:
                 name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                sink = fs.open_output_stream(f"{where}/{name}")
+                sink = fs.open_output_stream(f"{where}/{name}", compression=None)
                 stream = gzip.GzipFile(fileobj=sink, mode="wb", compresslevel=4, mtime=0)
             payload = (row["html"] or "").encode()
             stream.write(record(row["page_id"], row["url"], payload, row["refers_to"]))
@@ -181,8 +181,10 @@ def _normalise(batches: Iterator[pa.RecordBatch], folder: str, target: str) -> I
     for batch in batches:
         for name in batch.column("name").to_pylist():
             new = f"{uuid.uuid4().hex}.warc.gz"
-            with fs.open_input_stream(f"{where}/{name}") as source, out.open_output_stream(f"{to}/{new}") as sink, \
-                    out.open_output_stream(f"{to}/{new}.idx") as index:
+            # by default the file system would compress by the name's ending
+            with fs.open_input_stream(f"{where}/{name}", compression=None) as source, \
+                    out.open_output_stream(f"{to}/{new}", compression=None) as sink, \
+                    out.open_output_stream(f"{to}/{new}.idx", compression=None) as index:
                 n = normalise(source, sink, index)
             yield record_batch(FILES, [[new], [n]])
 
