@@ -2,7 +2,9 @@
 
 from regfacts.llm import (  # noqa: F401
     decontaminate,
+    ordinal,
     packing,
+    pitman_yor,
     quality_rules,
     simhash,
     suffix_dedup,
