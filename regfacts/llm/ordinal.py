@@ -28,24 +28,32 @@ GRADES = 3
 CACHE = 300_000
 SCORES = "doc_id long, expected_grade double, tail_probability double, kept boolean"
 
-_NUMBERS: dict[bytes, int] = {}
+_NUMBERS: dict[bytes, list[int]] = {}
+_SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text's distinct words and their weights, of length 1 in all.
+    """Buckets of a text's distinct words and their values, log(1 + occurrences).
 
-    A word counts log(1 + occurrences). Word case is kept out, its punctuation
-    is not, and the share of words with a symbol at either end is in the words
-    themselves.
+    A word counts without the punctuation around it; each different sign at a
+    word's end counts as a word of its own, and so do the text's length, in
+    powers of two, and the tenths that its most frequent word takes.
     """
-    words = text.lower().split()
     known = _NUMBERS
     if len(known) > CACHE:
         known.clear()
-    ids = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w) % BUCKETS) for w in words]
+    ids: list[int] = []
+    for w in text.lower().split():
+        if w not in known:
+            core = w.strip(_SIGNS)
+            parts = ([core] if core else []) + [b"\0" + bytes([c]) for c in sorted(set(w[len(w.rstrip(_SIGNS)):]))]
+            known[w] = [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in parts]
+        ids += known[w]
+    most = int(np.bincount(np.unique(np.array(ids, np.int64), return_inverse=True)[1]).max(initial=0))
+    shape = [b"\0words %d" % len(ids).bit_length(), b"\0most %d" % (10 * most // max(1, len(ids)))]
+    ids += [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in shape]
     bucket, times = np.unique(np.array(ids, np.int64), return_counts=True)
-    value = np.log1p(times)
-    return bucket, value / max(np.sqrt((value ** 2).sum()), 1e-12)
+    return bucket, np.log1p(times)
 
 
 class Ordinal:
@@ -59,22 +67,26 @@ class Ordinal:
         """P(grade >= 1), P(grade >= 2), ... of each score."""
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -40, 40)))
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, *, epochs: int = 40,
-            rate: float = 2.0, penalty: float = 1e-6, batch: int = 256) -> Ordinal:
-        """AdaGrad on the negative log likelihood; rows of each grade weigh alike in all.
+    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, *, epochs: int = 25,
+            rate: float = 0.15, penalty: float = 2e-4, batch: int = 256, least_rows: int = 10,
+            least_z: float = 5.0) -> Ordinal:
+        """AdaGrad on the negative log likelihood; rare grades weigh more, by the root of their rarity.
 
-        Thresholds are kept in order by their gaps, which stay positive. No
+        Buckets of fewer than `least_rows` rows, or whose mean grade is within
+        `least_z` standard errors of that of all rows, keep no weight: they
+        would learn single texts by heart. Thresholds are kept in order by their gaps, which stay positive. No
         rows leave the model as it is.
         """
         if not rows:
             return self
         counts = np.bincount(grade, minlength=len(self.thresholds) + 1)
         share = len(rows) / np.maximum(counts, 1) / max(1, np.count_nonzero(counts))
-        weight = np.minimum(share, 10)[grade]
+        weight = np.sqrt(share)[grade]
         size = np.array([len(b) for b, _ in rows])
         at = np.append(0, np.cumsum(size))
         bucket = np.concatenate([b for b, _ in rows])
         value = np.concatenate([v for _, v in rows])
+        value = np.where(self._telling(bucket, np.repeat(grade, size), grade, least_rows, least_z)[bucket], value, 0.0)
         rng = np.random.default_rng(1)
         squares, t_squares = np.full(len(self.weights), 1e-8), np.full(len(self.thresholds), 1e-8)
         free = np.append(self.thresholds[0], np.log(np.diff(self.thresholds)))
@@ -109,6 +121,13 @@ class Ordinal:
                 self.thresholds = free[0] + np.append(0, np.cumsum(np.exp(free[1:])))
         return self
 
+    def _telling(self, bucket: np.ndarray, of_row: np.ndarray, grade: np.ndarray, least_rows: int,
+                 least_z: float) -> np.ndarray:
+        n = len(self.weights)
+        rows, total = np.bincount(bucket, minlength=n), np.bincount(bucket, of_row, n)
+        error = grade.std() / np.sqrt(np.maximum(rows, 1)) + 1e-12
+        return (rows >= least_rows) & (np.abs(total / np.maximum(rows, 1) - grade.mean()) >= least_z * error)
+
     def score(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         return np.array([float(self.weights[b] @ v) for b, v in rows])
 
