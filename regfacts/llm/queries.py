@@ -6,6 +6,7 @@ from regfacts.llm import (  # noqa: F401
     packing,
     pitman_yor,
     quality_rules,
+    relative_parse,
     simhash,
     suffix_dedup,
     token_files,
