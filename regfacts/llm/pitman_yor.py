@@ -111,35 +111,39 @@ def _wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch], most_blocks: int) -> Iterator[pa.RecordBatch]:
-    """WORDS from WANTS sorted by word; a word of very many blocks gives several rows, of which one has pairs."""
-    word, blocks, total = None, [], np.zeros(CONTEXTS, np.int64)
-    rows: list[tuple] = []
-
-    def close() -> None:
-        used = np.flatnonzero(total)
-        packed = np.empty(len(used), PAIR)
-        packed["context"], packed["count"] = used, total[used]
-        # every row of a word tells its counts; only the first is seated into the totals
-        for at in range(0, len(blocks), most_blocks):
-            rows.append((word, blocks[at:at + most_blocks], packed.tobytes()))
-
-    for batch in slices(batches, 20_000):
-        for w, b, p in zip(*(batch.column(c).to_pylist() for c in ("word", "block", "pairs")), strict=True):
-            if w != word:
-                if word is not None:
-                    close()
-                word, blocks, total = w, [], np.zeros(CONTEXTS, np.int64)
-            blocks.append(b)
-            if p:
-                x = np.frombuffer(p, PAIR)
-                total[x["context"]] += x["count"]  # contexts of one row are distinct
-            if len(rows) >= GROUP_WORDS:
-                yield _words(rows)
-                rows = []
-    if word is not None:
-        close()
-    if rows:
-        yield _words(rows)
+    """WORDS from WANTS sorted by word; a word of very many blocks gives several rows with the same pairs."""
+    words: list[bytes] = []
+    blocks: list[int] = []
+    pairs: list[bytes] = []
+
+    def close(n: int) -> Iterator[pa.RecordBatch]:
+        """Rows of the first n wants, which are whole words."""
+        first = [0, *[i for i in range(1, n) if words[i] != words[i - 1]]]
+        of = np.repeat(np.arange(len(first)), np.diff([*first, n]))
+        flat = np.frombuffer(b"".join(pairs[:n]), PAIR)
+        size = np.fromiter(map(len, pairs[:n]), np.int64, n) // PAIR.itemsize
+        key, at = np.unique(np.repeat(of, size) << 8 | flat["context"], return_inverse=True)
+        packed = np.empty(len(key), PAIR)
+        packed["context"], packed["count"] = key & 255, np.bincount(at, flat["count"], len(key))
+        data, edge = packed.tobytes(), (np.searchsorted(key >> 8, np.arange(len(first) + 1)) * PAIR.itemsize).tolist()
+        rows = [(words[a], blocks[k:min(b, k + most_blocks)], data[edge[i]:edge[i + 1]])
+                for i, (a, b) in enumerate(zip(first, [*first[1:], n], strict=True)) for k in range(a, b, most_blocks)]
+        for k in range(0, len(rows), GROUP_WORDS):
+            yield _words(rows[k:k + GROUP_WORDS])
+
+    for batch in slices(batches, GROUP_WORDS):
+        words += batch.column("word").to_pylist()
+        blocks += batch.column("block").to_pylist()
+        pairs += batch.column("pairs").to_pylist()
+        if len(words) >= 4 * GROUP_WORDS:
+            n = len(words) - 1
+            while n and words[n] == words[n - 1]:
+                n -= 1
+            if n:
+                yield from close(n)
+                del words[:n], blocks[:n], pairs[:n]
+    if words:
+        yield from close(len(words))
 
 
 def _words(rows: list[tuple]) -> pa.RecordBatch:

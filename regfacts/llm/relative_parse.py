@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from regfacts.llm import anchors
 from regfacts.llm.common import Workspace, batches_of, record_batch, runs, slices, table_rows, utf8, whole_groups
 from regfacts.llm.registry import query
+from regfacts.llm.spans import Finish, finish_spans
 from regfacts.llm.suffix_dedup import spans_of
 
 LENGTH, KGRAM = 13, 4
@@ -172,24 +173,9 @@ def _filter(shared: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-_BODY = "anchor bigint, lo int, contents bigint, body binary"
-
-
-def _first_pass(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        bodies = []
-        for text, marks in zip(utf8(batch.column("text")), batch.column("marks").to_pylist(), strict=True):
-            waiting = [m for m in marks or () if m["contents"]]
-            own = symbols(text.split()) if waiting else None
-            bodies.append([{"anchor": m["anchor"], "lo": m["lo"], "contents": m["contents"],
-                            "body": own[m["lo"]:m["lo"] + m["more"] + length].tobytes()} for m in waiting])
-        kind = pa.list_(pa.struct([("anchor", pa.int64()), ("lo", pa.int32()), ("contents", pa.int64()), ("body", pa.binary())]))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bodies, kind)], names=[*batch.schema.names, "bodies"])
-
-
-def repeated_words(docs: DataFrame, work: Workspace, *, length: int = LENGTH, kgram: int = KGRAM,
-                   group: int = GROUP) -> DataFrame:
-    """docs (doc_id, text) with `marks`, an array of word ranges (lo, hi) that smaller ids have too.
+def repeated_words(docs: DataFrame, work: Workspace, fields: str, finish: Finish, *, length: int = LENGTH,
+                   kgram: int = KGRAM, group: int = GROUP) -> DataFrame:
+    """doc_id with `fields` of what `finish` makes of a text and its word ranges that smaller ids have too.
 
     Rows of one id do not remove each other. Rows of null id remove nothing
     and lose nothing. Null and short texts have no marks.
@@ -219,26 +205,18 @@ def repeated_words(docs: DataFrame, work: Workspace, *, length: int = LENGTH, kg
         "row1", "row2", "anchor", "lo", "more", "contents")
     per_row = whole.union(to_parse).groupBy("row1", "row2").agg(
         F.collect_list(F.struct("anchor", "lo", "more", "contents")).alias("marks"))
-    met = docs.join(per_row, ["row1", "row2"], "left").select("doc_id", "text", "row1", "row2", "marks")
-    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema) + \
-        f", bodies array<struct<{_BODY.replace(' ', ': ').replace(',:', ',')}>>"
-    first = work.write(met.mapInArrow(partial(_first_pass, length=length), kind), "first")
-    bodies = first.where(F.size("bodies") > 0).select("row1", "row2", F.explode("bodies").alias("b")).select(
-        "row1", "row2", "b.*").distinct()
-    marks = bodies.where(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor", "row1") \
-        .mapInArrow(partial(_parse, length=length), _MARK)
-    hot = bodies.where(F.col("contents") > group)
-    if not hot.isEmpty():
-        marks = marks.union(_of_hot(work.write(hot, "hot"), work, length))
-    found = work.write(marks.groupBy("row1", "row2").agg(F.collect_list(F.struct("lo", "hi")).alias("found")), "found")
-    done = F.transform(F.filter("marks", lambda m: m["contents"] == 0),
-                       lambda m: F.struct(m["lo"].alias("lo"), (m["lo"] + m["more"] + F.lit(length)).alias("hi")))
-    none = F.array().cast("array<struct<lo:int,hi:int>>")
-    waiting = first.where(F.size("bodies") > 0).select("doc_id", "text", "row1", "row2", done.alias("done")) \
-        .join(found, ["row1", "row2"], "left").select("doc_id", "text", F.concat("done", F.coalesce("found", none)).alias("marks"))
-    ready = first.where(F.coalesce(F.size("bodies"), F.lit(0)) <= 0).select(
-        "doc_id", "text", F.coalesce(done, none).alias("marks"))
-    return ready.union(waiting)
+
+    def search(bodies: DataFrame) -> DataFrame:
+        found = bodies.where(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor", "row1") \
+            .select("row1", "row2", "anchor", "lo", "body").mapInArrow(partial(_parse, length=length), _MARK)
+        hot = bodies.where(F.col("contents") > group)
+        return found if hot.isEmpty() else found.union(_of_hot(work.write(hot, "hot"), work, length))
+
+    return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish, body=_stretch, search=search)
+
+
+def _stretch(text: bytes, lo: int, hi: int) -> bytes:
+    return symbols(text.split()[lo:hi]).tobytes()
 
 
 def kept_words(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, list[bytes]]:
@@ -249,26 +227,24 @@ def kept_words(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, list[b
     return len(words), [w for x, y in zip(at, [*a.tolist(), len(words)], strict=True) for w in words[x:y]]
 
 
-DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+DIGEST = "n_words long, n_removed long, kept_sha256 string"
 
 
-def _ranges(marks: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for m in marks.to_pylist():
-        m = m or ()
-        yield np.array([x["lo"] for x in m], np.int64), np.array([x["hi"] for x in m], np.int64)
+def digest(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple:
+    """The fields of DIGEST; a null text has no words."""
+    n, kept = kept_words(text or b"", lo, hi)
+    return n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        rows = []
-        for text, (lo, hi) in zip(utf8(batch.column("text")), _ranges(batch.column("marks")), strict=True):
-            n, kept = kept_words(text, lo, hi)
-            rows.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        yield record_batch(DIGEST, [batch.column("doc_id"), *(list(zip(*rows, strict=True)) or [[]] * 3)])
+def clean(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[str | None]:
+    """The words outside the ranges, joined by one space; texts without ranges stay as they are."""
+    if text is None or not len(lo):
+        return (None if text is None else text.decode("utf-8", "replace"),)
+    return (b" ".join(kept_words(text, lo, hi)[1]).decode("utf-8", "replace"),)
 
 
 @query()
 def op4_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, removed words and hash of what is left, of every document; null texts have no words."""
     docs = table_rows(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeated_words(docs, Workspace(spark, "op4")).mapInArrow(_digest, DIGEST)
+    return repeated_words(docs, Workspace(spark, "op4"), DIGEST, digest)

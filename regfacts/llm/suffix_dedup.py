@@ -26,6 +26,7 @@ from regfacts.llm import anchors
 from regfacts.llm.common import Workspace, batches_of, record_batch, runs, slices, table_rows, utf8, whole_groups
 from regfacts.llm.registry import query
 from regfacts.llm.run_index import RunLengthIndex
+from regfacts.llm.spans import Finish, finish_spans
 
 LENGTH, KGRAM = 400, 64
 #: Contents of one anchor that are indexed in one block; more are cut finer.
@@ -35,7 +36,6 @@ INDEX_ROWS = 900
 STEP = 16
 
 _FRAME = "row1 long, row2 long, anchor long, f1 long, f2 long, lo long, more int, ahead int"
-_BODY = "row1 long, row2 long, anchor long, lo long, more int, ahead int, weight long, contents long, body binary"
 _MARK = "row1 long, row2 long, lo long, hi long"
 
 
@@ -92,22 +92,6 @@ def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
     return len(text) - len(kept), len(a), kept
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Texts without open frames are done; the others go on with the bodies of these."""
-    for batch in slices(batches):
-        texts = utf8(batch.column("text"))
-        marks = batch.column("marks").to_pylist()
-        bodies = []
-        for text, own in zip(texts, marks, strict=True):
-            bodies.append([{**m, "body": text[m["lo"]:m["lo"] + m["more"] + length]}
-                           for m in own or () if m["contents"]])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(bodies, pa.list_(pa.struct(
-                [("anchor", pa.int64()), ("lo", pa.int64()), ("more", pa.int32()), ("ahead", pa.int32()),
-                 ("weight", pa.int64()), ("contents", pa.int64()), ("body", pa.binary())])))],
-            names=[*batch.schema.names, "bodies"])
-
-
 def _index(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Marks of the windows that the index finds at another place too."""
     for table in whole_groups(batches, ["anchor"], INDEX_ROWS):
@@ -178,13 +162,13 @@ def _single(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterat
         yield record_batch(_SINGLE, list(zip(*out, strict=True)) or [[]] * 6)
 
 
-def repeated_spans(docs: DataFrame, work: Workspace, *, length: int = LENGTH, kgram: int = KGRAM,
-                   group: int = GROUP) -> DataFrame:
-    """docs (doc_id, text and what else is to be kept) with `row1`, `row2` (the row's identity) and `marks`, an array of (lo, hi).
+def repeated_bytes(docs: DataFrame, work: Workspace, fields: str, finish: Finish, *, length: int = LENGTH,
+                   kgram: int = KGRAM, group: int = GROUP) -> DataFrame:
+    """docs without text, with `fields` of what `finish` makes of a text and its repeated ranges.
 
-    The marks cover the bytes in strings of `length` bytes that start
+    The ranges cover the bytes in strings of `length` bytes that start
     elsewhere too, in any row. Equal rows are two places. Null and short texts
-    have no marks (null).
+    have none.
     """
     docs = docs.select(*docs.columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("row1"),
                        F.xxhash64("doc_id", "text").alias("row2"))
@@ -209,63 +193,39 @@ def repeated_spans(docs: DataFrame, work: Workspace, *, length: int = LENGTH, kg
         F.lit(0).cast("long").alias("contents"))
     per_row = whole.unionByName(to_index).groupBy("row1", "row2").agg(
         F.collect_list(F.struct("anchor", "lo", "more", "ahead", "weight", "contents")).alias("marks"))
-    met = docs.join(per_row, ["row1", "row2"], "left")
-    body = _BODY.split("row2 long, ")[1].replace(" long", ": bigint").replace(" int", ": int").replace(" binary", ": binary")
-    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema) + f", bodies array<struct<{body}>>"
-    first = work.write(met.mapInArrow(partial(_first_pass, length=length), kind), "first")
-    bodies = first.where(F.size("bodies") > 0).select("row1", "row2", F.explode("bodies").alias("b")).select(
-        "row1", "row2", "b.*").distinct()  # equal rows give the same body once
-    cold = bodies.where(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor") \
-        .select("row1", "row2", "anchor", "lo", "body").mapInArrow(partial(_index, length=length), _MARK)
-    hot_bodies = bodies.where(F.col("contents") > group)
-    if not hot_bodies.isEmpty():
-        cold = cold.union(_marks_of_hot(work.write(hot_bodies, "hot"), work, length))
-    found = work.write(cold.groupBy("row1", "row2").agg(F.collect_list(F.struct("lo", "hi")).alias("found")), "found")
-    done = F.transform(F.filter("marks", lambda m: m["contents"] == 0),
-                       lambda m: F.struct(m["lo"].alias("lo"), (m["lo"] + m["more"] + F.lit(length)).alias("hi")))
-    own = [c for c in docs.columns if c not in ("row1", "row2")]
-    waiting = first.where(F.size("bodies") > 0).select(*own, "row1", "row2", done.alias("done"))
-    merged = waiting.join(found, ["row1", "row2"], "left").select(
-        *own, "row1", "row2",
-        F.concat("done", F.coalesce("found", F.array().cast("array<struct<lo:bigint,hi:bigint>>"))).alias("marks"))
-    ready = first.where(F.coalesce(F.size("bodies"), F.lit(0)) <= 0).select(
-        *own, "row1", "row2", done.alias("marks"))
-    return ready.unionByName(merged)
-
-
-def _spans(marks: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    flat = marks.flatten()
-    size = np.diff(np.append(0, np.cumsum([len(m) if m.is_valid else 0 for m in marks])))
-    lo, hi = flat.field("lo").to_numpy(), flat.field("hi").to_numpy()
-    at = np.append(0, np.cumsum(size))
-    return [(lo[a:b], hi[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        rows = []
-        for text, (lo, hi) in zip(utf8(batch.column("text")), _spans(batch.column("marks")), strict=True):
-            removed, n, kept = cut(text, lo, hi)
-            rows.append((len(text), removed, n, hashlib.sha256(kept).hexdigest()))
-        yield record_batch(DIGEST, [batch.column("doc_id"), *(list(zip(*rows, strict=True)) or [[]] * 4)])
+
+    def search(bodies: DataFrame) -> DataFrame:
+        found = bodies.where(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor") \
+            .select("row1", "row2", "anchor", "lo", "body").mapInArrow(partial(_index, length=length), _MARK)
+        hot = bodies.where(F.col("contents") > group)
+        return found if hot.isEmpty() else found.union(_marks_of_hot(work.write(hot, "hot"), work, length))
+
+    return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish, body=_stretch, search=search)
 
 
-DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+def _stretch(text: bytes, lo: int, hi: int) -> bytes:
+    return text[lo:hi]
 
 
-def _clean(text: pa.Array, marks: pa.Array) -> pa.Array:
-    """Texts without the marked bytes; a character of which a byte stays, stays whole."""
-    out = []
-    for value, (lo, hi) in zip(text.cast(pa.binary()).to_pylist(), _spans(marks), strict=True):
-        if value is None or not len(lo):
-            out.append(value)
-            continue
-        begins = (np.frombuffer(value, np.uint8) & 0xC0) != 0x80
-        edge = np.append(np.flatnonzero(begins), len(value))
-        a, b = spans_of(lo, hi)
-        a, b = edge[np.searchsorted(edge, a)], edge[np.searchsorted(edge, b, "right") - 1]
-        out.append(cut(value, a[a < b], b[a < b])[2])
-    return pa.array(out, pa.binary()).cast(pa.string())
+DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def digest(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple:
+    """The fields of DIGEST; a null text is empty."""
+    removed, n, kept = cut(text or b"", lo, hi)
+    return len(text or b""), removed, n, hashlib.sha256(kept).hexdigest()
+
+
+def clean(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[str | None]:
+    """The text without the ranges; a character of which a byte stays, stays whole."""
+    if text is None:
+        return (None,)
+    if not len(lo):
+        return (text.decode("utf-8", "replace"),)
+    edge = np.append(np.flatnonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80), len(text))
+    a, b = spans_of(lo, hi)
+    a, b = edge[np.searchsorted(edge, a)], edge[np.searchsorted(edge, b, "right") - 1]
+    return (cut(text, a[a < b], b[a < b])[2].decode("utf-8", "replace"),)
 
 
 def without_repeats(docs: DataFrame, work: Workspace, **options) -> DataFrame:
@@ -274,11 +234,9 @@ def without_repeats(docs: DataFrame, work: Workspace, **options) -> DataFrame:
     A column n_chars, where there is one, counts the new text.
     """
     rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
-    spans = repeated_spans(docs.select("doc_id", "text", rest.alias("rest")), work, **options)
-    clean = spans.select("rest", F.arrow_udf(_clean, "string").asNondeterministic()(
-        F.col("text"), F.col("marks")).alias("text"))
-    new = {"text": F.col("text"), "n_chars": F.length(F.coalesce("text", F.lit(""))).cast("long")}
-    return clean.select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
+    out = repeated_bytes(docs.select("doc_id", "text", rest.alias("rest")), work, "clean string", clean, **options)
+    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
+    return out.select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
 
 
 @query()
@@ -289,4 +247,4 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     remove each other.
     """
     docs = table_rows(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeated_spans(docs, Workspace(spark, "op10")).select("doc_id", "text", "marks").mapInArrow(_digest, DIGEST)
+    return repeated_bytes(docs, Workspace(spark, "op10"), DIGEST, digest)

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from regfacts.llm import simhash, suffix_dedup
+from regfacts.llm import relative_parse, simhash, suffix_dedup
 from regfacts.llm.common import Workspace
 from regfacts.llm.components import components
 from regfacts.llm.run_index import RunLengthIndex
@@ -58,8 +58,8 @@ def test_suffix_dedup_equals_brute_force(spark, group):
     texts = made_texts(group)
     rows = [*enumerate(texts), (None, texts[10]), (7, texts[7]), (8, "q")]
     docs = spark.createDataFrame(rows, DOCS)
-    spans = suffix_dedup.repeated_spans(docs, Workspace(spark, "t"), length=24, kgram=5, group=group)
-    got = spans.select("doc_id", "text", "marks").mapInArrow(suffix_dedup._digest, suffix_dedup.DIGEST).collect()
+    got = suffix_dedup.repeated_bytes(docs, Workspace(spark, "t"), suffix_dedup.DIGEST, suffix_dedup.digest, length=24,
+                                      kgram=5, group=group).collect()
     assert sorted(map(tuple, got), key=repr) == cut_by_hand(rows, 24)
 
 
@@ -142,3 +142,42 @@ def test_links_of_large_buckets_keep_components(spark, block):
 
 def test_no_links_no_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "t")).count() == 0
+
+
+def parsed_by_hand(rows, length):
+    seen, out = {}, []
+    for d, t in rows:
+        w = (t or "").encode().split()
+        for i in range(len(w) - length + 1):
+            key = tuple(w[i:i + length])
+            if d is not None:
+                seen[key] = min(d, seen.get(key, d))
+    for d, t in rows:
+        w = (t or "").encode().split()
+        gone = set()
+        for i in range(len(w) - length + 1):
+            if d is not None and seen[tuple(w[i:i + length])] < d:
+                gone.update(range(i, i + length))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("group", [512, 1])
+def test_relative_parse_equals_brute_force(spark, group):
+    texts = made_texts(group + 1)
+    rows = [*enumerate(texts), (None, texts[10]), (7, texts[7]), (8, texts[9])]
+    got = relative_parse.repeated_words(
+        spark.createDataFrame(rows, DOCS), Workspace(spark, "t"), relative_parse.DIGEST, relative_parse.digest, length=5,
+        kgram=2, group=group).collect()
+    assert sorted(map(tuple, got), key=repr) == parsed_by_hand(rows, 5)
+
+
+def test_parse_joins_factors_and_looks_up_windows_across_ends():
+    word = {c: xxhash.xxh3_64_digest(c) for c in "abcdefghij"}
+    body = lambda x: b"".join(word[c] for c in x)
+    block = relative_parse.ReferenceBlock(3)
+    block.add(body("abcd"))
+    block.add(body("cde"))
+    assert block.parse(body("xabcdefa".replace("x", "j"))) == [(1, 5), (3, 6)]
+    assert block.parse(body("ab")) == []
