@@ -77,11 +77,21 @@ class _Vocabulary:
 
 def _wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """WANTS of every block: its distinct words with their training counts by context."""
-    block, words, pairs = None, _Vocabulary(), []
+    block, words, pairs, fresh = None, _Vocabulary(), [], 0
+    counted = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+    def count_pairs() -> None:
+        """Replace the tokens read since by their counts."""
+        code, times = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]), return_counts=True)
+        counted.append((code, times))
+        pairs.clear()
 
     def flush() -> Iterator[pa.RecordBatch]:
         names = list(words.number)
-        code, count = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]), return_counts=True)
+        count_pairs()
+        code, at = np.unique(np.concatenate([c for c, _ in counted]), return_inverse=True)
+        count = np.bincount(at, np.concatenate([t for _, t in counted]), len(code))
+        del counted[1:]
         packed = np.empty(len(code), PAIR)
         packed["context"], packed["count"] = code % 256, count
         edge = np.searchsorted(code >> 8, np.arange(len(names) + 1)) * PAIR.itemsize
@@ -98,14 +108,16 @@ def _wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if n != block:
                 if block is not None:
                     yield from flush()
-                block, words, pairs = n, _Vocabulary(), []
+                block, words, fresh = n, _Vocabulary(), 0
             own = tokens(text)
             ids = words.ids(own)
             if not held:
                 last = np.fromiter((w[-1] & 127 for w in own), np.int64, len(own))
                 pairs.append(ids << 8 | np.append(START, last[:-1]))
-                if len(pairs) > 4000:  # counts of what was read so far stay small
-                    pairs = [np.concatenate(pairs)]
+                fresh += len(own)
+                if fresh > 1_000_000:
+                    count_pairs()
+                    fresh = 0
     if block is not None:
         yield from flush()
 
@@ -328,6 +340,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, n_train: int, vocabu
                 continue
             if tables is None:
                 tables = build()
+                shares = []
             counts, parents, key, share, last = tables
             own = tokens(text)
             ids = np.fromiter(map(words.__getitem__, own), np.int64, len(own))

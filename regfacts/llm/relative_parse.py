@@ -215,8 +215,9 @@ def repeated_words(docs: DataFrame, work: Workspace, fields: str, finish: Finish
     return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish, body=_stretch, search=search)
 
 
-def _stretch(text: bytes, lo: int, hi: int) -> bytes:
-    return symbols(text.split()[lo:hi]).tobytes()
+def _stretch(text: bytes, lo: np.ndarray, hi: np.ndarray) -> list[bytes]:
+    data = symbols(text.split()).tobytes()
+    return [data[8 * a:8 * b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
 
 def kept_words(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, list[bytes]]:

@@ -12,6 +12,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ from regfacts.llm.common import Workspace, arrow_schema, slices
 #: From a text (None where null) and its ranges to the values of the result's fields.
 Finish = Callable[[bytes | None, np.ndarray, np.ndarray], tuple]
 
+#: From a text and ranges to what is sought for each of them.
+Body = Callable[[bytes, np.ndarray, np.ndarray], list[bytes]]
+
 
 def _ranges(marks: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     table = np.array(marks, np.int64).reshape(-1, 2)
@@ -32,24 +36,37 @@ def _columns(rows: list[tuple | None], fields: str) -> tuple[list[pa.Array], lis
 
 
 def _first(batches: Iterator[pa.RecordBatch], length: int, fields: str, finish: Finish,
-           body: Callable[[bytes, int, int], bytes], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+           body: Body, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
+        marks = batch.column("marks")
+        flat = marks.flatten()
+        lo, more, contents = (flat.field(n).to_numpy().astype(np.int64) for n in ("lo", "more", "contents"))
+        hi = lo + more + length
+        is_open = contents > 0
+        edge = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(marks), 0).to_numpy(zero_copy_only=False)))
+        # open stretches before each mark, to cut the flat bodies into rows
+        before = np.append(0, np.cumsum(is_open))[edge]
         texts, bodies, results = [], [], []
-        for text, marks in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("marks").to_pylist(),
-                               strict=True):
-            open_ = [m for m in marks or () if m["contents"]]
-            if open_:
-                bodies.append([{**m, "body": body(text, m["lo"], m["lo"] + m["more"] + length)} for m in open_])
+        for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+            a, b = edge[i], edge[i + 1]
+            if before[i + 1] > before[i]:
+                own = a + np.flatnonzero(is_open[a:b])
+                bodies += body(text, lo[own], hi[own])
                 results.append(None)
                 texts.append(text)
             else:
-                results.append(finish(text, *_ranges([(m["lo"], m["lo"] + m["more"] + length) for m in marks or ()])))
-                bodies.append([])
+                results.append(finish(text, lo[a:b], hi[a:b]))
                 texts.append(None)
         new, names = _columns(results, fields)
+        open_marks = flat.filter(pa.array(is_open))
+        struct = kind.value_type
+        body_rows = pa.StructArray.from_arrays(
+            [pa.array(bodies, pa.binary()) if f.name == "body" else open_marks.field(f.name).cast(f.type) for f in struct],
+            fields=list(struct))
         held = {"text": pa.array(texts, pa.binary())}
         yield pa.RecordBatch.from_arrays(
-            [*[held.get(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True)], pa.array(bodies, kind), *new],
+            [*[held.get(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True)],
+             pa.ListArray.from_arrays(pa.array(before, pa.int32()), body_rows), *new],
             names=[*batch.schema.names, "bodies", *names])
 
 
@@ -67,12 +84,12 @@ def _ddl(df: DataFrame) -> str:
 
 
 def finish_spans(docs: DataFrame, per_row: DataFrame, work: Workspace, *, length: int, fields: str, finish: Finish,
-                 body: Callable[[bytes, int, int], bytes], search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                 body: Body, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """docs without text, row1 and row2, with `fields`.
 
     docs: text, row1, row2 and what is to be kept
     per_row: row1, row2, marks (lo, more, contents and more); contents is 0 for a settled stretch
-    body: what is sought in an open stretch of a text
+    body: what is sought in the open stretches of a text
     search: from the open stretches (row1, row2, marks' fields, body) to ranges found (row1, row2, lo, hi)
     """
     met = docs.join(per_row, ["row1", "row2"], "left").withColumn("text", F.col("text").cast("binary"))

@@ -203,8 +203,8 @@ def repeated_bytes(docs: DataFrame, work: Workspace, fields: str, finish: Finish
     return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish, body=_stretch, search=search)
 
 
-def _stretch(text: bytes, lo: int, hi: int) -> bytes:
-    return text[lo:hi]
+def _stretch(text: bytes, lo: np.ndarray, hi: np.ndarray) -> list[bytes]:
+    return [text[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
 
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
