@@ -312,7 +312,7 @@ def nation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("c", "value"),
     )
-    head = table(spark, sf_dir, "region").limit(1).select(
+    head = spark.range(1).select(
         F.inline(
             F.array(
                 *[

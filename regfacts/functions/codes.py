@@ -14,10 +14,10 @@ def _extract(c: ColumnOrName, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(as_col(c), pattern, 1), F.lit(""))
 
 
-def cell_template(c: ColumnOrName, wide_codes: bool = False) -> Column:
+def cell_template(c: ColumnOrName, wide_codes: bool = True) -> Column:
     """Template part of `{K_68.00, r0010, c0020}`.
 
-    Two digits before the dot by default; `wide_codes` also takes three.
+    Two or three digits before the dot; without `wide_codes` three give null.
     """
     return _extract(
         c, fixed.CELL_TEMPLATE_PATTERN_WIDE if wide_codes else fixed.CELL_TEMPLATE_PATTERN
@@ -32,7 +32,7 @@ def cell_column(c: ColumnOrName) -> Column:
     return _extract(c, fixed.CELL_COLUMN_PATTERN)
 
 
-def template_from_name(c: ColumnOrName, wide_codes: bool = False) -> Column:
+def template_from_name(c: ColumnOrName, wide_codes: bool = True) -> Column:
     """Strict template code of a points file name; null if it does not fit."""
     return _extract(
         c, fixed.FILE_TEMPLATE_PATTERN_WIDE if wide_codes else fixed.FILE_TEMPLATE_PATTERN

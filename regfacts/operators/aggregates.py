@@ -135,7 +135,7 @@ def severity(df: DataFrame) -> DataFrame:
 
 
 def validation_summary(
-    records: DataFrame, dictionary: DataFrame, broken: Sequence[str] = fixed.BROKEN_TEMPLATES
+    records: DataFrame, dictionary: DataFrame, broken: Sequence[str] = ()
 ) -> DataFrame:
     """One row: totals, error and warning counts, missing and extra templates."""
     known = dictionary.select("template_code").distinct().withColumn("known", F.lit(True))
@@ -225,16 +225,17 @@ def open_templates(dictionary: DataFrame) -> DataFrame:
 
 
 def institutions(facts: DataFrame, order: str = "line") -> DataFrame:
-    """One row per LEI: the last row of a file, the first file by name."""
+    """One row per LEI: the last row of a file, the first file by name and path."""
+    file = F.struct("source_file", *[c for c in ("source_path",) if c in facts.columns])
     value = F.struct("entity_name", "country")
     per_file = (
         facts.filter(F.col("lei").isNotNull())
-        .groupBy("lei", "source_file")
+        .groupBy("lei", file.alias("file"))
         .agg(F.max_by(value, order).alias("value"))
     )
     return (
         per_file.groupBy("lei")
-        .agg(F.min_by("value", "source_file").alias("value"))
+        .agg(F.min_by("value", "file").alias("value"))
         .select("lei", "value.entity_name", "value.country")
     )
 
@@ -260,7 +261,7 @@ def outcome_counts(results: DataFrame, col: str = "rows") -> DataFrame:
 def run_status(
     attempts: DataFrame,
     by: Sequence[str] = ("template_code",),
-    broken: Sequence[str] = fixed.BROKEN_TEMPLATES,
+    broken: Sequence[str] = (),
 ) -> DataFrame:
     """Template status from a log of partition attempts.
 

@@ -71,7 +71,11 @@ def _children(node: Column) -> Column:
 
 
 def _walk(df: DataFrame, roots: Column, depth: int) -> DataFrame:
-    """Add `nodes`: the groups of all levels, in document order."""
+    """Add `nodes`: the groups of all levels, in document order.
+
+    A response with groups below `depth` levels is an error, as its facts
+    would be lost.
+    """
     columns = df.columns
     df = df.select(*columns, roots.alias("_level"), F.array().cast(NODES).alias("nodes"))
     below = F.flatten(F.transform("_level", _children)).alias("_level")
@@ -79,6 +83,9 @@ def _walk(df: DataFrame, roots: Column, depth: int) -> DataFrame:
     for _ in range(depth):
         # both columns read the level, so Spark keeps the steps apart
         df = df.select(*columns, below, seen)
+    deeper = F.size(F.flatten(F.transform("_level", _children))) > 0
+    df = df.withColumn("_level", F.when(deeper, F.raise_error(F.lit(
+        f"a response has groups below level {depth + 1}; raise the depth")).cast(NODES)).otherwise(F.col("_level")))
     # by path, so that a group comes before its children and after earlier siblings
     return df.select(*columns, F.array_sort(F.concat("nodes", "_level"), _by_path).alias("nodes"))
 
@@ -146,14 +153,17 @@ def _bronze_row(values: dict[str, Column], fields: Column | None = None) -> Colu
 def _add_standard(df: DataFrame, response: str) -> DataFrame:
     """Add `standard`: rows of the standard shape.
 
-    Only the first data set and its first part are read; the top level gives the
+    The first data set is read, with all its parts; the top level gives the
     entity and no facts.
     """
     data_set = F.get(data_sets(response), 0)
-    tops = F.transform(
-        _list(data_set, "$.PH[0].DM0"),
-        lambda d, i: _node(F.array(i), F.map_filter(_groups(d), lambda k, _: k == "G0"), d),
-    )
+    tops = F.flatten(F.transform(
+        _list(data_set, "$.PH"),
+        lambda p, i: F.transform(
+            _list(p, "$.DM0"),
+            lambda d, j: _node(F.array(i, j), F.map_filter(_groups(d), lambda k, _: k == "G0"), d),
+        ),
+    ))
     start = df.withColumns({"dictionaries": _dictionaries(data_set), "_tops": tops})
     walked = _walk(
         start, F.flatten(F.transform("_tops", _children)), fixed.STANDARD_DEPTH - 1

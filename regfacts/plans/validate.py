@@ -29,7 +29,7 @@ def validate(
     files: DataFrame | None = None,
     required: Sequence[str] = REQUIRED,
 ) -> DataFrame:
-    """One validation record per points file.
+    """One validation record per points file; a file is its path, where points and files have one.
 
     `files` (with `source_file` and `columns`) adds files without rows and tells
     which columns a file has; without it all files are taken as complete.
@@ -37,22 +37,25 @@ def validate(
     The points are shuffled once, to their distinct keys. Everything after that
     works on those counts: cells per file, then the dictionary, then the file.
     """
-    copies = distinct_points(points, ["source_file"])
+    keys = ["source_file"]
+    if "source_path" in points.columns and (files is None or "source_path" in files.columns):
+        keys = ["source_path", "source_file"]
+    copies = distinct_points(points, keys)
     cells = copies.groupBy(
-        "source_file",
+        *keys,
         normalize_code("Row").alias("row_code"),
         normalize_code("Column").alias("column_code"),
     ).agg(
         F.sum("copies").alias("n"), F.sum(F.col("copies") - 1).alias("repeats")
     ).withColumn("template_code", template_from_file("source_file"))
     matched = map_to_dictionary(cells, dictionary_cells(dictionary))
-    counts = cell_match_counts(matched, ["source_file"])
+    counts = cell_match_counts(matched, keys)
     if files is None:
         records = counts.withColumn("missing_columns", F.array().cast("array<string>"))
     else:
         lacking = F.array_except(F.array(*[F.lit(c) for c in sorted(required)]), "columns")
-        listed = files.select("source_file", lacking.alias("missing_columns"))
-        records = listed.join(counts, "source_file", "left").fillna(
+        listed = files.select(*keys, lacking.alias("missing_columns"))
+        records = listed.join(counts, keys, "left").fillna(
             0,
             subset=["facts_checked", "facts_mapped", "unmapped_facts", "malformed_facts",
                     "duplicate_fact_keys"],
@@ -75,7 +78,7 @@ def validation_report(
     points: DataFrame,
     dictionary: DataFrame,
     files: DataFrame | None = None,
-    broken: Sequence[str] = fixed.BROKEN_TEMPLATES,
+    broken: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """(records, one-row summary)."""
     records = validate(points, dictionary, files)

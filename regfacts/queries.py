@@ -248,10 +248,10 @@ f2 as (
 
 
 @query(f"""with {LEI_FILLED}
-select case when length(tpl) = 7 then tpl end as template, bank1 as entity_name,
+select tpl as template, bank1 as entity_name,
   country2 as country, module2 as module_name, row_name1 as row_name, label1 as column_name,
   count(*) as facts, sum(plain) as total, min(cast(date '2025-12-31' as date)) as reference_date,
-  max(case when length(tpl) = 7 then concat('{{', tpl, ', r',
+  max(case when true then concat('{{', tpl, ', r',
     case when rowraw like '% = %' then rowraw else lpad(cast(ln * 10 as varchar), 4, '0') end,
     ', c', ccode, '}}') end) as last_cell
 from f2 where plain is not null group by 1, 2, 3, 4, 5, 6""")
@@ -274,7 +274,7 @@ BACK = f"{FILE_ORDER} rows between current row and unbounded following"
 leg as (
   select file, case when ln <= 2 then bank end as e, case when ln = 2 then country end as country,
     case when ln = 3 then module end as module,
-    case when ln <= 5 and length(tpl) = 7 then tpl end as t,
+    case when ln <= 5 then tpl end as t,
     lpad(cast(ln * 10 as varchar), 4, '0') as rcode, ccode,
     case when ln <> 2 then cast(ln * 10 as varchar) else '0020' end as rkey,
     case when ln <> 5 then col else ccode end as ckey,
@@ -323,8 +323,8 @@ select file as source_file, 'lei' as layout, count(*) as facts from pts group by
 union all
 select concat('old_', file), 'legacy', count(*) from pts group by file""")
 def detect_layout(spark, sf):
-    old = fx.legacy_points(spark, sf).withColumn(
-        "source_file", F.concat(F.lit("old_"), "source_file")
+    old = fx.legacy_points(spark, sf).withColumns(
+        {c: F.concat(F.lit("old_"), c) for c in ("source_file", "source_path")}
     )
     both = fx.bronze_points(spark, sf).unionByName(old)
     return project.detect_layout(both).groupBy("source_file", "layout").agg(

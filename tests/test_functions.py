@@ -51,14 +51,14 @@ def table(cases):
         (
             fn.cell_template,
             [("{K_68.00, r0010, c0020}", "K_68.00"), ("{ K_68.00.a , r1, c1}", "K_68.00.a"),
-             ("{K_101.00, r0010, c0010}", None), (None, None)],
+             ("{K_101.00, r0010, c0010}", "K_101.00"), (None, None)],
         ),
-        (lambda c: fn.cell_template(c, wide_codes=True), [("{K_101.00, r0010}", "K_101.00")]),
+        (lambda c: fn.cell_template(c, wide_codes=False), [("{K_101.00, r0010}", None)]),
         (fn.cell_row, [("{K_68.00, r0010, c0020}", "0010"), ("x", None)]),
         (fn.cell_column, [("{K_68.00, r0010, c0020}", "0020"), ("x", None)]),
         (
             fn.template_from_name,
-            [("K_68.00_data_points.csv", "K_68.00"), ("K_101.00_data_points.csv", None)],
+            [("K_68.00_data_points.csv", "K_68.00"), ("K_101.00_data_points.csv", "K_101.00")],
         ),
         (fn.template_from_file, [("K_101.00_data_points.csv", "K_101.00")]),
         (fn.template_code, [("K_68.00 - Rates - x", "K_68.00")]),
