@@ -107,14 +107,19 @@ def coverage_gaps(
     `entities` names who has to report what `on`, `codes` the codes expected
     there, `actual` what is there. The full grid is never built: each entity's
     present codes are taken out of the expected list, and only what is left is
-    unnested. Both lists are bounded by the number of codes of a template.
+    unnested. Present codes that nobody expects are left out first, so both
+    lists are bounded by the number of codes of a template.
     """
     on, code = list(on), F.struct(*code_cols)
     expected = codes.groupBy(*on).agg(F.sort_array(F.collect_set(code)).alias("_expected"))
     # distinct combinations first, so that repeated facts do not pile up in one list
+    wanted = codes.select(*on, *code_cols).distinct().alias("wanted")
+    same = [F.col(f"there.{c}").eqNullSafe(F.col(f"wanted.{c}")) for c in (*on, *code_cols)]
     present = (
         actual.select(*on, entity, *code_cols)
         .distinct()
+        .alias("there")
+        .join(wanted, same, "left_semi")
         .groupBy(*on, entity)
         .agg(F.collect_set(code).alias("_present"))
     )

@@ -86,6 +86,24 @@ def settle(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Values of a partition column that go into a filter as literals.
+PRUNE_VALUES = 10_000
+
+
+def touched_by(stored: DataFrame, batch: DataFrame, by: str) -> DataFrame:
+    """`stored` without partitions of `by` that the batch has no row of.
+
+    The values become literals of the filter, so the scan lists and reads only
+    their folders. Beyond PRUNE_VALUES values `stored` is returned as it is:
+    callers still join on the key.
+    """
+    values = [r[0] for r in batch.select(by).distinct().limit(PRUNE_VALUES + 1).collect()]
+    if len(values) > PRUNE_VALUES:
+        return stored
+    hit = F.col(by).isin([v for v in values if v is not None])
+    return stored.filter(hit | F.col(by).isNull() if None in values else hit)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Hint a broadcast only after counting that `df` is within the bound.
 

@@ -14,7 +14,7 @@ from regfacts.functions import natural_key
 from regfacts.operators.merge import new_rows
 from regfacts.operators.windows import with_line_no
 from regfacts.plans.normalize import normalize_points
-from regfacts.session import settle
+from regfacts.session import settle, touched_by
 from regfacts.sources.readers import bronze
 
 
@@ -31,8 +31,8 @@ def append_new(
     batch = settle(batch)
     existing = None
     if _has_rows(spark, out_dir):
-        stored = spark.read.schema(batch.schema).parquet(out_dir)
         dates = batch.select("reference_date").distinct()
+        stored = touched_by(spark.read.schema(batch.schema).parquet(out_dir), dates, "reference_date")
         existing = stored.join(
             dates,
             stored["reference_date"].eqNullSafe(dates["reference_date"]),
@@ -47,8 +47,10 @@ def append_new(
 def _has_rows(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
     return True
 
 
