@@ -6,11 +6,15 @@ i carries a vector m(i) of r+1 bits, and mask v keeps the bits whose vector has
 an odd product with v. The vectors of at most r differing bits span at most r
 dimensions, so some v is orthogonal to all of them and that mask keeps none of
 the differing bits: every pair within the radius meets in some table.
+
+Documents of a given shingle similarity are further apart than a radius can
+cover, so `one_per_group` takes its candidates from several minima of the
+shingle hashes (MinHash) and confirms them by the shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -19,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import Workspace, record_batch, runs, table_rows, utf8, whole_groups
+from regfacts.llm.common import Workspace, record_batch, runs, slices, table_rows, utf8, whole_groups
 from regfacts.llm.components import components
 from regfacts.llm.registry import query
 
@@ -27,10 +31,11 @@ from regfacts.llm.registry import query
 BLOCK = 8192
 
 
-def fingerprint(text: bytes, shingle_words: int) -> int:
+def shingle_hashes(text: bytes, shingle_words: int) -> np.ndarray:
+    """Hash of every word shingle; a shorter text is one shingle, a text without words has none."""
     words = text.lower().split()  # lower() of bytes changes A-Z only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     stop = np.cumsum(size) - 1
@@ -38,8 +43,15 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
     n = max(1, len(words) - shingle_words + 1)
     stops = stop[-n:]
     view, h = memoryview(joined), xxhash.xxh64_intdigest
-    hashes = np.fromiter((h(view[a:b], 42) for a, b in zip(start[:n].tolist(), stops.tolist(), strict=True)),
-                         np.uint64, n)
+    return np.fromiter((h(view[a:b], 42) for a, b in zip(start[:n].tolist(), stops.tolist(), strict=True)),
+                       np.uint64, n)
+
+
+def fingerprint(text: bytes, shingle_words: int) -> int:
+    hashes = shingle_hashes(text, shingle_words)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 16):
         bits = np.unpackbits(hashes[at:at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -119,6 +131,14 @@ def _link_buckets(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         yield record_batch("x long, y long", [pair[:, 0], pair[:, 1]])
 
 
+def _parts(blocks: Column) -> Column:
+    """The pairs of blocks that hold the block of `print`; a single block meets itself."""
+    own = F.pmod(F.xxhash64("print"), blocks).cast("int")
+    return F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda j: F.least(j, own) * blocks + F.greatest(j, own)))
+
+
 def print_links(prints: DataFrame, radius: int, work: Workspace, block: int = BLOCK) -> DataFrame:
     """Links (x, y) between distinct fingerprints `print`, enough for the components at `radius`.
 
@@ -131,14 +151,8 @@ def print_links(prints: DataFrame, radius: int, work: Workspace, block: int = BL
         "print", F.col("t.mask").alias("mask"), F.col("print").bitwiseAND(F.col("t.bits")).alias("kept"))
     # written, so that the join meets plain shuffles, whose hot keys Spark splits
     sizes = work.write(keyed.groupBy("mask", "kept").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("print"), blocks).cast("int")
-    # the pairs of blocks that hold one's own block; a single block meets itself
-    part = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda j: F.least(j, own) * blocks + F.greatest(j, own)))
     dealt = (keyed.join(sizes, ["mask", "kept"])
-             .select("mask", "kept", "print", F.explode(part).alias("part"))
+             .select("mask", "kept", "print", F.explode(_parts(F.ceil(F.col("n") / F.lit(block)).cast("int"))).alias("part"))
              .repartition("mask", "kept", "part").sortWithinPartitions("part", "mask", "kept"))
     return dealt.mapInArrow(partial(_link_buckets, radius=radius), "x long, y long").distinct()
 
@@ -154,7 +168,11 @@ def near_components(docs: DataFrame, work: Workspace, *, shingle_words: int, rad
     rows = work.write(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("print")), "prints")
     firsts = work.write(rows.where(F.col("doc_id").isNotNull())
                         .groupBy("print").agg(F.min("doc_id").alias("first")), "firsts")
-    links = work.write(print_links(firsts.select("print"), radius, work), "links")
+    return _grouped(rows, firsts, work.write(print_links(firsts.select("print"), radius, work), "links"), work)
+
+
+def _grouped(rows: DataFrame, firsts: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """(doc_id, print, component_id) of rows (doc_id, print), by links (x, y) of prints and their `first` ids."""
     x = firsts.select(F.col("print").alias("x"), F.col("first").alias("a"))
     y = firsts.select(F.col("print").alias("y"), F.col("first").alias("b"))
     roots = components(links.join(x, "x").join(y, "y").select("a", "b"), work)
@@ -164,18 +182,151 @@ def near_components(docs: DataFrame, work: Workspace, *, shingle_words: int, rad
         "doc_id", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-#: Near duplicates: five-word shingles; fingerprints of texts of similarity 0.8 or more are mostly this near.
-SHINGLE_WORDS, RADIUS = 5, 4
+#: Near duplicates: five-word shingles, of which two texts share this part of those that either has.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Minima of a text, in bands. Texts of similarity 0.8 agree in no whole band once in 20,000 pairs.
+BANDS, BAND_ROWS = 24, 5
+MINIMA = BANDS * BAND_ROWS
+#: Candidates may agree in so much less of the minima than their similarity, four standard deviations.
+SLACK = 0.15
+#: Bytes of text compared in one block of a group of candidates.
+TEXT_BLOCK = 8 << 20
+
+_MIX = np.random.default_rng(5).integers(0, 1 << 64, (2, MINIMA, 1), np.uint64, endpoint=False)
+_SKETCH = "doc_id long, text_hash long, print long, minima binary"
+
+
+def sketch(text: bytes, shingle_words: int) -> tuple[int, bytes]:
+    """Hash of the set of shingles, and its minima under MINIMA orders; a text without words is the empty set."""
+    hashes = np.unique(shingle_hashes(text, shingle_words))
+    least = np.full(MINIMA, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        x = (hashes[None, at:at + 2048] ^ _MIX[0]) * (_MIX[1] | np.uint64(1))
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        least = np.minimum(least, x.min(axis=1))
+    key = xxhash.xxh3_64_intdigest(hashes.tobytes())
+    return key - (1 << 64) if key >> 63 else key, (least >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        keys, minima = zip(*(sketch(x, shingle_words) for x in utf8(batch.column("text"))), strict=True)
+        yield record_batch(_SKETCH, [batch.column("doc_id"), batch.column("text_hash"), list(keys), list(minima)])
+
+
+def _walk(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links (other, root) that give the components of n items; near(x, left) tells which of `left` are near x."""
+    a, b, left = [], [], np.arange(n)
+    while len(left) > 1:
+        root, left = int(left[0]), left[1:]
+        frontier = [root]
+        while frontier and len(left):
+            hit = near(frontier.pop(), left)
+            a += left[hit].tolist()
+            b += [root] * int(hit.sum())
+            frontier += left[hit].tolist()
+            left = left[~hit]
+    return a, b
+
+
+def _near_minima(minima: np.ndarray, least: float) -> Callable[[int, np.ndarray], np.ndarray]:
+    return lambda x, left: (minima[left] == minima[x]).sum(axis=1) >= least * MINIMA
+
+
+def near_sets(sets: list[np.ndarray], similarity: float) -> Callable[[int, np.ndarray], np.ndarray]:
+    """Which of some sets share at least `similarity` of their union with one set; two empty sets do."""
+    _, code = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    edge = np.append(0, np.cumsum(size))
+    held = np.zeros(len(code) + 1, bool)
+    least = similarity - 1e-12  # 0.8 of a union may be a whole number
+
+    def near(x: int, left: np.ndarray) -> np.ndarray:
+        own = code[edge[x]:edge[x + 1]]
+        held[own] = True
+        out = np.zeros(len(left), bool)
+        fit = np.minimum(size[left], size[x]) >= least * np.maximum(size[left], size[x])
+        for i in np.flatnonzero(fit).tolist():
+            y = int(left[i])
+            both = int(np.count_nonzero(held[code[edge[y]:edge[y + 1]]]))
+            out[i] = both >= least * (size[x] + size[y] - both)
+        held[own] = False
+        return out
+
+    return near
+
+
+_LINK = "x long, y long"
+
+
+def _link_minima(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    keys = ["part", "band", "kept"]
+    for table in whole_groups(batches, keys, 10_000):
+        prints = table.column("print").to_numpy()
+        minima = np.frombuffer(b"".join(table.column("minima").to_pylist()), "<u4").reshape(-1, MINIMA)
+        at = runs(*(table.column(k).to_numpy() for k in keys))
+        pairs = {(prints[p + i], prints[p + j]) for p, q in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+                 for i, j in zip(*_walk(q - p, _near_minima(minima[p:q], least)), strict=True)}
+        yield record_batch(_LINK, list(zip(*pairs, strict=True)) or [[], []])
+
+
+def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    keys = ["part", "root"]
+    for table in whole_groups((s for s in slices(batches, 50)), keys, 200):
+        prints, texts = table.column("print").to_numpy(), table.column("text")
+        at = runs(*(table.column(k).to_numpy() for k in keys))
+        pairs = []
+        for p, q in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            own, first = np.unique(prints[p:q], return_index=True)  # equal rows are one
+            sets = [np.unique(shingle_hashes((texts[p + i].as_py() or "").encode(), shingle_words)) for i in first.tolist()]
+            pairs += [(own[i], own[j]) for i, j in zip(*_walk(len(own), near_sets(sets, similarity)), strict=True)]
+        yield record_batch(_LINK, list(zip(*pairs, strict=True)) or [[], []])
+
+
+def similar_components(docs: DataFrame, work: Workspace, *, shingle_words: int, similarity: float,
+                       text_block: int = TEXT_BLOCK) -> DataFrame:
+    """(doc_id, print, component_id) of every row of docs; print is a hash of the set of shingles.
+
+    Linked are sets that share `similarity` of their union. Sets that meet in a
+    band and agree in enough minima are candidates, and all sets of a group of
+    candidates are compared with one another as they are. Ids as in near_components.
+    """
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = work.write(texts.mapInArrow(partial(_sketches, shingle_words=shingle_words), _SKETCH), "prints")
+    firsts = work.write(rows.where(F.col("doc_id").isNotNull()).groupBy("print").agg(
+        F.min(F.struct("doc_id", "text_hash", "minima")).alias("m")).select(
+        "print", F.col("m.doc_id").alias("first"), F.col("m.text_hash").alias("text_hash"), "m.minima"), "firsts")
+    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(
+        F.substring("minima", 1 + 4 * BAND_ROWS * i, 4 * BAND_ROWS)).alias("kept")) for i in range(BANDS)])
+    keyed = firsts.select("print", F.explode(bands).alias("t")).select("print", "t.band", "t.kept")
+    sizes = work.write(keyed.groupBy("band", "kept").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    dealt = (keyed.join(sizes, ["band", "kept"])
+             .select("band", "kept", "print", F.explode(_parts(F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))).alias("part"))
+             .join(firsts.select("print", "minima"), "print")
+             .repartition("band", "kept", "part").sortWithinPartitions("part", "band", "kept"))
+    met = work.write(dealt.mapInArrow(partial(_link_minima, least=similarity - SLACK), _LINK).distinct(), "candidates")
+    roots = components(met.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "candidates"))
+    members = work.write(roots.withColumnRenamed("node", "print").join(firsts.drop("minima"), "print").select(
+        "print", "root", F.col("first").alias("doc_id"), "text_hash"), "members")
+    held = work.write(texts.join(members, ["doc_id", "text_hash"]).select("print", "root", "text"), "member-texts")
+    bytes_ = work.write(held.groupBy("root").agg(F.sum(F.octet_length("text")).alias("n")), "group-bytes")
+    of_text = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(text_block))).cast("int")
+    compared = (held.join(bytes_, "root").select("root", "print", "text", F.explode(_parts(of_text)).alias("part"))
+                .repartition("root", "part").sortWithinPartitions("part", "root"))
+    links = work.write(compared.mapInArrow(
+        partial(_confirm, shingle_words=shingle_words, similarity=similarity), _LINK).distinct(), "links")
+    return _grouped(rows.select("doc_id", "print"), firsts.select("print", "first"), links, work)
 
 
 def one_per_group(docs: DataFrame, work: Workspace, *, shingle_words: int = SHINGLE_WORDS,
-                  radius: int = RADIUS) -> DataFrame:
+                  similarity: float = SIMILARITY) -> DataFrame:
     """docs with one row of each group of near duplicates: that of the smallest id.
 
     Of several rows of that id the one of smallest text hash stays. Rows of
     null id stay. All texts without words are one group.
     """
-    ids = near_components(docs.select("doc_id", "text"), work, shingle_words=shingle_words, radius=radius)
+    ids = similar_components(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity)
     chosen = ids.groupBy("component_id").agg(F.min("doc_id").alias("__id")).where("__id is not null").select("__id")
     kept = docs.join(chosen, F.col("doc_id") == F.col("__id"), "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))

@@ -144,6 +144,46 @@ def test_no_links_no_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "t")).count() == 0
 
 
+def shingles_by_hand(text):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+@pytest.mark.parametrize("text_block", [8 << 20, 2000])
+def test_near_dedup_finds_all_texts_of_similarity_0_8(spark, text_block):
+    rng = random.Random(6)
+    texts = [None, " ", "a b", "A  b"]
+    for _ in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([12, 80, 300]))]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            near = list(words)
+            for _ in range(rng.randint(1, max(1, len(words) // 30))):
+                near[rng.randrange(len(near))] = f"x{rng.randrange(3000)}"
+            texts.append(" ".join(near))
+    rows = [*enumerate(texts), (None, texts[5]), (9, "another text of this id")]
+    sets = [(d, shingles_by_hand(t)) for d, t in rows if d is not None]
+    root = {d: d for d, _ in sets}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    pairs = 0
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if s == t or len(s & t) >= 0.8 * len(s | t):
+                pairs += 1
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert pairs > 100
+    docs = spark.createDataFrame(rows, DOCS)
+    got = simhash.similar_components(docs, Workspace(spark, "t"), shingle_words=5, similarity=0.8, text_block=text_block)
+    found = {r.doc_id: r.component_id for r in got.collect() if r.doc_id not in (None, 9)}
+    assert found == {d: find(d) for d in root if d != 9}
+    kept = sorted(r.doc_id for r in simhash.one_per_group(docs, Workspace(spark, "t")).collect() if r.doc_id is not None)
+    assert kept == sorted({find(d) for d in root})
+
+
 def parsed_by_hand(rows, length):
     seen, out = {}, []
     for d, t in rows:
