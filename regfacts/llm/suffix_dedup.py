@@ -13,6 +13,7 @@ an unbounded group.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -239,6 +240,59 @@ def without_repeats(docs: DataFrame, work: Workspace, **options) -> DataFrame:
     return out.select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
 
 
+#: Words of the stretches that without_repeated_words removes, and bytes that stand for a word.
+WORDS, WORD_BYTES = 50, 6
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with WORD_BYTES of hash for every word as `text`."""
+    digest = xxhash.xxh3_64_digest
+    for batch in slices(batches):
+        coded = [None if t is None else b"".join([digest(w)[:WORD_BYTES] for w in t.split()])
+                 for t in batch.column("own").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(coded, pa.binary())], names=[*batch.schema.names, "text"])
+
+
+def word_ranges(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes]:
+    """Repeated ranges of a coded text as ranges of whole words, packed."""
+    a, b = spans_of(lo, hi)
+    a, b = -(-a // WORD_BYTES), b // WORD_BYTES
+    return (np.stack([a[a < b], b[a < b]], axis=1).astype("<i8").tobytes(),)
+
+
+_WORD = re.compile(rb"[^ \t-\r]+")  # the words of bytes.split()
+
+
+def _without_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        out = []
+        for text, packed in zip(batch.column("own").cast(pa.binary()).to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            if packed:
+                place = np.array([m.span() for m in _WORD.finditer(text)], np.int64)
+                gone = np.frombuffer(packed, "<i8").reshape(-1, 2)
+                text = cut(text, place[gone[:, 0], 0], place[gone[:, 1] - 1, 1])[2]
+            out.append(None if text is None else text.decode("utf-8", "replace"))
+        keep = [n for n in batch.schema.names if n not in ("own", "gone")]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(out, pa.string())], names=[*keep, "clean"])
+
+
+def without_repeated_words(docs: DataFrame, work: Workspace, *, words: int = WORDS, kgram: int = 8) -> DataFrame:
+    """Documents with their own columns and their text without stretches of `words` words that occur elsewhere too.
+
+    A word counts as WORD_BYTES of its hash, so a stretch of short words is as
+    long as one of long words, and white space between words does not matter.
+    """
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
+    own = docs.select("doc_id", F.col("text").alias("own"), rest.alias("rest"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
+    coded = own.mapInArrow(_coded, f"{ddl}, text binary").select("doc_id", "text", F.struct("own", "rest").alias("kept"))
+    out = repeated_bytes(coded, work, "gone binary", word_ranges, length=words * WORD_BYTES, kgram=kgram * WORD_BYTES)
+    out = out.select("kept.own", "kept.rest", "gone")
+    ddl = f"rest {out.schema['rest'].dataType.simpleString()}, clean string"
+    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
+    return out.mapInArrow(_without_words, ddl).select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
+
+
 @query()
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes, removed bytes and runs, and hash of what is left, of every document.

@@ -74,6 +74,24 @@ def test_suffix_dedup_keeps_columns_and_characters(spark):
     assert empty.columns == docs.columns and empty.count() == 0
 
 
+def test_suffix_stage_removes_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgé") for _ in range(n))
+    long, short, less = ([word(n) for _ in range(k)] for n, k in ((5, 51), (2, 51), (12, 49)))
+    ends = [[word(6) for _ in range(30)] for _ in range(7)]
+    text = lambda a, body, b, gap=" ": " ".join(a) + " " + gap.join(body) + " " + " ".join(b)
+    rows = [(1, text(ends[0], long, ends[1])), (2, text(ends[2], long, ends[3], "\n")), (3, text([], short, ends[4])),
+            (4, text(ends[5], short, [])), (5, text(ends[6], less, [])), (6, text(ends[0][:9], less, ends[1][:9])), (7, None)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.suffix_stage(spark, docs, "").collect()}
+    want = {1: ends[0] + ends[1], 2: ends[2] + ends[3], 3: ends[4], 4: ends[5]}
+    assert {d: got[d].text.split() for d in want} == want
+    assert (got[5].text, got[6].text, got[7].text) == (rows[4][1], rows[5][1], None)
+    assert got[4].n_chars == len(got[4].text)
+
+
 def test_run_index_compresses_copies():
     body = bytes(random.Random(1).choices(b"abcdefgh", k=500))
     index = RunLengthIndex([body] * 8)
