@@ -1,20 +1,19 @@
 """Hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
-Restaurants are contexts: the last byte of the token before, in 128 classes,
-and the start of a text. They share one parent restaurant without context,
-whose own base is uniform over the vocabulary and one unknown token. Customers
-are the training tokens; every table of a context restaurant is a customer of
-the parent. A sweep seats all customers anew, in Chinese-restaurant order,
-given the table totals of the sweep before. Seating depends on a word's own
-counts and on totals of 129 restaurants only, so words are seated side by
-side. The predictive probabilities of the kept sweeps are averaged.
-
-Sweeps are replayed from their totals with a fixed seed for each group of
-words, so nothing but the totals passes from one sweep to the next and a lost
-task repeats its own draws.
+Restaurants are contexts: the whole word before, and the start of a text. They
+share one parent restaurant without context, whose own base is uniform over the
+vocabulary and one unknown token. Customers are the training tokens; every
+table of a context restaurant is a customer of the parent. A sweep seats all
+customers anew, in Chinese-restaurant order, given the tables of the sweep
+before. The predictive probabilities of the kept sweeps are averaged.
+
+The seating is a table of (context, word) pairs, dealt by hash and written
+after every sweep. A pair seen once has one table whatever is drawn, so only
+pairs seen more often are kept in it. Totals of contexts and words are
+aggregated map-side and meet the pairs in joins whose hot keys Spark splits.
 
 Texts are dealt into blocks by hash. A block asks for each of its distinct
-words once, and gets the word's counts and probabilities once.
+pairs once. Words and contexts are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,24 +27,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import Workspace, record_batch, slices, table_rows, utf8
+from regfacts.llm.common import Workspace, record_batch, runs, slices, table_rows, utf8
 from regfacts.llm.registry import query
 
 #: The end token; no word has white space.
 END = b"\n"
-START, CONTEXTS = 128, 129
+#: The context of the first token; no word is empty.
+START = b""
 #: Bytes of text of one block.
 BLOCK_BYTES = 48 << 20
 #: Sweeps in all, and those at their beginning that are not averaged.
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
-#: Words seated together.
-GROUP_WORDS = 20_000
-PAIR = np.dtype([("context", "u1"), ("count", "<u4")])
-ANSWER = np.dtype([("context", "u1"), ("share", "<f4")])
+#: Pairs or words seated together.
+GROUP_ROWS = 20_000
 
-WANTS = "word binary, block int, pairs binary"
-WORDS = "word binary, blocks array<int>, pairs binary"
+WANTS = "block int, context long, word long, n long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -53,117 +50,51 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]  # lower() of bytes changes A-Z only
 
 
-def contexts(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Context of each token from the last byte class of the word before."""
-    out = np.empty(len(ids), np.int64)
-    out[0] = START
-    out[1:] = last[ids[:-1]]
-    return out
+def pairs_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Context and word of every token, as hashes."""
+    own = [START, *tokens(text)]
+    ids = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)).view(np.int64)
+    return ids[:-1], ids[1:]
 
 
-class _Vocabulary:
-    """Words of a block by number, with the class of their last byte."""
-
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.number
-        return np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-
-    def last(self) -> np.ndarray:
-        return np.fromiter((w[-1] & 127 for w in self.number), np.int64, len(self.number))
+def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
 
 
 def _wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """WANTS of every block: its distinct words with their training counts by context."""
-    block, words, pairs, fresh = None, _Vocabulary(), [], 0
-    counted = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-
-    def count_pairs() -> None:
-        """Replace the tokens read since by their counts."""
-        code, times = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]), return_counts=True)
-        counted.append((code, times))
-        pairs.clear()
+    """WANTS of every block: its distinct pairs with their training counts."""
+    none = np.zeros(0, np.int64)
+    counted = (none, none, none)
+    block, fresh = None, []
+
+    def count() -> tuple:
+        """The counts so far with the pairs read since."""
+        context, word, n = (np.concatenate([c, *(f[i] for f in fresh)]) for i, c in enumerate(counted))
+        fresh.clear()
+        _, first, at = np.unique(pair_key(context, word), return_index=True, return_inverse=True)
+        return context[first], word[first], np.bincount(at, n, len(first)).astype(np.int64)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        names = list(words.number)
-        count_pairs()
-        code, at = np.unique(np.concatenate([c for c, _ in counted]), return_inverse=True)
-        count = np.bincount(at, np.concatenate([t for _, t in counted]), len(code))
-        del counted[1:]
-        packed = np.empty(len(code), PAIR)
-        packed["context"], packed["count"] = code % 256, count
-        edge = np.searchsorted(code >> 8, np.arange(len(names) + 1)) * PAIR.itemsize
-        data = packed.tobytes()
-        for at in range(0, len(names), 20_000):
-            e = edge[at:at + 20_001].tolist()
-            some = names[at:at + 20_000]
-            yield record_batch(WANTS, [some, np.full(len(some), block, np.int32),
-                                       [data[a:b] for a, b in zip(e[:-1], e[1:], strict=True)]])
+        context, word, n = count()
+        for at in range(0, len(n), 100_000):
+            some = slice(at, at + 100_000)
+            yield record_batch(WANTS, [np.full(len(n[some]), block, np.int32), context[some], word[some], n[some]])
 
     for batch in slices(batches):
-        for n, held, text in zip(batch.column("block").to_pylist(), batch.column("held_out").to_pylist(),
+        for b, held, text in zip(batch.column("block").to_pylist(), batch.column("held_out").to_pylist(),
                                  utf8(batch.column("text")), strict=True):
-            if n != block:
+            if b != block:
                 if block is not None:
                     yield from flush()
-                block, words, fresh = n, _Vocabulary(), 0
-            own = tokens(text)
-            ids = words.ids(own)
-            if not held:
-                last = np.fromiter((w[-1] & 127 for w in own), np.int64, len(own))
-                pairs.append(ids << 8 | np.append(START, last[:-1]))
-                fresh += len(own)
-                if fresh > 1_000_000:
-                    count_pairs()
-                    fresh = 0
+                block, counted = b, (none, none, none)
+            context, word = pairs_of(text)
+            fresh.append((context, word, np.full(len(word), 0 if held else 1, np.int64)))
+            if len(fresh) % 100 == 0 and sum(len(f[0]) for f in fresh) > 1_000_000:
+                counted = count()
     if block is not None:
         yield from flush()
 
 
-def _merge(batches: Iterator[pa.RecordBatch], most_blocks: int) -> Iterator[pa.RecordBatch]:
-    """WORDS from WANTS sorted by word; a word of very many blocks gives several rows with the same pairs."""
-    words: list[bytes] = []
-    blocks: list[int] = []
-    pairs: list[bytes] = []
-
-    def close(n: int) -> Iterator[pa.RecordBatch]:
-        """Rows of the first n wants, which are whole words."""
-        first = [0, *[i for i in range(1, n) if words[i] != words[i - 1]]]
-        of = np.repeat(np.arange(len(first)), np.diff([*first, n]))
-        flat = np.frombuffer(b"".join(pairs[:n]), PAIR)
-        size = np.fromiter(map(len, pairs[:n]), np.int64, n) // PAIR.itemsize
-        key, at = np.unique(np.repeat(of, size) << 8 | flat["context"], return_inverse=True)
-        packed = np.empty(len(key), PAIR)
-        packed["context"], packed["count"] = key & 255, np.bincount(at, flat["count"], len(key))
-        data, edge = packed.tobytes(), (np.searchsorted(key >> 8, np.arange(len(first) + 1)) * PAIR.itemsize).tolist()
-        rows = [(words[a], blocks[k:min(b, k + most_blocks)], data[edge[i]:edge[i + 1]])
-                for i, (a, b) in enumerate(zip(first, [*first[1:], n], strict=True)) for k in range(a, b, most_blocks)]
-        for k in range(0, len(rows), GROUP_WORDS):
-            yield _words(rows[k:k + GROUP_WORDS])
-
-    for batch in slices(batches, GROUP_WORDS):
-        words += batch.column("word").to_pylist()
-        blocks += batch.column("block").to_pylist()
-        pairs += batch.column("pairs").to_pylist()
-        if len(words) >= 4 * GROUP_WORDS:
-            n = len(words) - 1
-            while n and words[n] == words[n - 1]:
-                n -= 1
-            if n:
-                yield from close(n)
-                del words[:n], blocks[:n], pairs[:n]
-    if words:
-        yield from close(len(words))
-
-
-def _words(rows: list[tuple]) -> pa.RecordBatch:
-    w, b, p = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array(b, pa.list_(pa.int32())),
-                                       pa.array(p, pa.binary())], names=["word", "blocks", "pairs"])
-
-
 def seat(rng: np.random.Generator, customers: np.ndarray, new: np.ndarray, discount: float) -> np.ndarray:
     """Tables after seating customers one by one; new: weight of a new table for each dish.
 
@@ -184,80 +115,24 @@ def seat(rng: np.random.Generator, customers: np.ndarray, new: np.ndarray, disco
     return tables
 
 
-class Totals:
-    """Totals after a sweep: customers and tables of each restaurant, and of the parent."""
-
-    def __init__(self, customers: np.ndarray, tables: np.ndarray, parent_tables: float):
-        self.customers, self.tables = customers, tables
-        self.parent_customers, self.parent_tables = float(tables.sum()), parent_tables
-
-
-class Model:
-    """Discounts, vocabulary size and the totals of the sweeps done."""
-
-    def __init__(self, discounts: tuple[float, float], vocabulary: int, history: list[Totals]):
-        self.discount, self.parent_discount = discounts
-        self.base = 1.0 / (vocabulary + 1)
-        self.history = history
-
-    def backoff(self, totals: Totals) -> np.ndarray:
-        return (STRENGTH + self.discount * totals.tables) / (STRENGTH + totals.customers)
-
-    def parent(self, customers: np.ndarray, tables: np.ndarray, totals: Totals) -> np.ndarray:
-        """Predictive probabilities of the parent restaurant."""
-        own = customers - self.parent_discount * tables
-        back = STRENGTH + self.parent_discount * totals.parent_tables
-        return (own + back * self.base) / (STRENGTH + totals.parent_customers)
-
-    def mean_backoff(self) -> np.ndarray:
-        return np.mean([self.backoff(t) for t in self.history[BURN_IN + 1:]], axis=0)
-
-    def replay(self, words: list[bytes], pairs: list[bytes]) -> tuple:
-        """(word numbers, contexts, counts, tables, parent tables, mean share, mean parent) after the sweeps done."""
-        size = np.fromiter(map(len, pairs), np.int64, len(pairs)) // PAIR.itemsize
-        flat = np.frombuffer(b"".join(pairs), PAIR)
-        context, count = flat["context"].astype(np.int64), flat["count"].astype(np.int64)
-        of = np.repeat(np.arange(len(words)), size)
-        rng = np.random.default_rng(xxhash.xxh3_64_intdigest(words[0] if words else b""))
-        # before the first sweep every dish of a restaurant has one table
-        tables = np.ones(len(count))
-        parent_customers = np.bincount(of, tables, len(words))
-        parent_tables = np.minimum(parent_customers, 1)
-        share, mean_parent, kept = np.zeros(len(count)), np.zeros(len(words)), 0
-        for n, totals in enumerate(self.history):
-            p = self.parent(parent_customers, parent_tables, totals)
-            if n > BURN_IN:
-                # totals n are those after sweep n, the state that stands here
-                share += (count - self.discount * tables) / (STRENGTH + totals.customers[context])
-                mean_parent += p
-                kept += 1
-            if n == len(self.history) - 1 and n == SWEEPS:
-                break
-            tables = seat(rng, count, (STRENGTH + self.discount * totals.tables[context]) * p[of], self.discount)
-            parent_customers = np.bincount(of, tables, len(words))
-            back = STRENGTH + self.parent_discount * totals.parent_tables
-            parent_tables = seat(rng, parent_customers.astype(np.int64), np.full(len(words), back * self.base),
-                                 self.parent_discount)
-        return of, context, count, tables, parent_tables, share / max(kept, 1), mean_parent / max(kept, 1)
-
-
-_STATE = "context int, customers double, tables double, once long, twice long"
-
-
-def _tally(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Customers and tables of each restaurant after the next sweep; the parent is context -1, the vocabulary -2."""
-    for batch in slices(batches, GROUP_WORDS):
-        lead = batch.filter(batch.column("first"))
-        words, pairs = lead.column("word").to_pylist(), lead.column("pairs").to_pylist()
-        of, context, count, tables, parent_tables, _, _ = model.replay(words, pairs)
-        customers = np.bincount(of, tables, len(words))
-        rows = [(c, a, b, 0, 0) for c, a, b in zip(
-            range(CONTEXTS), np.bincount(context, count, CONTEXTS).tolist(),
-            np.bincount(context, tables, CONTEXTS).tolist(), strict=True)]
-        rows.append((-1, float(customers.sum()), float(parent_tables.sum()), int((customers == 1).sum()),
-                     int((customers == 2).sum())))
-        rows.append((-2, float((customers > 0).sum()), 0.0, int((count == 1).sum()), int((count == 2).sum())))
-        yield record_batch(_STATE, list(zip(*rows, strict=True)))
+_SEATED = "context long, word long, n long, tables double, kept double"
+_PARENT = "word long, seen long, ones long, customers double, tables double, mean double"
+
+
+def _seat_pairs(batches: Iterator[pa.RecordBatch], sweep: int, discount: float) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, GROUP_ROWS):
+        context, word, n, kept, new = (batch.column(c).to_numpy() for c in ("context", "word", "n", "kept", "new"))
+        rng = np.random.default_rng([int(x) for x in np.array([context[0], word[0], sweep]).view(np.uint64)])
+        tables = seat(rng, n, new, discount)
+        yield record_batch(_SEATED, [context, word, n, tables, kept + tables if sweep > BURN_IN else kept])
+
+
+def _seat_parent(batches: Iterator[pa.RecordBatch], sweep: int, discount: float, new: float) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, GROUP_ROWS):
+        word, seen, ones, customers, mean = (batch.column(c).to_numpy() for c in ("word", "seen", "ones", "customers", "mean"))
+        rng = np.random.default_rng([int(x) for x in np.array([word[0], sweep]).view(np.uint64)])
+        tables = seat(rng, customers.astype(np.int64), np.full(len(word), new), discount)
+        yield record_batch(_PARENT, [word, seen, ones, customers, tables, mean])
 
 
 def _discount(once: int, twice: int) -> float:
@@ -265,93 +140,91 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def fit(words: DataFrame) -> tuple[Model, int]:
-    """The model after all sweeps, and the number of training tokens. Each sweep is one narrow pass over the words."""
-    model = Model((0.5, 0.5), 0, [])
-    while len(model.history) <= SWEEPS:
-        got = words.mapInArrow(partial(_tally, model=model), _STATE).groupBy("context").agg(
-            *[F.sum(c).alias(c) for c in ("customers", "tables", "once", "twice")]).collect()  # 131 rows
-        by = {r.context: r for r in got}
-        customers = np.array([by[c].customers if c in by else 0.0 for c in range(CONTEXTS)])
-        tables = np.array([by[c].tables if c in by else 0.0 for c in range(CONTEXTS)])
-        if not model.history:
-            vocabulary = int(by[-2].customers) if by else 0
-            discounts = (_discount(by[-2].once, by[-2].twice), _discount(by[-1].once, by[-1].twice)) if by else (0.5, 0.5)
-            model = Model(discounts, vocabulary, [])
-        model.history.append(Totals(customers, tables, by[-1].tables if by else 0.0))
-    return model, int(model.history[0].customers.sum())
-
-
-_REPLY = "block int, word binary, seen long, parent double, shares binary"
-
-
-def _reply(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, GROUP_WORDS):
-        words, pairs, blocks, first = (batch.column(c).to_pylist() for c in ("word", "pairs", "blocks", "first"))
-        # the same group of words as in the sweeps, then the further rows of words of very many blocks
-        lead = [i for i, f in enumerate(first) if f]
-        rest = [i for i, f in enumerate(first) if not f]
-        for group in (lead, rest):
-            if not group:
-                continue
-            of, context, count, _, _, share, parent = model.replay([words[i] for i in group], [pairs[i] for i in group])
-            seen = np.bincount(of, count, len(group)).astype(np.int64)
-            packed = np.empty(len(of), ANSWER)
-            packed["context"], packed["share"] = context, share
-            data = packed.tobytes()
-            edge = (np.searchsorted(of, np.arange(len(group) + 1)) * ANSWER.itemsize).tolist()
-            flat_blocks = np.array([b for i in group for b in blocks[i]], np.int32)
-            at = np.repeat(np.arange(len(group)), [len(blocks[i]) for i in group])
-            for a in range(0, len(at), 50_000):
-                k = at[a:a + 50_000]
-                yield record_batch(_REPLY, [flat_blocks[a:a + 50_000], [words[group[j]] for j in k.tolist()], seen[k],
-                                            parent[k], [data[edge[j]:edge[j + 1]] for j in k.tolist()]])
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Model, n_train: int, vocabulary: int) -> Iterator[pa.RecordBatch]:
-    """SCORES of the texts of a block, which come after the block's replies."""
-    backoff = model.mean_backoff()
+def fit(pairs: DataFrame, work: Workspace) -> tuple[DataFrame, int, int]:
+    """(context, word, blocks, seen, probability) of all pairs (context, word, n, blocks), training tokens, vocabulary."""
+    trained = pairs.where("n > 0")
+    # for each context and word: its tokens, its pairs, and those of them that are seen once
+    counts = [F.sum("n").alias("seen"), F.count(F.lit(1)).alias("dishes"), F.count_if(F.col("n") == 1).alias("ones")]
+    contexts = work.write(trained.groupBy("context").agg(*counts), "contexts")
+    words = work.write(trained.groupBy("word").agg(*counts), "words")
+    once, twice = trained.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    vocabulary, n_train, all_pairs, one, two = words.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("dishes"), F.lit(0)),
+        F.count_if(F.col("dishes") == 1), F.count_if(F.col("dishes") == 2)).first()
+    discount, parent_discount = _discount(once, twice), _discount(one, two)
+    base = 1.0 / (vocabulary + 1)
+    customers, tables = float(all_pairs), float(vocabulary)
+
+    def back() -> float:
+        return STRENGTH + parent_discount * tables
+
+    def probability() -> Column:
+        own = F.col("customers") - F.lit(parent_discount) * F.col("tables") + F.lit(back() * base)
+        return own / F.lit(STRENGTH + customers)
+
+    # before the first sweep every dish of a restaurant has one table
+    state = trained.where("n > 1").select("context", "word", "n", F.lit(1.0).alias("tables"), F.lit(0.0).alias("kept"))
+    parent = words.select("word", "seen", "ones", F.col("dishes").cast("double").alias("customers"),
+                          F.lit(1.0).alias("tables"), F.lit(0.0).alias("mean"))
+    unknown = 0.0
+    for sweep in range(1, SWEEPS + 1):
+        of_context = contexts.join(state.groupBy("context").agg(F.sum("tables").alias("more")), "context").select(
+            "context", (F.lit(STRENGTH) + F.lit(discount) * (F.col("ones") + F.col("more"))).alias("weight"))
+        seats = state.drop("tables").join(of_context, "context").join(
+            parent.select("word", probability().alias("p")), "word").withColumn("new", F.col("weight") * F.col("p"))
+        state = work.write(seats.mapInArrow(partial(_seat_pairs, sweep=sweep, discount=discount), _SEATED), f"seats-{sweep}")
+        guests = state.groupBy("word").agg(F.sum("tables").alias("more"))
+        parent = work.write(parent.join(guests, "word", "left").withColumn(
+            "customers", F.col("ones") + F.coalesce("more", F.lit(0.0))).mapInArrow(partial(
+                _seat_parent, sweep=sweep, discount=parent_discount, new=back() * base), _PARENT), f"parent-{sweep}")
+        customers, tables = (float(x or 0) for x in parent.agg(F.sum("customers"), F.sum("tables")).first())
+        if sweep > BURN_IN:
+            share = 1 / (SWEEPS - BURN_IN)
+            parent = parent.withColumn("mean", F.col("mean") + probability() * F.lit(share))
+            unknown += share * back() * base / (STRENGTH + customers)
+        work.drop(f"seats-{sweep - 1}")
+    mean = F.col("kept") / F.lit(float(SWEEPS - BURN_IN))
+    backoff = contexts.join(state.groupBy("context").agg(F.sum(mean).alias("more")), "context", "left").select(
+        "context", F.col("seen").alias("guests"), ((F.lit(STRENGTH) + F.lit(discount) * (
+            F.col("ones") + F.coalesce("more", F.lit(0.0)))) / (F.lit(STRENGTH) + F.col("seen"))).alias("backoff"))
+    with_tables = pairs.where("n < 2").select("context", "word", "blocks", "n", F.col("n").cast("double").alias("t")).union(
+        pairs.where("n > 1").join(state.select("context", "word", mean.alias("t")), ["context", "word"]).select(
+            "context", "word", "blocks", "n", "t"))
+    met = with_tables.join(backoff, "context", "left").join(parent.select("word", "seen", "mean"), "word", "left")
+    own = F.when(F.col("n") > 0, (F.col("n") - F.lit(discount) * F.col("t")) / (F.lit(STRENGTH) + F.col("guests")))
+    return met.select(
+        "context", "word", "blocks", F.coalesce("seen", F.lit(0)).cast("long").alias("seen"),
+        (F.coalesce(own, F.lit(0.0)) + F.coalesce("backoff", F.lit(1.0)) * F.coalesce("mean", F.lit(unknown)))
+        .alias("probability")), n_train, vocabulary
+
+
+def _score(batches: Iterator[pa.RecordBatch], n_train: int, vocabulary: int) -> Iterator[pa.RecordBatch]:
+    """SCORES of the texts of a block, which come after the block's pairs."""
     base_total = np.log10(n_train + 0.1 * (vocabulary + 1))
-    block = None
-    words: dict[bytes, int] = {}
-    seen, parent, shares = [], [], []
-    tables: tuple | None = None
-
-    def build() -> tuple:
-        size = np.fromiter(map(len, shares), np.int64, len(shares)) // ANSWER.itemsize
-        flat = np.frombuffer(b"".join(shares), ANSWER)
-        key = np.repeat(np.arange(len(shares)), size) << 8 | flat["context"]
-        order = np.argsort(key, kind="stable")
-        return (np.array(seen, np.int64), np.array(parent), np.append(key[order], -1),
-                np.append(flat["share"][order].astype(np.float64), 0.0),
-                np.fromiter((w[-1] & 127 for w in words), np.int64, len(words)))
-
-    for batch in slices(batches, 2000):
-        rows = []
-        cols = [batch.column(c).to_pylist() for c in ("block", "word", "seen", "parent", "shares", "doc_id", "held_out")]
-        for b, w, s, p, x, doc, held, text in zip(*cols, utf8(batch.column("text")), strict=True):
-            if b != block:
-                block, words, seen, parent, shares, tables = b, {}, [], [], [], None
-            if w is not None:
-                words[w] = len(words)
-                seen.append(s)
-                parent.append(p)
-                shares.append(x)
+    block, answers, tables = None, [], None
+    for batch in slices(batches, GROUP_ROWS):
+        is_text = batch.column("is_text").to_numpy(zero_copy_only=False)
+        blocks, rows = batch.column("block").to_numpy(), []
+        at = runs(blocks, is_text)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if blocks[a] != block:
+                block, answers, tables = blocks[a], [], None
+            some = batch.slice(a, b - a)
+            if not is_text[a]:
+                context, word, seen, probability = (some.column(c).to_numpy() for c in ("context", "word", "seen", "probability"))
+                answers.append((pair_key(context, word), np.log10(seen + 0.1), seen > 0, np.log10(probability)))
                 continue
             if tables is None:
-                tables = build()
-                shares = []
-            counts, parents, key, share, last = tables
-            own = tokens(text)
-            ids = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
-            c = contexts(ids, last)
-            code = ids << 8 | c
-            at = np.searchsorted(key[:-1], code)
-            hit = key[at] == code
-            prob = np.where(hit, share[at], 0.0) + backoff[c] * parents[ids]
-            n = counts[ids]
-            rows.append((doc, held, len(own), int((n > 0).sum()),
-                         float((np.log10(n + 0.1) - base_total).sum()), float(np.log10(prob).sum())))
+                key, *values = (np.concatenate(x) for x in zip(*answers, strict=True))
+                order = np.argsort(key)
+                answers, tables = [], (key[order], *(v[order] for v in values))
+            key, base, known, score = tables
+            for part in slices([some]):
+                for doc, held, text in zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(),
+                                           utf8(part.column("text")), strict=True):
+                    i = np.searchsorted(key, pair_key(*pairs_of(text)))
+                    rows.append((doc, held, len(i), int(known[i].sum()), float((base[i] - base_total).sum()),
+                                 float(score[i].sum())))
         if rows:
             yield record_batch(SCORES, list(zip(*rows, strict=True)))
 
@@ -372,31 +245,22 @@ def score_documents(docs: DataFrame, work: Workspace, *, block_bytes: int = BLOC
     dealt = docs.select(F.col("doc_id").cast("long"), "text", is_held_out(F.col("doc_id")).alias("held_out"),
                         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
     wants = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_wants, WANTS)
-    merged = wants.repartition("word").sortWithinPartitions("word").mapInArrow(partial(_merge, most_blocks=4096), WORDS)
-    words = work.write(merged, "words")
-    # a word's further rows carry its counts for their blocks, but are not counted again
-    words = words.withColumn("first", F.lit(True)) if blocks <= 4096 else _marked(words, work)
-    model, n_train = fit(words)
-    vocabulary = round(1 / model.base) - 1
-    replies = words.mapInArrow(partial(_reply, model=model), _REPLY)
-    empty = {c: F.lit(None).cast(t) for c, t in (
-        ("word", "binary"), ("seen", "long"), ("parent", "double"), ("shares", "binary"), ("doc_id", "long"),
-        ("held_out", "boolean"), ("text", "string"))}
-    cols = ["block", "word", "seen", "parent", "shares", "doc_id", "held_out", "text"]
-    both = replies.withColumns({c: empty[c] for c in ("doc_id", "held_out", "text")}).select(cols).union(
-        dealt.withColumns({c: empty[c] for c in ("word", "seen", "parent", "shares")}).select(cols))
-    scored = both.repartition("block").sortWithinPartitions("block", F.col("word").isNull()).mapInArrow(
-        partial(_score, model=model, n_train=n_train, vocabulary=vocabulary), SCORES)
+    pairs = work.write(wants.groupBy("context", "word").agg(
+        F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "pairs")
+    answers, n_train, vocabulary = fit(pairs, work)
+    kinds = {"context": "long", "word": "long", "seen": "long", "probability": "double", "doc_id": "long",
+             "held_out": "boolean", "text": "string"}
+
+    def rows(df: DataFrame, is_text: bool) -> DataFrame:
+        return df.select("block", F.lit(is_text).alias("is_text"), *[
+            F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+
+    both = rows(answers.withColumn("block", F.explode("blocks")), False).union(rows(dealt, True))
+    scored = both.repartition("block").sortWithinPartitions("block", "is_text").mapInArrow(
+        partial(_score, n_train=n_train, vocabulary=vocabulary), SCORES)
     return scored.withColumn("train_tokens", F.lit(n_train).cast("long"))
 
 
-def _marked(words: DataFrame, work: Workspace) -> DataFrame:
-    """words with `first`: true for one row of each word."""
-    lead = words.groupBy("word").agg(F.min(F.xxhash64("blocks")).alias("lead"))
-    return work.write(words.join(lead, "word").withColumn("first", F.xxhash64("blocks") == F.col("lead")).drop("lead"),
-                      "marked-words")
-
-
 @query()
 def op7_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model log10 probability of every document."""

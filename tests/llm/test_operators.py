@@ -122,6 +122,18 @@ def test_model_probabilities_sum_to_one_and_beat_the_base(spark):
     assert all(r.train_tokens == scored[0].train_tokens for r in scored)
 
 
+def test_model_tells_whole_context_words_apart(spark):
+    # both contexts end in the same byte; only the whole word tells what follows
+    rng = random.Random(9)
+    follows = {"xa": "one", "ya": "two"}
+    text = lambda k: " ".join(f"{c} {follows[c]}" for c in rng.choices(list(follows), k=k))
+    docs = odd_docs(spark, [(i, text(30)) for i in range(100, 200)])
+    scored = pitman_yor.score_documents(docs, Workspace(spark, "t"), block_bytes=5000).collect()
+    held = [r for r in scored if r.held_out]
+    # xa or ya is one choice of two, its follower is certain: about log10(2) / 2 a token
+    assert held and -sum(r.score for r in held) / sum(r.n_tokens for r in held) < 0.2
+
+
 @pytest.mark.parametrize("capacity", [1, 7, 100])
 def test_plans_place_every_piece_once(capacity):
     rng = random.Random(capacity)
