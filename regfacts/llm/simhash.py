@@ -184,7 +184,7 @@ def _grouped(rows: DataFrame, firsts: DataFrame, links: DataFrame, work: Workspa
 
 #: Near duplicates: five-word shingles, of which two texts share this part of those that either has.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
-#: Minima of a text, in bands. Texts of similarity 0.8 agree in no whole band once in 20,000 pairs.
+#: Minima of a text, in bands. Texts of similarity 0.8 agree in no whole band once in 13,000 pairs.
 BANDS, BAND_ROWS = 24, 5
 MINIMA = BANDS * BAND_ROWS
 #: Candidates may agree in so much less of the minima than their similarity, four standard deviations.
