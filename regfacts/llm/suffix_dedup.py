@@ -192,8 +192,9 @@ def repeated_bytes(docs: DataFrame, work: Workspace, fields: str, finish: Finish
     whole = live.where("same").unionByName(copies.select(live.columns)).select(
         "row1", "row2", F.lit(0).cast("long").alias("anchor"), "lo", "more", "ahead", F.lit(0).cast("long").alias("weight"),
         F.lit(0).cast("long").alias("contents"))
+    # a set: equal rows share row1 and row2 and have the same marks
     per_row = whole.unionByName(to_index).groupBy("row1", "row2").agg(
-        F.collect_list(F.struct("anchor", "lo", "more", "ahead", "weight", "contents")).alias("marks"))
+        F.collect_set(F.struct("anchor", "lo", "more", "ahead", "weight", "contents")).alias("marks"))
 
     def search(bodies: DataFrame) -> DataFrame:
         found = bodies.where(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor") \

@@ -74,6 +74,24 @@ def test_suffix_dedup_keeps_columns_and_characters(spark):
     assert empty.columns == docs.columns and empty.count() == 0
 
 
+def test_marks_of_equal_rows_are_collected_once(spark, monkeypatch):
+    most = []
+    finish = suffix_dedup.finish_spans
+
+    def watched(docs, per_row, work, **options):
+        most.append(max(len(r.marks) for r in per_row.collect()))
+        return finish(docs, per_row, work, **options)
+
+    monkeypatch.setattr(suffix_dedup, "finish_spans", watched)
+    text = "".join(random.Random(3).choices("abcdefgh", k=300))
+    for n in (2, 40):
+        rows = [(None, text)] * n
+        got = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, DOCS), Workspace(spark, "t"), suffix_dedup.DIGEST,
+                                          suffix_dedup.digest, length=24, kgram=5).collect()
+        assert sorted(map(tuple, got), key=repr) == cut_by_hand(rows, 24)
+    assert most[0] == most[1]
+
+
 def test_suffix_stage_removes_passages_of_51_words(spark):
     import corpus_pipeline
 
