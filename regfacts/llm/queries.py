@@ -2,6 +2,7 @@
 
 from regfacts.llm import (  # noqa: F401
     decontaminate,
+    license_scan,
     ordinal,
     packing,
     pitman_yor,
