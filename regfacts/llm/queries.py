@@ -12,5 +12,6 @@ from regfacts.llm import (  # noqa: F401
     suffix_dedup,
     token_files,
     warc,
+    whitening,
 )
 from regfacts.llm.registry import ORACLES, QUERIES  # noqa: F401
