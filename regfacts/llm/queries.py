@@ -1,6 +1,7 @@
 """All queries of this subpackage."""
 
 from regfacts.llm import (  # noqa: F401
+    conversation_repair,
     decontaminate,
     license_scan,
     ordinal,
