@@ -112,7 +112,7 @@ def _base(normal: Column, pieces: Column) -> list[Column]:
     place is hidden.
     """
     label = lambda p: F.coalesce(*[
-        F.when(F.startswith(p, F.lit(b + " ")), F.lit(name)) for b, name in BASE.items()])
+        F.when(F.startswith(p, F.lit(b)), F.lit(name)) for b, name in BASE.items()])
     n_words = (_spaces(normal) - 1).cast("long")
     n_base = (F.size(pieces) - 1).cast("long")
     last = n_words - _spaces(F.element_at(pieces, -1))
