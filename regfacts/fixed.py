@@ -88,8 +88,6 @@ RESPONSE_FIELDS = {
     "sheet": "Sheet", "headerlabel": "Sheet", "referencedate": "ReferenceDate",
     "reference date": "ReferenceDate",
 }
-STANDARD_DEPTH = 20
-PARTITIONED_DEPTH = 20
 ROW_CAP = 5000
 TRUNCATION_ROWS = 490
 

@@ -415,3 +415,44 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
         F.try_parse_json(text).alias("response"),
     )
+
+
+#: Nested groups of the second data set of `deep_responses`.
+DEEP_LEVELS = 40
+
+
+def deep_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A response per customer with two data sets, of which the second is nested 40 levels deep.
+
+    Buildings come in the richer shape, all others in the standard one. The data
+    sets have dictionaries of their own, so one index means two things.
+    """
+    customers = table(spark, sf_dir, "customer")
+    entity = F.col("c_custkey").cast("string")
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")
+    down = F.repeat(F.lit('{"M":[{"DM2":['), DEEP_LEVELS - 1)
+    up = F.repeat(F.lit("]}]}"), DEEP_LEVELS - 1)
+    leaf = lambda more: F.concat(F.lit("{" + more + '"X":[{"M0":"'), cents, F.lit('D"}]}'))
+    head = '{"results":[{"result":{"data":{'
+    standard = F.concat(
+        F.lit(head + '"dsr":{"DS":[{"ValueDicts":{"D0":["GR","ES"]},"PH":[{"DM0":[{"G0":"C'), entity,
+        F.lit('","M":[{"DM1":[{"G1":1,"G3":"{first}","X":[{"M0":"1"}]}]}]}]}]},'
+              '{"ValueDicts":{"D0":["IT","FR"]},"PH":[{"DM0":[{"G0":"C'), entity,
+        F.lit('","M":[{"DM1":[{"G1":1,"G3":"{second}","X":[{"M0":"2"}],"M":[{"DM2":['), down, leaf('"G5":"deep",'), up,
+        F.lit("]}]}]}]}]}]}]}}}}]}"),
+    )
+    richer = F.concat(
+        F.lit(head + '"descriptor":{"Select":[{"Value":"G0","Name":"d.ENT_NAM"},{"Value":"G1",'
+              '"NativeReferenceName":"CellCode"},{"Value":"G2","Name":"d.Template"}]},"dsr":{"DS":['
+              '{"ValueDicts":{"D0":["K_01.00","K_02.00"]},"SH":[{"DM0":[{"S":[{"N":"G2","DN":"D0"}],"G2":1}]}],'
+              '"PH":[{"DM1":[{"G0":"C'), entity,
+        F.lit('","G1":"{first}","X":[{"M0":"1"}]}]}]},'
+              '{"ValueDicts":{"D7":["K_07.00","K_08.00"]},"SH":[{"DM0":[{"G2":1}]}],"PH":[{"DM1":[{"G0":"C'), entity,
+        F.lit('","G1":"{second}","M":[{"DM2":['), down,
+        # the registration at the bottom holds for the whole data set
+        leaf('"S":[{"N":"G2","DN":"D7"}],'), up, F.lit("]}]}]}]}]}}}}]}"),
+    )
+    return customers.select(
+        F.col("c_custkey").alias("response_id"),
+        F.try_parse_json(F.when(F.col("c_mktsegment") == "BUILDING", richer).otherwise(standard)).alias("response"),
+    )

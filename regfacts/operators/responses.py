@@ -1,13 +1,18 @@
 """Flattening of landed query responses (nested JSON) into bronze rows.
 
 A response is a tree of groups: each level adds group values (`G0`, `G1`, …),
-child groups hang below `M[].DM*[]`, and facts are `X[].M0`. Depth is bounded, so
-the tree is walked level by level inside its own row with array expressions: no
-shuffle, no recursion, one document per row. Rows leave in document order.
+child groups hang below `M[].DM*[]`, and facts are `X[].M0`. The trees of all data
+sets are walked level by level inside their own row with array expressions: no
+shuffle, no recursion, one document per row. A round walks LEVELS levels and is
+written; responses that go deeper carry their frontier into the next round, until
+none is left, so no depth is too great. Rows leave in document order.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +23,11 @@ from regfacts.functions import (
 )
 from regfacts.functions.responses import DATA, data_sets
 from regfacts.operators.windows import first_n
+from regfacts.session import settle
+
+#: Levels of the first round, and of a later one at most: each round walks twice as
+#: many as the one before. More make a longer plan, fewer make more rounds.
+LEVELS, LEVELS_AT_MOST = 6, 24
 
 TEXTS = "map<string,string>"
 VARIANTS = "array<variant>"
@@ -70,24 +80,36 @@ def _children(node: Column) -> Column:
     return F.flatten(per_list)
 
 
-def _walk(df: DataFrame, roots: Column, depth: int) -> DataFrame:
-    """Add `nodes`: the groups of all levels, in document order.
+def _walk(start: DataFrame, roots: Column, keep: list[str], finish: Callable[[DataFrame], DataFrame],
+          made: list[str]) -> DataFrame:
+    """`keep` and the columns `made` by `finish` from `nodes`: the groups of all levels, in document order.
 
-    A response with groups below `depth` levels is an error, as its facts
-    would be lost.
+    A round's responses that have no further level are finished and written; the
+    others are written with all they hold and go on.
     """
-    columns = df.columns
-    df = df.select(*columns, roots.alias("_level"), F.array().cast(NODES).alias("nodes"))
+    state = start.withColumns({"_level": roots, "nodes": F.array().cast(NODES)})
+    carried = [c for c in state.columns if c not in keep]
     below = F.flatten(F.transform("_level", _children)).alias("_level")
     seen = F.concat("nodes", "_level").alias("nodes")
-    for _ in range(depth):
-        # both columns read the level, so Spark keeps the steps apart
-        df = df.select(*columns, below, seen)
-    deeper = F.size(F.flatten(F.transform("_level", _children))) > 0
-    df = df.withColumn("_level", F.when(deeper, F.raise_error(F.lit(
-        f"a response has groups below level {depth + 1}; raise the depth")).cast(NODES)).otherwise(F.col("_level")))
-    # by path, so that a group comes before its children and after earlier siblings
-    return df.select(*columns, F.array_sort(F.concat("nodes", "_level"), _by_path).alias("nodes"))
+    others = [c for c in state.columns if c not in ("_level", "nodes")]
+    finished, levels = [], LEVELS
+    while True:
+        for _ in range(levels):
+            # both columns read the level, so Spark keeps the steps apart
+            state = state.select(*others, below, seen)
+        # by path, so that a group comes before its children and after earlier siblings
+        ordered = state.withColumn("nodes", F.array_sort("nodes", _by_path))
+        deeper = F.size("_level") > 0
+        rows = finish(ordered.withColumn("_deeper", deeper))
+        round_ = settle(rows.select(
+            *keep, "_deeper", *[F.when(~F.col("_deeper"), F.col(c)).alias(c) for c in made],
+            *[F.when(F.col("_deeper"), F.col(c)).alias(f"_state_{c}") for c in carried]))
+        finished.append(round_.filter(~F.col("_deeper")).select(*keep, *made))
+        rest = round_.filter("_deeper")
+        if rest.isEmpty():
+            return functools.reduce(DataFrame.unionByName, finished)
+        levels = min(2 * levels, LEVELS_AT_MOST)
+        state = rest.select(*keep, *[F.col(f"_state_{c}").alias(c) for c in carried])
 
 
 def _by_path(a: Column, b: Column) -> Column:
@@ -95,7 +117,7 @@ def _by_path(a: Column, b: Column) -> Column:
 
 
 def _facts(nodes: Column) -> Column:
-    """(groups, value) of every item that has a measure, in order."""
+    """(data set, groups, value) of every item that has a measure, in order."""
     return F.flatten(
         F.transform(
             nodes,
@@ -104,7 +126,7 @@ def _facts(nodes: Column) -> Column:
                     _list(n["item"], "$.X"), lambda x: F.map_contains_key(_fields(x), F.lit("M0"))
                 ),
                 lambda x: F.struct(
-                    n["groups"].alias("groups"),
+                    n["path"][0].alias("set"), n["groups"].alias("groups"),
                     F.try_variant_get(x, "$.M0", "variant").alias("value"),
                 ),
             ),
@@ -126,8 +148,8 @@ def _dictionaries(data_set: Column) -> Column:
     return F.try_variant_get(data_set, "$.ValueDicts", "map<string,array<string>>")
 
 
-def _dictionary(name: Column) -> Column:
-    return F.try_element_at(F.col("dictionaries"), name)
+def _dictionary(data_set: Column, name: Column) -> Column:
+    return F.try_element_at(F.get("dictionaries", data_set), name)
 
 
 def _last_wins(pairs: Column) -> Column:
@@ -150,55 +172,59 @@ def _bronze_row(values: dict[str, Column], fields: Column | None = None) -> Colu
     )
 
 
-def _add_standard(df: DataFrame, response: str) -> DataFrame:
-    """Add `standard`: rows of the standard shape.
+def _sets(response: str) -> Column:
+    return F.coalesce(data_sets(response), F.array().cast(VARIANTS))
+
+
+def _standard(df: DataFrame, keep: list[str], finish: Callable[[DataFrame], DataFrame], made: list[str],
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """`keep` and what `finish` makes of `standard` (rows of the standard shape) and `carry`.
 
-    The first data set is read, with all its parts; the top level gives the
-    entity and no facts.
+    All data sets are read, with all their parts; the top level gives the entity
+    and no facts.
     """
-    data_set = F.get(data_sets(response), 0)
-    tops = F.flatten(F.transform(
-        _list(data_set, "$.PH"),
-        lambda p, i: F.transform(
-            _list(p, "$.DM0"),
-            lambda d, j: _node(F.array(i, j), F.map_filter(_groups(d), lambda k, _: k == "G0"), d),
-        ),
-    ))
-    start = df.withColumns({"dictionaries": _dictionaries(data_set), "_tops": tops})
-    walked = _walk(
-        start, F.flatten(F.transform("_tops", _children)), fixed.STANDARD_DEPTH - 1
-    )
+
+    def tops(data_set: Column, n: Column) -> Column:
+        return F.flatten(F.transform(
+            _list(data_set, "$.PH"),
+            lambda p, i: F.transform(
+                _list(p, "$.DM0"),
+                lambda d, j: _node(F.array(n, i, j), F.map_filter(_groups(d), lambda k, _: k == "G0"), d))))
+
+    start = df.withColumn("_sets", _sets("response")).select(
+        *keep, *carry, F.transform("_sets", _dictionaries).alias("dictionaries"),
+        F.flatten(F.transform("_sets", tops)).alias("_tops"))
 
     def row(fact: Column) -> Column:
         values = {}
         for index, column in fixed.GROUP_COLUMNS.items():
             value = F.try_element_at(fact["groups"], F.lit(f"G{index}"))
             if index in fixed.GROUP_DICTIONARIES:
-                text = decode_index(_dictionary(F.lit(fixed.GROUP_DICTIONARIES[index])), value)
+                text = decode_index(_dictionary(fact["set"], F.lit(fixed.GROUP_DICTIONARIES[index])), value)
             else:
                 text = F.try_variant_get(value, "$", "string")
             values[column] = F.coalesce(text, F.lit(""))
         values["FactValue"] = _value_text(fact["value"])
         return _bronze_row(values)
 
-    return walked.withColumn("_facts", _facts(F.col("nodes"))).select(
-        *df.columns, F.transform("_facts", row).alias("standard")
-    )
+    def rows(walked: DataFrame) -> DataFrame:
+        return finish(walked.withColumn("_facts", _facts(F.col("nodes"))).withColumn("standard", F.transform("_facts", row)))
+
+    return _walk(start, F.flatten(F.transform("_tops", _children)), keep, rows, made)
 
 
-def _add_richer(df: DataFrame, response: str) -> DataFrame:
-    """Add `richer`: rows of the shape that describes its own groups.
+def _richer(df: DataFrame, keep: list[str]) -> DataFrame:
+    """`keep` and `richer`: rows of the shape that describes its own groups.
 
-    Group names come from the descriptor, base values from the `SH` part, and
-    dictionary names from the `S` registrations of the whole response, of which
-    the last one of a group counts. If several groups carry the same field, the
-    one with the highest number counts. Rows with a blank cell are left out; the
-    reference date comes as epoch milliseconds.
+    All data sets are read. Group names come from the descriptor; a data set has its
+    own base values from its `SH` part and its own dictionary names from all its `S`
+    registrations, of which the last one of a group counts. If several groups carry
+    the same field, the one with the highest number counts. Rows with a blank cell
+    are left out; the reference date comes as epoch milliseconds.
     """
-    data_set = F.get(data_sets(response), 0)
     described = F.transform(
         F.coalesce(
-            F.try_variant_get(response, f"{DATA}.descriptor.Select", SELECTS),
+            F.try_variant_get("response", f"{DATA}.descriptor.Select", SELECTS),
             F.array().cast(SELECTS),
         ),
         lambda s: F.struct(
@@ -212,53 +238,35 @@ def _add_richer(df: DataFrame, response: str) -> DataFrame:
             ).alias("field"),
         ),
     )
-    heads = _list(data_set, "$.SH")
-    head_items = F.flatten(F.transform(heads, lambda s: _members(s, "DM")))
-    parts = _list(data_set, "$.PH")
-    start = df.withColumns(
-        {
-            "dictionaries": _dictionaries(data_set),
-            # groups that carry a field, highest number first
-            "_described": F.sort_array(
-                F.filter(described, lambda g: g["group"].rlike(GROUP_NAME)), asc=False
-            ),
-            "_base": F.aggregate(
-                head_items, F.create_map().cast(OBJECT), lambda acc, d: _overlay(acc, _groups(d))
-            ),
-            "_outer": F.concat(heads, head_items, parts),
-            "_parts": parts,
-        }
-    )
-    roots = F.flatten(
-        F.transform(
-            "_parts",
-            lambda p, i: F.transform(
-                _members(p, "DM"), lambda d, j: _node(F.array(i, j), _groups(d), d)
-            ),
-        )
-    )
-    walked = _walk(start, roots, fixed.PARTITIONED_DEPTH - 1)
-    items = F.concat("_outer", F.transform("nodes", lambda n: n["item"]))
-    walked = walked.withColumns(
-        {
-            "_names": _last_wins(
-                F.filter(F.flatten(F.transform(items, _registrations)), _is_group_pair)
-            ),
-            "_facts": _facts(F.col("nodes")),
-        }
+
+    def head_items(data_set: Column) -> Column:
+        return F.flatten(F.transform(_list(data_set, "$.SH"), lambda s: _members(s, "DM")))
+
+    start = df.withColumn("_sets", _sets("response")).select(
+        *keep,
+        F.transform("_sets", _dictionaries).alias("dictionaries"),
+        # groups that carry a field, highest number first
+        F.sort_array(F.filter(described, lambda g: g["group"].rlike(GROUP_NAME)), asc=False).alias("_described"),
+        F.transform("_sets", lambda s: F.aggregate(
+            head_items(s), F.create_map().cast(OBJECT), lambda acc, d: _overlay(acc, _groups(d)))).alias("_base"),
+        F.transform("_sets", lambda s: F.concat(_list(s, "$.SH"), head_items(s), _list(s, "$.PH"))).alias("_outer"),
+        F.transform("_sets", lambda s: _list(s, "$.PH")).alias("_parts"),
     )
+    roots = F.flatten(F.transform("_parts", lambda parts, n: F.flatten(F.transform(
+        parts, lambda p, i: F.transform(
+            _members(p, "DM"), lambda d, j: _node(F.array(n, i, j), _groups(d), d))))))
 
     def row(fact: Column) -> Column:
+        base, names = F.get("_base", fact["set"]), F.get("_names", fact["set"])
+
         def text_of(column: str) -> Column:
             # values of the tree go before those of the head
             groups = F.filter("_described", lambda g: g["field"] == column)["group"]
             own = F.get(F.filter(groups, lambda g: F.map_contains_key(fact["groups"], g)), 0)
-            head = F.get(F.filter(groups, lambda g: F.map_contains_key(F.col("_base"), g)), 0)
+            head = F.get(F.filter(groups, lambda g: F.map_contains_key(base, g)), 0)
             text = decode_index(
-                _dictionary(F.try_element_at(F.col("_names"), F.coalesce(own, head))),
-                F.coalesce(
-                    F.try_element_at(fact["groups"], own), F.try_element_at(F.col("_base"), head)
-                ),
+                _dictionary(fact["set"], F.try_element_at(names, F.coalesce(own, head))),
+                F.coalesce(F.try_element_at(fact["groups"], own), F.try_element_at(base, head)),
             )
             return F.coalesce(text, F.lit(""))
 
@@ -269,10 +277,15 @@ def _add_richer(df: DataFrame, response: str) -> DataFrame:
         values["FactValue"] = _value_text(fact["value"])
         return _bronze_row(values)
 
-    return walked.select(
-        *df.columns,
-        F.filter(F.transform("_facts", row), lambda r: nonblank(r["Cell"])).alias("richer"),
-    )
+    def rows(walked: DataFrame) -> DataFrame:
+        def names(outer: Column, n: Column) -> Column:
+            own = F.transform(F.filter("nodes", lambda x: x["path"][0] == n), lambda x: x["item"])
+            return _last_wins(F.filter(F.flatten(F.transform(F.concat(outer, own), _registrations)), _is_group_pair))
+
+        walked = walked.withColumns({"_names": F.transform("_outer", names), "_facts": _facts(F.col("nodes"))})
+        return walked.withColumn("richer", F.filter(F.transform("_facts", row), lambda r: nonblank(r["Cell"])))
+
+    return _walk(start, roots, keep, rows, ["richer"])
 
 
 def _registrations(item: Column) -> Column:
@@ -345,12 +358,13 @@ def _unnest(df: DataFrame, rows: str | Column, *columns: str) -> DataFrame:
 
 def flatten_responses(df: DataFrame) -> DataFrame:
     """Standard shape -> 9 bronze columns. `df`: `response_id`, variant `response`."""
-    return _unnest(_add_standard(df, "response"), "standard", *fixed.BRONZE_COLUMNS)
+    rows = _standard(df, ["response_id"], lambda walked: walked, ["standard"])
+    return _unnest(rows, "standard", *fixed.BRONZE_COLUMNS)
 
 
 def flatten_partitioned(df: DataFrame) -> DataFrame:
     """Richer shape -> 13 bronze columns."""
-    return _unnest(_add_richer(df, "response"), "richer", *fixed.BRONZE_WIDE_COLUMNS)
+    return _unnest(_richer(df, ["response_id"]), "richer", *fixed.BRONZE_WIDE_COLUMNS)
 
 
 def flatten_tables(df: DataFrame) -> DataFrame:
@@ -366,13 +380,19 @@ def flatten_any(df: DataFrame) -> DataFrame:
     shape is known, and a later shape is only walked where the earlier ones gave
     nothing.
     """
-    rows = _add_tables(_add_standard(df, "response"), "response")
-    found = F.when(F.size("standard") > 0, F.col("standard")).otherwise(F.col("tables"))
-    rows = rows.select("response_id", "response", found.alias("found"))
-    rows = rows.withColumn("rest", F.when(F.size("found") == 0, F.col("response")))
-    rows = _add_richer(rows, "rest")
-    best = F.when(F.size("found") > 0, F.col("found")).otherwise(F.col("richer"))
-    return _unnest(rows, best, *fixed.BRONZE_WIDE_COLUMNS, "fields")
+
+    def first_found(walked: DataFrame) -> DataFrame:
+        rows = F.when(F.size("standard") > 0, F.col("standard")).otherwise(F.col("tables"))
+        return walked.withColumn("found", rows).withColumn("rest", F.when(F.size("found") == 0, F.col("response")))
+
+    keep = ["response_id"]
+    # the response itself is written only where nothing was found
+    tabled = _add_tables(df.select("response_id", "response"), "response")
+    walked = _standard(tabled, keep, first_found, ["found", "rest"], carry=("tables", "response"))
+    found = walked.filter(F.size("found") > 0).select(*keep, "found")
+    rest = _richer(walked.filter("rest is not null").select(*keep, F.col("rest").alias("response")), keep)
+    best = found.unionByName(rest.withColumnRenamed("richer", "found"))
+    return _unnest(best, "found", *fixed.BRONZE_WIDE_COLUMNS, "fields")
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:

@@ -1016,6 +1016,36 @@ def flatten_any(spark, sf):
     )
 
 
+ACCOUNT = "cast(cast(cast(round(c_acctbal * 100) as bigint) as double) as varchar)"
+
+
+@query(f"""select c_custkey as response_id, pos, concat('C', cast(c_custkey as varchar)) as "Entity", "Country", "Cell",
+  "Row", case when pos = 2 then {ACCOUNT} else v end as "FactValue"
+from customer cross join (values (0, 'ES', '{{first}}', '', '1.0'), (1, 'FR', '{{second}}', '', '2.0'),
+  (2, 'FR', '{{second}}', 'deep', null)) f(pos, "Country", "Cell", "Row", v) where c_mktsegment <> 'BUILDING'""")
+def flatten_responses_data_sets(spark, sf):
+    """All data sets of a response, 40 levels deep."""
+    return responses.flatten_responses(fx.deep_responses(spark, sf)).select(
+        "response_id", "pos", "Entity", "Country", "Cell", "Row", "FactValue")
+
+
+@query(f"""select c_custkey as response_id, pos, concat('C', cast(c_custkey as varchar)) as "Entity", "Cell", "Template",
+  case when pos = 1 then {ACCOUNT} else '1.0' end as "FactValue"
+from customer cross join (values (0, '{{first}}', 'K_02.00'), (1, '{{second}}', 'K_08.00')) f(pos, "Cell", "Template")
+where c_mktsegment = 'BUILDING'""")
+def flatten_partitioned_data_sets(spark, sf):
+    return responses.flatten_partitioned(fx.deep_responses(spark, sf)).select(
+        "response_id", "pos", "Entity", "Cell", "Template", "FactValue")
+
+
+@query(f"""select c_custkey as response_id, pos, concat('C', cast(c_custkey as varchar)) as "Entity",
+  case when pos = (case when c_mktsegment = 'BUILDING' then 1 else 2 end) then {ACCOUNT}
+       when pos = 0 then '1.0' else '2.0' end as "FactValue"
+from customer cross join (values (0), (1), (2)) f(pos) where c_mktsegment <> 'BUILDING' or pos < 2""")
+def flatten_any_data_sets(spark, sf):
+    return responses.flatten_any(fx.deep_responses(spark, sf)).select("response_id", "pos", "Entity", "FactValue")
+
+
 @query("""select o_orderpriority as priority, count(*) as responses,
   count(*) filter (where o_orderstatus = 'F' and o_orderpriority = '1-URGENT') as restart_tokens
 from orders group by 1""")

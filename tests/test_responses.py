@@ -57,7 +57,7 @@ TABLES = doc({"DataShapes": [{"Tables": [{
 @pytest.fixture(scope="module")
 def landed(spark):
     docs = [("1", STANDARD), ("2", RICHER), ("3", TABLES), ("4", "{bad"), ("5", doc(deep(15))),
-            ("6", doc(deep(16))), ("7", doc({"DS": [{"RT": []}]}))]
+            ("6", doc(deep(40))), ("7", doc({"DS": [{"RT": []}]}))]
     return spark.createDataFrame(docs, "response_id string, text string").select(
         "response_id", F.try_parse_json("text").alias("response"))
 
