@@ -7,10 +7,13 @@ the full tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.session import settle, spread, tune
+from regfacts import fixed
+from regfacts.session import settle, spread, tune, work_folder
 
 # orders per chunk of a file: a chunk holds the lines of so many orders
 ORDERS_PER_CHUNK = 1_000_000
@@ -417,6 +420,28 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def points_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV files from `orders`, written for one query: three shapes by status and a fourth to reject.
+
+    Row names and cells hold quoted line breaks, quotes and commas.
+    """
+    orders = table(spark, sf_dir, "orders")
+    text = lambda c: F.col(c).cast("string")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    values = {
+        "Entity": text("o_custkey"), "Country": F.lit("GR"), "Module": F.concat(text("o_orderpriority"), F.lit('\n"m", x')),
+        "Cell": text("o_orderkey"), "Row": F.lit("10"), "RowName": F.concat(F.lit('a\n\n"b"\n'), text("o_orderkey")),
+        "Column": F.lit("20"), "ColumnName": F.lit(","), "FactValue": cents, "Sheet": text("o_orderpriority")}
+    standard = list(fixed.BRONZE_COLUMNS)
+    shapes = {"F": standard, "O": [*reversed(standard)], "P": ["Sheet", *standard]}
+    root = f"{work_folder(spark)}/points-{uuid.uuid4().hex}"
+    for status, names in shapes.items():
+        rows = orders.filter(F.col("o_orderstatus") == status).select(*[values[c].alias(c) for c in names])
+        rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{root}/{status}")
+    orders.groupBy("o_orderpriority").count().coalesce(1).write.option("header", True).csv(f"{root}/other")
+    return root
+
+
 #: Nested groups of the second data set of `deep_responses`.
 DEEP_LEVELS = 40
 

@@ -20,7 +20,7 @@ from regfacts.plans import dictionary as layouts
 from regfacts.plans import enrich, normalize, silver, validate
 from regfacts.session import work_folder
 from regfacts.sources import writers
-from regfacts.sources.readers import expected_files
+from regfacts.sources.readers import expected_files, read_points, scan_directory
 from regfacts.streaming import stream_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1112,3 +1112,39 @@ def code_functions(spark, sf):
         fn.cell_template(cell).alias("template"),
         fn.cell_row(cell).alias("row_part"),
     )
+
+
+# --- files -------------------------------------------------------------------
+PRICE = "cast(cast(round(o_totalprice * 100) as bigint) as varchar)"
+
+
+@query(f"""select cast(o_custkey as varchar) as "Entity", cast(o_orderkey as varchar) as "Cell",
+  concat(o_orderpriority, chr(10), '"m", x') as "Module",
+  concat('a', chr(10), chr(10), '"b"', chr(10), cast(o_orderkey as varchar)) as "RowName", ',' as "ColumnName",
+  case when o_orderstatus = 'P' then o_orderpriority end as "Sheet", {PRICE} as "FactValue", 0 as split
+from orders""")
+def scan_quoted_files(spark, sf):
+    """CSV files of three shapes with quoted line breaks, written from orders and scanned."""
+    scan = scan_directory(spark, fx.points_folder(spark, sf), pattern="*.csv")
+    return scan.points.select(
+        "Entity", "Cell", "Module", "RowName", "ColumnName", "Sheet", "FactValue",
+        # a chunk is the split of its file in which the record starts
+        F.when(F.col("chunk") == F.col("line.block"), 0).otherwise(1).alias("split"))
+
+
+@query("""select distinct 'missing columns: [''Cell'', ''Column'', ''ColumnName'', ''Country'', ''Entity'', ''FactValue'', ''Module'', ''Row'', ''RowName'']'
+  as reason, 'o_orderpriority,count' as header, count(*) over () > 0 as has_orders from orders""")
+def scan_rejected_files(spark, sf):
+    """Files that are set aside, with their reason and header."""
+    scan = scan_directory(spark, fx.points_folder(spark, sf), pattern="*.csv")
+    return scan.rejected.join(scan.files, "source_path").select(
+        "reason", F.array_join("columns", ",").alias("header"), F.lit(True).alias("has_orders")).distinct()
+
+
+@query(f"""select cast(o_custkey as varchar) as entity, count(*) as facts, sum(cast({PRICE} as bigint)) as total
+from orders where o_orderstatus = 'F' group by 1""")
+def read_points_by_entity(spark, sf):
+    """Files of one shape read by their splits, then aggregated."""
+    rows = read_points(spark, fx.points_folder(spark, sf) + "/F")
+    return rows.groupBy(F.col("Entity").alias("entity")).agg(
+        F.count("*").alias("facts"), F.sum(F.col("FactValue").cast("bigint")).alias("total"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,8 +12,7 @@ from pyspark.sql import types as T
 
 from regfacts import fixed, schema
 from regfacts.functions import drop_na_tokens, normalize_code
-from regfacts.operators.joins import union_all
-from regfacts.operators.windows import with_line_no
+from regfacts.sources.records import columns_of, file_splits, read_lines, records
 
 JSON_LIST = "array<string>"
 
@@ -49,36 +47,20 @@ def read_points(
     path: str | Sequence[str],
     columns: Sequence[str] = fixed.BRONZE_COLUMNS,
     na_tokens: Iterable[str] = fixed.NA_TOKENS,
-    multi_line: bool = True,
 ) -> DataFrame:
     """Bronze CSV files of one shape, all text, with file, path, line and chunk.
 
-    `multi_line` reads a file in one task, as line breaks may be quoted. Switch
-    it off for large files without such breaks: they are then split, and `chunk`
-    follows the splits.
+    Files are split whether or not line breaks are quoted, and `chunk` follows the
+    splits. A file with another header, or one that cannot be read, is an error.
     """
-    raw = _csv(spark, schema.strings(*columns), multi_line).csv(path)
-    lined = with_line_no(
-        raw.select(
-            "*",
-            "_metadata",
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_path").alias("source_path"),
-        )
-    )
-    return bronze(lined, columns, na_tokens).drop("_metadata")
-
-
-def list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> list[str]:
-    """Paths below a folder, sorted by name. Only names are listed, nothing is read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path")
-    )
-    return sorted(row["path"] for row in files.collect())
+    lines = read_lines(spark, path)
+    splits = file_splits(lines)
+    wrong = F.when(F.col("problem").isNotNull(), F.col("problem")).when(
+        F.col("header") != F.lit(list(columns)), "another header")
+    bad = splits.filter(wrong.isNotNull()).select("source_path", wrong.alias("reason")).first()
+    if bad:
+        raise ValueError(f"{bad['source_path']}: {bad['reason']}")
+    return bronze(columns_of(records(lines, splits), columns), columns, na_tokens)
 
 
 def scan_directory(
@@ -89,59 +71,34 @@ def scan_directory(
     pattern: str = f"*{fixed.POINTS_SUFFIX}",
     recursive: bool = True,
     fail_fast: bool = False,
-    multi_line: bool = True,
 ) -> Scan:
     """All points files of a folder, whatever their columns.
 
-    Headers are read first, one line per file; files with the same header are
-    read together, and all shapes are united by column name. Files that lack a
-    required column are set aside with a reason. `reference_date` (`yyyyMMdd`)
-    keeps the files below the folder of that name.
+    One pass reads the headers and the quotes of all splits; every record is then
+    parsed by the header of its own file. Files that lack a required column or
+    cannot be read are set aside with a reason. `reference_date` (`yyyyMMdd`) keeps the
+    files below the folder of that name. What reaches the driver is the distinct
+    column names, neither paths nor headers. A file without a line is not listed.
     """
-    paths = list_files(spark, root, pattern, recursive)
+    lines = read_lines(spark, root, pattern, recursive)
     if reference_date:
-        paths = [p for p in paths if reference_date in p.split("/")]
-
-    def header(path: str) -> list[str]:
-        return (
-            spark.read.option("header", True).option("escape", '"')
-            .option("multiLine", multi_line).csv(path).columns
-        )
-
-    with ThreadPoolExecutor(8) as pool:
-        headers = dict(zip(paths, pool.map(header, paths)))
-    shapes: dict[tuple[str, ...], list[str]] = {}
-    rejected = []
-    for path, names in headers.items():
-        lacking = sorted(set(required) - set(names))
-        if lacking:
-            rejected.append((path.rsplit("/", 1)[-1], path, f"missing columns: {lacking}"))
-        else:
-            shapes.setdefault(tuple(names), []).append(path)
-    if rejected and fail_fast:
-        raise ValueError("; ".join(f"{name}: {reason}" for name, _, reason in rejected))
-    frames = [read_points(spark, group, names, multi_line=multi_line)
-              for names, group in shapes.items()]
-    if not frames:
-        empty = T.StructType(
-            schema.BRONZE.fields
-            + schema.strings("source_file", "source_path").fields
-            + [
-                T.StructField("line", T.StructType([T.StructField("block", T.LongType()),
-                                                    T.StructField("pos", T.LongType())])),
-                T.StructField("chunk", T.LongType()),
-            ]
-        )
-        frames = [spark.createDataFrame([], empty)]
-    files = spark.createDataFrame(
-        [(p.rsplit("/", 1)[-1], p, list(n)) for p, n in headers.items()],
-        "source_file string, source_path string, columns array<string>",
-    )
-    return Scan(
-        union_all(frames),
-        files,
-        spark.createDataFrame(rejected, schema.strings("source_file", "source_path", "reason")),
-    )
+        lines = lines.filter(F.array_contains(F.split("source_path", "/"), reference_date))
+    splits = file_splits(lines)
+    absent = F.array_sort(F.array_except(F.lit(list(required)).cast("array<string>"), "header"))
+    named = F.concat(F.lit("missing columns: ['"), F.array_join(absent, "', '"), F.lit("']"))
+    reason = F.coalesce("problem", F.when(F.size(absent) > 0, named))
+    splits = splits.withColumn("problem", reason)
+    files = splits.filter("block = 0")
+    rejected = files.filter("problem is not null").select("source_file", "source_path", F.col("problem").alias("reason"))
+    if fail_fast and (bad := rejected.first()):
+        raise ValueError(f"{bad['source_file']}: {bad['reason']}")
+    found = {r[0] for r in files.filter("problem is null").select(F.explode("header")).distinct().collect()}
+    if not found:
+        found = set(fixed.BRONZE_COLUMNS)
+    names = [c for c in fixed.BRONZE_WIDE_COLUMNS if c in found]
+    names += sorted(found - set(names))
+    points = bronze(columns_of(records(lines, splits), names), names)
+    return Scan(points, files.select("source_file", "source_path", F.col("header").alias("columns")), rejected)
 
 
 def read_grid(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:

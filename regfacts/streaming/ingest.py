@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from regfacts import fixed, schema
+from regfacts import fixed
 from regfacts.functions import natural_key
 from regfacts.operators.merge import new_rows
-from regfacts.operators.windows import with_line_no
 from regfacts.plans.normalize import normalize_points
 from regfacts.session import settle, touched_by
 from regfacts.sources.readers import bronze
+from regfacts.sources.records import columns_of, file_splits, numbered, records
 
 
 def append_new(
@@ -93,25 +93,17 @@ def stream_ingest(
     two batches. Stops when the folder is worked off.
     """
     files = (
-        spark.readStream.schema(schema.strings(*columns))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
+        spark.readStream.option("lineSep", "\n")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{fixed.POINTS_SUFFIX}")
-        .csv(in_dir)
-        .select(
-            "*",
-            "_metadata",
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_path").alias("source_path"),
-        )
+        .text(in_dir)
+        .select("value", "_metadata")
     )
 
     def prepare(batch: DataFrame) -> DataFrame:
         # written first: line numbers must not change between the reads of a batch
-        return normalize(settle(with_line_no(batch).drop("_metadata")))
+        lines = settle(numbered(batch))
+        splits = file_splits(lines)
+        return normalize(settle(bronze(columns_of(records(lines, splits), columns), columns)))
 
-    return stream_append(
-        bronze(files, columns), out_dir, checkpoint, prepare, ["source_file", "line"]
-    )
+    return stream_append(files, out_dir, checkpoint, prepare, ["source_file", "line"])

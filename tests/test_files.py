@@ -2,8 +2,6 @@
 
 import json
 
-import pytest
-
 from regfacts.operators import responses
 from regfacts.plans import normalize
 
@@ -37,11 +35,12 @@ def response(parts, depth=1):
 def test_every_part_of_a_response_counts(spark):
     df = spark.createDataFrame([(1, response(1)), (2, response(2)), (3, response(1, 3))], "id int, body string")
     read = df.selectExpr("id", "parse_json(body) as response")
-    got = {r.id: len(r.standard) for r in responses._add_standard(read, read["response"]).collect()}
-    assert got == {1: 1, 2: 2, 3: 3}
+    got = responses.flatten_responses(read.withColumnRenamed("id", "response_id")).groupBy("response_id").count()
+    assert {r["response_id"]: r["count"] for r in got.collect()} == {1: 1, 2: 2, 3: 3}
 
 
-def test_groups_below_the_walked_depth_are_an_error(spark):
-    read = spark.createDataFrame([(1, response(1, 40))], "id int, body string").selectExpr("parse_json(body) as response")
-    with pytest.raises(Exception, match="raise the depth"):
-        responses._add_standard(read, read["response"]).collect()
+def test_groups_of_any_depth_count(spark):
+    read = spark.createDataFrame([(1, response(1, 50))], "response_id int, body string").selectExpr(
+        "response_id", "parse_json(body) as response")
+    got = [r["FactValue"] for r in responses.flatten_responses(read).orderBy("pos").collect()]
+    assert got == [f"{n}.0" for n in range(1, 51)]
