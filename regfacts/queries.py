@@ -21,7 +21,7 @@ from regfacts.plans import enrich, normalize, silver, validate
 from regfacts.session import work_folder
 from regfacts.sources import writers
 from regfacts.sources.readers import expected_files, read_points, scan_directory
-from regfacts.streaming import stream_append
+from regfacts.streaming import stream_append, stream_append_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,6 +680,26 @@ def stream_append_events(spark, sf):
     )
 
 
+@query(f"""with {EVENTS},
+r as (select *, row_number() over (partition by fact_key order by d >= date '2024-01-10', event_id) as k from ev)
+select fact_key, event_id, value as fact_value, d as reference_date from r where k = 1""")
+def stream_append_keyed_events(spark, sf):
+    """Two files of events in two runs of one stream; the keys are held in the state store."""
+    base = f"{work_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    events = fx.table(spark, sf, "events")
+    later = F.to_date("ts") >= F.lit("2024-01-10").cast("date")
+
+    def run() -> None:
+        source = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+        stream_append_keyed(source, f"{base}/out", f"{base}/state", fx.event_facts_of, ["event_id"]).awaitTermination()
+
+    # the second run starts the stream again from its checkpoint
+    for n, part in enumerate((~later, later)):
+        events.filter(part).write.parquet(f"{base}/in/{n}")
+        run()
+    return spark.read.parquet(f"{base}/out").select("fact_key", "event_id", "fact_value", "reference_date")
+
+
 # --- metadata ----------------------------------------------------------------
 def _enriched(spark, sf):
     docs = fx.table(spark, sf, "documents").select("doc_id", "source", "lang")
