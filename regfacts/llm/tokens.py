@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
 
 #: Stretches that one worker remembers, the first it meets; later ones are encoded once a batch.
-CACHE = 500_000
+CACHE = 1_000_000
 _STRETCH = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _UNSURE = re.compile("[\x1c-\x1f]")
 
@@ -40,18 +42,33 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
         split = _STRETCH.findall if self.spaces else str.split
-        parts = [None if _UNSURE.search(t) or any(s in t for s in self.special) else split(t) for t in texts]
+        unsure = bool(_UNSURE.search("".join(texts))) or any(s in t for s in self.special for t in texts)
+        parts = [None if unsure and (_UNSURE.search(t) or any(s in t for s in self.special)) else split(t) for t in texts]
+        flat = pa.array([s for p in parts if p for s in p], pa.string()).dictionary_encode()
+        # all ids of the batch: those of its distinct stretches, taken stretch by stretch
+        ids = self._of(flat.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        which = flat.indices.to_numpy()
+        length = size[which]
+        ends = np.cumsum(length)
+        at = np.repeat(begin[which] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+        all_ids = np.frombuffer(b"".join(ids), np.uint32)[at]
+        stretches = np.cumsum([0] + [len(p) if p else 0 for p in parts])
+        cut = np.append(0, ends)[stretches].tolist()
+        return [self._whole(t) if p is None else all_ids[a:b] for t, p, a, b in zip(texts, parts, cut, cut[1:], strict=False)]
+
+    def _of(self, stretches: list[str]) -> list[bytes]:
+        """Ids of distinct stretches."""
         known = self.known
-        new = list({s for p in parts if p for s in p if s not in known})
+        new = [s for s in stretches if s not in known]
         if len(known) + len(new) > CACHE:
             known = _Layered(known)
         for at in range(0, len(new), 4096):
             some = new[at:at + 4096]
             for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[s] = np.array(e.ids, np.uint32).tobytes()
-        find = known.__getitem__
-        return [self._whole(t) if p is None else np.frombuffer(b"".join(map(find, p)), np.uint32)
-                for t, p in zip(texts, parts, strict=True)]
+                known[s] = array("I", e.ids).tobytes()
+        return [known[s] for s in stretches]
 
 
 class _Layered(dict):
