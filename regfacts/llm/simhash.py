@@ -20,7 +20,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regfacts.llm.common import Workspace, record_batch, runs, slices, table_rows, utf8, whole_groups
@@ -284,13 +284,14 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
         yield record_batch(_LINK, list(zip(*pairs, strict=True)) or [[], []])
 
 
-def similar_components(docs: DataFrame, work: Workspace, *, shingle_words: int, similarity: float,
-                       text_block: int = TEXT_BLOCK) -> DataFrame:
-    """(doc_id, print, component_id) of every row of docs; print is a hash of the set of shingles.
+def similar_links(docs: DataFrame, work: Workspace, *, shingle_words: int, similarity: float,
+                  text_block: int = TEXT_BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, print), the first id of each print, and links (x, y) of similar prints.
 
-    Linked are sets that share `similarity` of their union. Sets that meet in a
-    band and agree in enough minima are candidates, and all sets of a group of
-    candidates are compared with one another as they are. Ids as in near_components.
+    A print is a hash of the set of shingles. Linked are sets that share `similarity` of
+    their union. Sets that meet in a band and agree in enough minima are candidates,
+    and all sets of a group of candidates are compared with one another as they are.
+    Rows of null id are not linked.
     """
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     rows = work.write(texts.mapInArrow(partial(_sketches, shingle_words=shingle_words), _SKETCH), "prints")
@@ -316,22 +317,33 @@ def similar_components(docs: DataFrame, work: Workspace, *, shingle_words: int,
                 .repartition("root", "part").sortWithinPartitions("part", "root"))
     links = work.write(compared.mapInArrow(
         partial(_confirm, shingle_words=shingle_words, similarity=similarity), _LINK).distinct(), "links")
-    return _grouped(rows.select("doc_id", "print"), firsts.select("print", "first"), links, work)
+    return rows.drop("minima"), firsts.select("print", "first"), links
+
+
+def similar_components(docs: DataFrame, work: Workspace, **options) -> DataFrame:
+    """(doc_id, print, component_id) of every row of docs, by similar_links. Ids as in near_components."""
+    rows, firsts, links = similar_links(docs, work, **options)
+    return _grouped(rows.select("doc_id", "print"), firsts, links, work)
 
 
 def one_per_group(docs: DataFrame, work: Workspace, *, shingle_words: int = SHINGLE_WORDS,
                   similarity: float = SIMILARITY) -> DataFrame:
-    """docs with one row of each group of near duplicates: that of the smallest id.
+    """docs with one row of each group of near duplicates: that of the smallest id, then of the smallest text hash.
 
-    Of several rows of that id the one of smallest text hash stays. Rows of
-    null id stay. All texts without words are one group.
+    Groups are of texts, not of ids: unlike texts that share an id are groups of their
+    own and all stay. Equal rows (id and text) are one. Rows of null id stay. All
+    texts without words are one group. The input's columns may have any name.
     """
-    ids = similar_components(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity)
-    chosen = ids.groupBy("component_id").agg(F.min("doc_id").alias("__id")).where("__id is not null").select("__id")
-    kept = docs.join(chosen, F.col("doc_id") == F.col("__id"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = kept.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == 1).drop("__rank")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows, _, links = similar_links(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity)
+    roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "similar"))
+    chosen = (
+        rows.where(F.col("doc_id").isNotNull()).join(roots, F.col("print") == F.col("node"), "left")
+        .groupBy(F.coalesce("root", "print").alias("group")).agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+        .select(F.col("one.doc_id").alias("id"), F.col("one.text_hash").alias("hash")))
+    held = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    # dropDuplicates combines equal rows before the shuffle
+    kept = held.where(F.col("id").isNotNull()).join(chosen, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    return kept.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def hexadecimal(value: Column) -> Column:

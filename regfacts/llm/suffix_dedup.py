@@ -34,6 +34,8 @@ LENGTH, KGRAM = 400, 64
 GROUP = 512
 #: Frames of one index.
 INDEX_ROWS = 900
+#: Bytes handled at once: about a hundred bytes of arrays for each in a worker.
+CHUNK = 1 << 19
 STEP = 16
 
 _FRAME = "row1 long, row2 long, anchor long, f1 long, f2 long, lo long, more int, ahead int"
@@ -50,7 +52,7 @@ def _halves(digests: list[bytes]) -> np.ndarray:
 
 def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
     """A text in stretches that share length-1 bytes, so that every window lies in one."""
-    step = anchors.CHUNK - length
+    step = CHUNK - length
     for at in range(0, max(1, len(text) - length + 1), step):
         yield at, text[at:at + step + length - 1]
 
@@ -61,7 +63,7 @@ def _frames(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[
         row1, row2 = batch.column("row1").to_numpy(), batch.column("row2").to_numpy()
         parts = [(i, at, piece) for i, text in enumerate(utf8(batch.column("text"))) if len(text) >= length
                  for at, piece in _pieces(text, length)]
-        for a, b in batches_of([len(p[2]) for p in parts], anchors.CHUNK // 2):
+        for a, b in batches_of([len(p[2]) for p in parts], CHUNK // 2):
             body = b"".join(p[2] for p in parts[a:b])
             starts = np.cumsum([0] + [len(p[2]) for p in parts[a:b]])
             h, at, lo, hi = anchors.frames(table[np.frombuffer(body, np.uint8)], starts, length, k)
