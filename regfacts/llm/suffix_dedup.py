@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -38,6 +38,9 @@ INDEX_ROWS = 900
 CHUNK = 1 << 19
 STEP = 16
 
+#: From a text to the bytes that are compared.
+Code = Callable[[bytes], bytes]
+
 _FRAME = "row1 long, row2 long, anchor long, f1 long, f2 long, lo long, more int, ahead int"
 _MARK = "row1 long, row2 long, lo long, hi long"
 
@@ -57,11 +60,11 @@ def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
         yield at, text[at:at + step + length - 1]
 
 
-def _frames(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
+def _frames(batches: Iterator[pa.RecordBatch], length: int, k: int, code: Code) -> Iterator[pa.RecordBatch]:
     table = anchors.byte_symbols()
     for batch in slices(batches):
         row1, row2 = batch.column("row1").to_numpy(), batch.column("row2").to_numpy()
-        parts = [(i, at, piece) for i, text in enumerate(utf8(batch.column("text"))) if len(text) >= length
+        parts = [(i, at, piece) for i, text in enumerate(map(code, utf8(batch.column("text")))) if len(text) >= length
                  for at, piece in _pieces(text, length)]
         for a, b in batches_of([len(p[2]) for p in parts], CHUNK // 2):
             body = b"".join(p[2] for p in parts[a:b])
@@ -166,17 +169,18 @@ def _single(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterat
 
 
 def repeated_bytes(docs: DataFrame, work: Workspace, fields: str, finish: Finish, *, length: int = LENGTH,
-                   kgram: int = KGRAM, group: int = GROUP) -> DataFrame:
+                   kgram: int = KGRAM, group: int = GROUP, code: Code = bytes, least: int | None = None) -> DataFrame:
     """docs without text, with `fields` of what `finish` makes of a text and its repeated ranges.
 
-    The ranges cover the bytes in strings of `length` bytes that start
+    What is compared is the `code` of a text; texts of fewer than `least` bytes (by default
+    `length`) have no window. The ranges cover the bytes in strings of `length` bytes that start
     elsewhere too, in any row. Equal rows are two places. Null and short texts
     have none.
     """
     docs = docs.select(*docs.columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("row1"),
                        F.xxhash64("doc_id", "text").alias("row2"))
-    frames = work.write(docs.where(F.octet_length("text") >= length).select("row1", "row2", "text").mapInArrow(
-        partial(_frames, length=length, k=kgram), _FRAME), "frames")
+    frames = work.write(docs.where(F.octet_length("text") >= (least or length)).select("row1", "row2", "text").mapInArrow(
+        partial(_frames, length=length, k=kgram, code=code), _FRAME), "frames")
     # written, so that the join below meets plain shuffles, whose hot keys Spark splits
     shared = work.write(frames.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("c"), F.min("f1").alias("a1"), F.max("f1").alias("b1"), F.min("f2").alias("a2"),
@@ -204,10 +208,12 @@ def repeated_bytes(docs: DataFrame, work: Workspace, fields: str, finish: Finish
         hot = bodies.where(F.col("contents") > group)
         return found if hot.isEmpty() else found.union(_marks_of_hot(work.write(hot, "hot"), work, length))
 
-    return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish, body=_stretch, search=search)
+    return finish_spans(docs, per_row, work, length=length, fields=fields, finish=finish,
+                        body=partial(_stretch, code=code), search=search)
 
 
-def _stretch(text: bytes, lo: np.ndarray, hi: np.ndarray) -> list[bytes]:
+def _stretch(text: bytes, lo: np.ndarray, hi: np.ndarray, code: Code) -> list[bytes]:
+    text = code(text)
     return [text[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
 
@@ -237,63 +243,49 @@ def without_repeats(docs: DataFrame, work: Workspace, **options) -> DataFrame:
 
     A column n_chars, where there is one, counts the new text.
     """
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
-    out = repeated_bytes(docs.select("doc_id", "text", rest.alias("rest")), work, "clean string", clean, **options)
-    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
-    return out.select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
+    return _with_new_text(docs, work, clean, **options)
 
 
 #: Words of the stretches that without_repeated_words removes, and bytes that stand for a word.
 WORDS, WORD_BYTES = 50, 6
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with WORD_BYTES of hash for every word as `text`."""
-    digest = xxhash.xxh3_64_digest
-    for batch in slices(batches):
-        coded = [None if t is None else b"".join([digest(w)[:WORD_BYTES] for w in t.split()])
-                 for t in batch.column("own").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(coded, pa.binary())], names=[*batch.schema.names, "text"])
+_WORD = re.compile(rb"[^ \t-\r]+")  # the words of bytes.split()
 
 
-def word_ranges(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes]:
-    """Repeated ranges of a coded text as ranges of whole words, packed."""
-    a, b = spans_of(lo, hi)
-    a, b = -(-a // WORD_BYTES), b // WORD_BYTES
-    return (np.stack([a[a < b], b[a < b]], axis=1).astype("<i8").tobytes(),)
+def coded(text: bytes) -> bytes:
+    """WORD_BYTES of hash for every word."""
+    return b"".join([xxhash.xxh3_64_digest(w)[:WORD_BYTES] for w in text.split()])
 
 
-_WORD = re.compile(rb"[^ \t-\r]+")  # the words of bytes.split()
+def clean_words(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[str | None]:
+    """The text without the words in ranges of its code."""
+    if text is None:
+        return (None,)
+    if len(lo):
+        a, b = spans_of(lo, hi)
+        a, b = -(-a // WORD_BYTES), b // WORD_BYTES
+        place = np.array([m.span() for m in _WORD.finditer(text)], np.int64)
+        text = cut(text, place[a[a < b], 0], place[b[a < b] - 1, 1])[2]
+    return (text.decode("utf-8", "replace"),)
 
 
-def _without_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        out = []
-        for text, packed in zip(batch.column("own").cast(pa.binary()).to_pylist(), batch.column("gone").to_pylist(), strict=True):
-            if packed:
-                place = np.array([m.span() for m in _WORD.finditer(text)], np.int64)
-                gone = np.frombuffer(packed, "<i8").reshape(-1, 2)
-                text = cut(text, place[gone[:, 0], 0], place[gone[:, 1] - 1, 1])[2]
-            out.append(None if text is None else text.decode("utf-8", "replace"))
-        keep = [n for n in batch.schema.names if n not in ("own", "gone")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(out, pa.string())], names=[*keep, "clean"])
+def _with_new_text(docs: DataFrame, work: Workspace, finish: Finish, **options) -> DataFrame:
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    out = repeated_bytes(docs.select("doc_id", "text", rest.alias("rest")), work, "clean string", finish, **options)
+    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
+    return out.select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
 
 
 def without_repeated_words(docs: DataFrame, work: Workspace, *, words: int = WORDS, kgram: int = 8) -> DataFrame:
     """Documents with their own columns and their text without stretches of `words` words that occur elsewhere too.
 
     A word counts as WORD_BYTES of its hash, so a stretch of short words is as
-    long as one of long words, and white space between words does not matter.
+    long as one of long words, and white space between words does not matter. Texts
+    travel as they are; a worker codes them where it needs them.
     """
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
-    own = docs.select("doc_id", F.col("text").alias("own"), rest.alias("rest"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    coded = own.mapInArrow(_coded, f"{ddl}, text binary").select("doc_id", "text", F.struct("own", "rest").alias("kept"))
-    out = repeated_bytes(coded, work, "gone binary", word_ranges, length=words * WORD_BYTES, kgram=kgram * WORD_BYTES)
-    out = out.select("kept.own", "kept.rest", "gone")
-    ddl = f"rest {out.schema['rest'].dataType.simpleString()}, clean string"
-    new = {"text": F.col("clean"), "n_chars": F.length(F.coalesce("clean", F.lit(""))).cast("long")}
-    return out.mapInArrow(_without_words, ddl).select(*[new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])
+    return _with_new_text(docs, work, clean_words, length=words * WORD_BYTES, kgram=kgram * WORD_BYTES, code=coded,
+                          least=2 * words - 1)
 
 
 @query()
