@@ -11,7 +11,8 @@ NAMES = (
     "silver_facts", "institutions", "normalize_lei", "validate_records", "ffill", "keep_first",
     "coverage_gaps", "split_incremental", "upsert_ignore", "upsert_replace", "upsert_columns",
     "stream_append_events", "metadata_coverage", "flatten_responses", "flatten_tables",
-    "normalize_export", "run_status", "code_functions", "date_functions",
+    "normalize_export", "run_status", "code_functions", "date_functions", "flatten_responses_data_sets",
+    "scan_quoted_files", "scan_rejected_files", "stream_append_keyed_events",
 )
 
 
