@@ -5,7 +5,9 @@ share one parent restaurant without context, whose own base is uniform over the
 vocabulary and one unknown token. Customers are the training tokens; every
 table of a context restaurant is a customer of the parent. A sweep seats all
 customers anew, in Chinese-restaurant order, given the tables of the sweep
-before. The predictive probabilities of the kept sweeps are averaged.
+before. The predictive probabilities of the kept sweeps are averaged. Every
+draw is a hash of its pair (or word), sweep and step, so the model depends on
+the texts alone, not on partitions, order or a task that ran twice.
 
 The seating is a table of (context, word) pairs, dealt by hash and written
 after every sweep. A pair seen once has one table whatever is drawn, so only
@@ -95,44 +97,64 @@ def _wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def seat(rng: np.random.Generator, customers: np.ndarray, new: np.ndarray, discount: float) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers with all bits mixed (the finalizer of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def seeds_of(sweep: int, *keys: np.ndarray) -> np.ndarray:
+    """A seed for each row from its own keys."""
+    seed = np.full(len(keys[0]), sweep, np.uint64)
+    for key in keys:
+        seed = mixed((seed + np.uint64(0x9E3779B97F4A7C15)) ^ key.view(np.uint64))
+    return seed
+
+
+def seat(seeds: np.ndarray, customers: np.ndarray, new: np.ndarray, discount: float) -> np.ndarray:
     """Tables after seating customers one by one; new: weight of a new table for each dish.
 
     The first 64 are seated one at a time, then steps of an eighth of those
-    seated, with the number of new tables of a step drawn at its beginning.
+    seated, with the number of new tables of a step drawn at its beginning. A
+    dish draws from its own seed only.
     """
     tables = np.minimum(customers, 1).astype(np.float64)
-    seated = 1
     open_ = np.flatnonzero(customers > 1)
-    while len(open_):
-        step = 1 if seated < 64 else seated // 8
+    for seated in range(1, 64):
+        if not len(open_):
+            return tables
         t, w = tables[open_], new[open_]
         chance = w / (w + np.maximum(seated - discount * t, 1e-9))
-        trials = np.minimum(customers[open_] - seated, step)
-        tables[open_] = t + (rng.random(len(open_)) < chance if step == 1 else rng.binomial(trials, chance))
-        seated += step
-        open_ = open_[customers[open_] > seated]
+        draw = mixed(seeds[open_] + np.uint64(seated)) >> np.uint64(11)
+        tables[open_] = t + (draw * 2.0 ** -53 < chance)
+        open_ = open_[customers[open_] > seated + 1]
+    for i in open_.tolist():
+        rng, n, t, w, seated = np.random.default_rng(int(seeds[i])), int(customers[i]), tables[i], new[i], 64
+        while seated < n:
+            step = min(n - seated, seated // 8)
+            t += rng.binomial(step, w / (w + max(seated - discount * t, 1e-9)))
+            seated += step
+        tables[i] = t
     return tables
 
 
 _SEATED = "context long, word long, n long, tables double, kept double"
-_PARENT = "word long, seen long, ones long, customers double, tables double, mean double"
+_PARENT = "word long, seen long, ones long, customers double, tables double"
 
 
 def _seat_pairs(batches: Iterator[pa.RecordBatch], sweep: int, discount: float) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, GROUP_ROWS):
         context, word, n, kept, new = (batch.column(c).to_numpy() for c in ("context", "word", "n", "kept", "new"))
-        rng = np.random.default_rng([int(x) for x in np.array([context[0], word[0], sweep]).view(np.uint64)])
-        tables = seat(rng, n, new, discount)
+        tables = seat(seeds_of(sweep, context, word), n, new, discount)
         yield record_batch(_SEATED, [context, word, n, tables, kept + tables if sweep > BURN_IN else kept])
 
 
 def _seat_parent(batches: Iterator[pa.RecordBatch], sweep: int, discount: float, new: float) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, GROUP_ROWS):
-        word, seen, ones, customers, mean = (batch.column(c).to_numpy() for c in ("word", "seen", "ones", "customers", "mean"))
-        rng = np.random.default_rng([int(x) for x in np.array([word[0], sweep]).view(np.uint64)])
-        tables = seat(rng, customers.astype(np.int64), np.full(len(word), new), discount)
-        yield record_batch(_PARENT, [word, seen, ones, customers, tables, mean])
+        word, seen, ones, customers = (batch.column(c).to_numpy() for c in ("word", "seen", "ones", "customers"))
+        tables = seat(seeds_of(sweep, word), customers.astype(np.int64), np.full(len(word), new), discount)
+        yield record_batch(_PARENT, [word, seen, ones, customers, tables])
 
 
 def _discount(once: int, twice: int) -> float:
@@ -165,8 +187,9 @@ def fit(pairs: DataFrame, work: Workspace) -> tuple[DataFrame, int, int]:
     # before the first sweep every dish of a restaurant has one table
     state = trained.where("n > 1").select("context", "word", "n", F.lit(1.0).alias("tables"), F.lit(0.0).alias("kept"))
     parent = words.select("word", "seen", "ones", F.col("dishes").cast("double").alias("customers"),
-                          F.lit(1.0).alias("tables"), F.lit(0.0).alias("mean"))
-    unknown = 0.0
+                          F.lit(1.0).alias("tables"))
+    # of every kept sweep: the words' probabilities, that of an unknown word, the contexts' further tables
+    parents, unknown, more = [], [], []
     for sweep in range(1, SWEEPS + 1):
         of_context = contexts.join(state.groupBy("context").agg(F.sum("tables").alias("more")), "context").select(
             "context", (F.lit(STRENGTH) + F.lit(discount) * (F.col("ones") + F.col("more"))).alias("weight"))
@@ -179,23 +202,31 @@ def fit(pairs: DataFrame, work: Workspace) -> tuple[DataFrame, int, int]:
                 _seat_parent, sweep=sweep, discount=parent_discount, new=back() * base), _PARENT), f"parent-{sweep}")
         customers, tables = (float(x or 0) for x in parent.agg(F.sum("customers"), F.sum("tables")).first())
         if sweep > BURN_IN:
-            share = 1 / (SWEEPS - BURN_IN)
-            parent = parent.withColumn("mean", F.col("mean") + probability() * F.lit(share))
-            unknown += share * back() * base / (STRENGTH + customers)
-        work.drop(f"seats-{sweep - 1}")
-    mean = F.col("kept") / F.lit(float(SWEEPS - BURN_IN))
-    backoff = contexts.join(state.groupBy("context").agg(F.sum(mean).alias("more")), "context", "left").select(
-        "context", F.col("seen").alias("guests"), ((F.lit(STRENGTH) + F.lit(discount) * (
-            F.col("ones") + F.coalesce("more", F.lit(0.0)))) / (F.lit(STRENGTH) + F.col("seen"))).alias("backoff"))
+            parents.append(parent.select("word", probability().alias(f"p{sweep}")))
+            unknown.append(back() * base / (STRENGTH + customers))
+            more.append(state.groupBy("context").agg(F.sum("tables").alias(f"more{sweep}")))
+        if sweep - 1 <= BURN_IN:
+            work.drop(f"seats-{sweep - 1}")
+    kept = range(BURN_IN + 1, SWEEPS + 1)
+    backoff, by_word = contexts, parent.select("word", "seen")
+    for totals, probabilities in zip(more, parents, strict=True):
+        backoff = backoff.join(totals, "context", "left")
+        by_word = by_word.join(probabilities, "word")
+    backoff = backoff.select("context", F.col("seen").alias("guests"), *[
+        ((F.lit(STRENGTH) + F.lit(discount) * (F.col("ones") + F.coalesce(f"more{k}", F.lit(0.0))))
+         / (F.lit(STRENGTH) + F.col("seen"))).alias(f"b{k}") for k in kept])
+    mean = F.col("kept") / F.lit(float(len(kept)))
     with_tables = pairs.where("n < 2").select("context", "word", "blocks", "n", F.col("n").cast("double").alias("t")).union(
         pairs.where("n > 1").join(state.select("context", "word", mean.alias("t")), ["context", "word"]).select(
             "context", "word", "blocks", "n", "t"))
-    met = with_tables.join(backoff, "context", "left").join(parent.select("word", "seen", "mean"), "word", "left")
+    met = with_tables.join(backoff, "context", "left").join(by_word, "word", "left")
+    # the average over sweeps of back-off times parent; a context never seen leaves all to the parent
+    parent_share = sum((F.coalesce(f"b{k}", F.lit(1.0)) * F.coalesce(f"p{k}", F.lit(u))
+                        for k, u in zip(kept, unknown, strict=True)), F.lit(0.0)) / F.lit(float(len(kept)))
     own = F.when(F.col("n") > 0, (F.col("n") - F.lit(discount) * F.col("t")) / (F.lit(STRENGTH) + F.col("guests")))
     return met.select(
         "context", "word", "blocks", F.coalesce("seen", F.lit(0)).cast("long").alias("seen"),
-        (F.coalesce(own, F.lit(0.0)) + F.coalesce("backoff", F.lit(1.0)) * F.coalesce("mean", F.lit(unknown)))
-        .alias("probability")), n_train, vocabulary
+        (F.coalesce(own, F.lit(0.0)) + parent_share).alias("probability")), n_train, vocabulary
 
 
 def _score(batches: Iterator[pa.RecordBatch], n_train: int, vocabulary: int) -> Iterator[pa.RecordBatch]:
@@ -238,13 +269,17 @@ def score_documents(docs: DataFrame, work: Workspace, *, block_bytes: int = BLOC
     """SCORES and train_tokens of every document, by a model of the documents not held out.
 
     Null and empty texts are one end token. With no training document every
-    token has the probability of an unknown one.
+    token has the probability of an unknown one. Repeated rows each count and
+    each have a score; other columns are not read. A very long text is in one
+    block, whose pairs are counted as they are read.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     dealt = docs.select(F.col("doc_id").cast("long"), "text", is_held_out(F.col("doc_id")).alias("held_out"),
                         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
-    wants = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_wants, WANTS)
+    # a number, or adaptive execution would put all blocks into a few tasks
+    tasks = max(blocks, docs.sparkSession.sparkContext.defaultParallelism)
+    wants = dealt.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(_wants, WANTS)
     pairs = work.write(wants.groupBy("context", "word").agg(
         F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "pairs")
     answers, n_train, vocabulary = fit(pairs, work)
