@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regfacts.session import work_folder
@@ -30,7 +30,9 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        # Spark takes a plain path to be on the default file system: tasks must open it there too
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}")
+        self.root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -47,7 +49,7 @@ class Workspace:
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a shared path and the path on it; a plain path is local."""
+    """The file system of a qualified path and the path on it; a plain path is local."""
     if "://" not in path and not path.startswith("file:"):
         return pafs.LocalFileSystem(), path
     if path.startswith("file:"):
@@ -130,6 +132,12 @@ def table_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def one_row_an_id(docs: DataFrame) -> DataFrame:
+    """Of the rows of one doc_id that with the text of smallest hash; a hot id sends a row a task."""
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    return docs.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Let a table of a few large row groups be read by all cores.
 
@@ -139,6 +147,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+#: Files that one task takes, and tasks at most.
+FILES_A_TASK, MOST_TASKS = 4, 100_000
+
+
+def dealt_files(files: DataFrame, *keys: str) -> DataFrame:
+    """Rows that name files, or ranges of them, dealt by their count.
+
+    A row is small, its work is not: left to itself, adaptive execution merges
+    all rows into one task. The number of tasks is explicit, which it keeps.
+    """
+    tasks = -(-files.count() // FILES_A_TASK)
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(min(MOST_TASKS, max(tasks, cores)), *keys)
+
+
 def arrow_schema(ddl_type: str) -> pa.DataType:
     return {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
             "boolean": pa.bool_(), "binary": pa.binary()}[ddl_type]

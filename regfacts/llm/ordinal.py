@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import record_batch, slices, table_rows, utf8
+from regfacts.llm.common import one_row_an_id, record_batch, slices, table_rows, utf8
 from regfacts.llm.registry import query
 
 #: Labelled rows used to fit; a bounded sample chosen by a hash of the id.
@@ -140,13 +140,15 @@ def graded(quality: Column, toxic: Column) -> Column:
 def fit(docs: DataFrame, ratings: DataFrame, *, train_rows: int = TRAIN_ROWS, **options) -> Ordinal:
     """Fit on at most `train_rows` rated documents (doc_id, grade).
 
-    The sample is the ratings of smallest hashed id. Of several ratings of one
+    The sample is the ratings of smallest hashed id; of the rows of one id that
+    with the text of smallest hash counts. Of several ratings of one
     id the lowest counts; ratings without id or grade are left out.
     """
     chosen = (ratings.where(F.col("doc_id").isNotNull() & F.col("grade").isNotNull())
               .groupBy("doc_id").agg(F.min("grade").alias("grade"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows
+    # both sides are bounded by train_rows: a repeated id gives one row
+    rows = one_row_an_id(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import table_rows, utf8
+from regfacts.llm.common import one_row_an_id, table_rows, utf8
 from regfacts.llm.registry import query
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper",
@@ -208,13 +208,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS, **o
     """Learn from at most `train_rows` labelled documents.
 
     The sample is the labels of smallest hashed id, so it does not depend on
-    order or partitioning. Labels without an id or a quality are left out; of
+    order or partitioning; of the rows of one id that with the text of smallest
+    hash counts. Labels without an id or a quality are left out; of
     several labels of one id the lowest quality counts.
     """
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows
+    # both sides are bounded by train_rows: a repeated id gives one row
+    rows = one_row_an_id(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     stats = rows.select("doc_id", "quality", text_counts(F.col("text")).alias("s"))
     named = features(F.col("s"))
     data = (stats.where(~base_failed(F.col("s")))
@@ -229,6 +231,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS, **o
 def keep(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The documents that pass the base limits and all rules, with their own columns."""
     s = "__quality_counts"
+    while s in map(str.lower, docs.columns):  # the documents may have a column of any name
+        s += "_"
     return (docs.withColumn(s, text_counts(F.col("text")))
             .where(~base_failed(F.col(s)) & accepts(rules, F.col(s))).drop(s))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import Workspace, file_system, record_batch, slices, table_rows
+from regfacts.llm.common import Workspace, dealt_files, file_system, record_batch, slices, table_rows
 from regfacts.llm.registry import query
 from regfacts.llm.tokens import encoder, vocabulary
 
@@ -176,7 +176,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
 
 def read_tokens(files: DataFrame, work: Workspace) -> DataFrame:
     """TOKENS of every document in the files, a task for each few files."""
-    return files.repartition("name").mapInArrow(partial(_read, folder=work.path("tokens")), TOKENS)
+    return dealt_files(files, "name").mapInArrow(partial(_read, folder=work.path("tokens")), TOKENS)
 
 
 @query()

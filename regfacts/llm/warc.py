@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regfacts.llm.common import Workspace, file_system, record_batch, slices, table_rows
+from regfacts.llm.common import Workspace, dealt_files, file_system, record_batch, slices, table_rows
 from regfacts.llm.registry import query
 
 #: Payload bytes of one archive, and of the records that a reading task takes from an index at once.
@@ -191,7 +191,7 @@ def _normalise(batches: Iterator[pa.RecordBatch], folder: str, target: str) -> I
 
 def normalise_archives(files: DataFrame, work: Workspace) -> DataFrame:
     """Member-per-record archives with sidecar indexes; a task takes whole files."""
-    return work.write(files.repartition("name").mapInArrow(
+    return work.write(dealt_files(files, "name").mapInArrow(
         partial(_normalise, folder=work.path("raw"), target=work.path("members")), FILES), "member-files")
 
 
@@ -217,7 +217,7 @@ def read_archives(files: DataFrame, work: Workspace, *, records: int = 2000) ->
     ranges = files.where("records > 0").select(
         "name", "records", F.explode(F.sequence(F.lit(0), F.col("records") - 1, F.lit(records))).alias("first")).select(
         "name", "first", F.least(F.lit(records).cast("long"), F.col("records") - F.col("first")).alias("number"))
-    return ranges.repartition("name", "first").mapInArrow(partial(_read, folder=work.path("members")), RECORDS)
+    return dealt_files(ranges, "name", "first").mapInArrow(partial(_read, folder=work.path("members")), RECORDS)
 
 
 @query()

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regfacts.llm import decontaminate, ordinal, packing, pitman_yor, quality_rules, token_files, tokens, warc
-from regfacts.llm.common import Workspace
+from regfacts.llm.common import Workspace, dealt_files
 
 DOCS = "doc_id long, text string"
 ODD = [(None, "a b"), (1, None), (2, ""), (3, " \n "), (4, "x " * 3000), (4, "x " * 3000), (5, "é" * 70_000)]
@@ -134,6 +134,109 @@ def test_model_tells_whole_context_words_apart(spark):
     assert held and -sum(r.score for r in held) / sum(r.n_tokens for r in held) < 0.2
 
 
+def test_scores_depend_on_the_texts_alone(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(["the", "a", "cat", "dog", "ran"]) for _ in range(40))) for i in range(60)]
+    docs = odd_docs(spark, rows + ODD)
+    runs = []
+    for parts, block_bytes in ((2, 1 << 20), (7, 700)):
+        scored = pitman_yor.score_documents(docs.repartition(parts), Workspace(spark, "t"), block_bytes=block_bytes)
+        runs.append(sorted((r.doc_id or -1, r.n_tokens, r.score, r.base_score) for r in scored.collect()))
+    assert runs[0] == runs[1]
+
+
+def counted_pairs(spark, texts):
+    """Counts of (context, word) of the texts, and every pair of a context with any word or an unknown one."""
+    counts = {}
+    for text in texts:
+        for c, w in zip(*(x.tolist() for x in pitman_yor.pairs_of(text.encode())), strict=True):
+            counts[c, w] = counts.get((c, w), 0) + 1
+    words = {w for _, w in counts} | {12345}
+    pairs = {(c, w): counts.get((c, w), 0) for c in {c for c, _ in counts} | {777} for w in words}
+    frame = spark.createDataFrame([(c, w, n, [0]) for (c, w), n in pairs.items()],
+                                  "context long, word long, n long, blocks array<int>")
+    return pairs, frame
+
+
+TOY = ["the cat ran", "the dog ran", "a cat a dog"] + ["the end"] * 90
+
+
+def test_probabilities_of_a_context_sum_to_one(spark):
+    _, frame = counted_pairs(spark, TOY)
+    answers, n_train, _ = pitman_yor.fit(frame, Workspace(spark, "t"))
+    totals = answers.groupBy("context").agg(F.sum("probability").alias("p"), F.min("probability").alias("least")).collect()
+    assert len(totals) > 5 and all(abs(r.p - 1) < 1e-12 and r.least > 0 for r in totals)
+    assert n_train == sum(len(t.split()) + 1 for t in TOY)
+
+
+def seated_by_hand(sweep, keys, n, new, discount):
+    """Tables of one dish, customer by customer, with the operator's draws."""
+    seed = int(pitman_yor.seeds_of(sweep, *(np.array([k], np.int64) for k in keys))[0])
+    tables, seated, rng = min(n, 1), 1, np.random.default_rng(seed)
+    while seated < n:
+        chance = new / (new + max(seated - discount * tables, 1e-9))
+        if seated < 64:
+            draw = int(pitman_yor.mixed(np.array([(seed + seated) % 2**64], np.uint64))[0]) >> 11
+            tables, seated = tables + (draw / 2**53 < chance), seated + 1
+        else:
+            step = min(n - seated, seated // 8)
+            tables, seated = tables + rng.binomial(step, chance), seated + step
+    return tables
+
+
+def test_model_equals_a_sampler_by_hand(spark):
+    pairs, frame = counted_pairs(spark, TOY)
+    seen = {k: n for k, n in pairs.items() if n}
+    contexts, words = {c for c, _ in seen}, {w for _, w in seen}
+    d = pitman_yor._discount(*(sum(n == k for n in seen.values()) for k in (1, 2)))
+    dishes = {w: sum(x == w for _, x in seen) for w in words}
+    pd = pitman_yor._discount(*(sum(n == k for n in dishes.values()) for k in (1, 2)))
+    guests, base = {c: sum(n for (x, _), n in seen.items() if x == c) for c in contexts}, 1 / (len(words) + 1)
+    tables, parent = dict.fromkeys(seen, 1), dict.fromkeys(words, 1)
+    want = dict.fromkeys(pairs, 0.0)
+
+    def p(w):
+        customers = sum(tables.values())
+        back = 1 + pd * sum(parent.values())
+        own = sum(t for (_, x), t in tables.items() if x == w) - pd * parent[w] if w in parent else 0
+        return (own + back * base) / (1 + customers)
+
+    for sweep in (1, 2, 3):
+        total = {c: sum(t for (x, _), t in tables.items() if x == c) for c in contexts}
+        chances = {w: p(w) for w in words}
+        back = 1 + pd * sum(parent.values())
+        tables = {(c, w): seated_by_hand(sweep, (c, w), n, (1 + d * total[c]) * chances[w], d) for (c, w), n in seen.items()}
+        parent = {w: seated_by_hand(sweep, (w,), sum(t for (_, x), t in tables.items() if x == w), back * base, pd) for w in words}
+        if sweep > 1:
+            for c, w in pairs:
+                if c not in contexts:
+                    want[c, w] += p(w) / 2
+                    continue
+                total = sum(t for (x, _), t in tables.items() if x == c)
+                own = pairs[c, w] - d * tables.get((c, w), 0)
+                want[c, w] += (own + (1 + d * total) * p(w)) / (1 + guests[c]) / 2
+    answers, _, _ = pitman_yor.fit(frame, Workspace(spark, "t"))
+    got = {(r.context, r.word): r.probability for r in answers.collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    assert max(tables.values()) > 1  # some dish has a second table
+
+
+def test_files_are_dealt_to_many_tasks(spark):
+    files = spark.createDataFrame([(f"file-{i}",) for i in range(40)], "name string")
+    tasks = dealt_files(files, "name").select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks >= 4
+
+
+def test_repeated_ids_are_one_training_row(spark):
+    rows = [(1, f"x{i} " * 60) for i in range(300)] + [(2, "y " * 60), (3, None)]
+    docs, labels = odd_docs(spark, rows), spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
+    chosen = quality_rules.one_row_an_id(docs.select("doc_id", "text"))
+    assert sorted(r.doc_id for r in chosen.collect()) == [1, 2, 3]
+    assert quality_rules.fit(docs, labels) == quality_rules.fit(docs.repartition(5), labels)
+    named = docs.withColumn("__quality_counts", F.lit(7))
+    assert quality_rules.keep(named, []).columns == named.columns
+
+
 @pytest.mark.parametrize("capacity", [1, 7, 100])
 def test_plans_place_every_piece_once(capacity):
     rng = random.Random(capacity)
