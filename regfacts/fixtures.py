@@ -382,6 +382,14 @@ def layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deep_layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """layout_grid with other tops: sheets of odd sizes have theirs nine rows further down, size 8 has no codes."""
+    size = F.substring("sheet", 3, 2).cast("int")
+    grid = layout_grid(spark, sf_dir).filter((size != 8) | (F.col("r") != 5) | (F.col("c") < 3))
+    down = (size % 2 == 1) & (F.col("r") >= 4)
+    return grid.withColumn("r", F.when(down, F.col("r") + 9).otherwise(F.col("r")))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed response per order: shape by status (F standard, O richer, P tables)."""
     orders = table(spark, sf_dir, "orders")

@@ -279,6 +279,10 @@ def carry_section(rows: DataFrame, rows_per_chunk: int = 4096) -> DataFrame:
     return carried.fillna("", subset=["section"]).select(*columns)
 
 
+#: Sheet rows in which the header of a layout usually is.
+HEADER_ROWS = (3, 10)
+
+
 def next_row_property(rows: DataFrame, properties: DataFrame) -> DataFrame:
     """Per row and column, the property cell of the row below.
 
@@ -292,33 +296,57 @@ def next_row_property(rows: DataFrame, properties: DataFrame) -> DataFrame:
     return rows.join(below, ["workbook", "sheet", "r", "c"], "left")
 
 
+def _sheets_with_header(grid: DataFrame) -> DataFrame:
+    """Per sheet: size, title and header row; null where no row can be the header."""
+    sheet = ["workbook", "sheet"]
+    text = pystrip("value")
+    title = F.when(
+        (F.col("c") == 0) & (F.col("r") < 3) & (text != ""),
+        F.struct("r", text.alias("text")),
+    )
+    is_code = (F.col("c") >= 3) & (F.col("r") >= 3) & text.rlike(r"^\d{4}$")
+    # one row per sheet row first: a large sheet is combined in the tasks that read it
+    rows = grid.groupBy(*sheet, "r").agg(
+        F.max("c").alias("c"), F.min(title).alias("title"), F.count_if(is_code).alias("codes"))
+    r, codes = F.col("r"), F.col("codes")
+    return rows.groupBy(*sheet).agg(
+        (F.max("r") + 1).alias("n_rows"),
+        (F.max("c") + 1).alias("n_cols"),
+        F.coalesce(F.min("title")["text"], F.first("sheet")).alias("template_name"),
+        F.coalesce(
+            F.min(F.when(r.between(*HEADER_ROWS) & (codes > 0), r)),
+            # beyond the usual rows the one with the most codes, the first of equals
+            F.max(F.when(codes > 0, F.struct("codes", (-r).alias("above"), r.alias("r"))))["r"],
+        ).alias("codes_row"),
+    )
+
+
+def rejected_sheets(grid: DataFrame) -> DataFrame:
+    """(workbook, sheet, n_rows, n_cols, reason) of the sheets that locate_header sets aside."""
+    reason = (
+        F.when(F.col("n_rows") < 6, "fewer than 6 rows")
+        .when(F.col("n_cols") < 4, "fewer than 4 columns")
+        .when(F.col("codes_row").isNull(), "no header row")
+    )
+    return _sheets_with_header(grid).withColumn("reason", reason).filter("reason is not null").select(
+        "workbook", "sheet", "n_rows", "n_cols", "reason")
+
+
 def locate_header(grid: DataFrame) -> DataFrame:
     """Per sheet: size, header row, first data row and property column.
 
-    The header is the first of rows 3–10 with a four-digit code from column 3
-    on. Data start behind a `Rows` label in column 1 or at the first number in
+    The header is the first of rows 3-10 with a four-digit code from column 3
+    on; if none of them has one, the row further down with the most such codes.
+    Data start behind a `Rows` label in column 1 or at the first number in
     column 2, whichever comes first, else right below the header. The property
     column is the first cell starting with `(` one row below the header, else 8.
     Sheets below six rows or four columns, and sheets without a header, give no
-    row.
+    row here: they are in rejected_sheets, with the reason.
     """
     sheet = ["workbook", "sheet"]
     text = pystrip("value")
-    title = F.when(
-        (F.col("c") == 0) & (F.col("r") < 3) & (text != ""),
-        F.struct("r", text.alias("text")),
-    )
-    is_code = (F.col("c") >= 3) & F.col("r").between(3, 10) & text.rlike(r"^\d{4}$")
-    sheets = (
-        grid.groupBy(*sheet)
-        .agg(
-            (F.max("r") + 1).alias("n_rows"),
-            (F.max("c") + 1).alias("n_cols"),
-            F.coalesce(F.min(title)["text"], F.first("sheet")).alias("template_name"),
-            F.min(F.when(is_code, F.col("r"))).alias("codes_row"),
-        )
-        .filter((F.col("n_rows") >= 6) & (F.col("n_cols") >= 4) & F.col("codes_row").isNotNull())
-    )
+    sheets = _sheets_with_header(grid).filter(
+        (F.col("n_rows") >= 6) & (F.col("n_cols") >= 4) & F.col("codes_row").isNotNull())
     # one small record per sheet, read several times
     sheets = settle(sheets)
     r, c, top = F.col("r"), F.col("c"), F.col("codes_row")

@@ -115,9 +115,14 @@ def make_star(
     dictionary_order: str = "line",
     manifest_path: str | None = None,
 ) -> tuple[Star, DataFrame]:
-    """(the seven tables of one load, all facts with repeats)."""
+    """(the seven tables of one load, all facts with repeats).
+
+    The facts are written once: facts, institutions and counts read the copy, and
+    a count of it comes from its footers. (Observed metrics would count a map
+    stage twice that runs again after a lost executor.)
+    """
     spark = points.sparkSession
-    facts = silver_facts(points, reference_date, run_id)
+    facts = settle(silver_facts(points, reference_date, run_id))
     unique = distinct_facts(facts)
     run = spark.range(1).select(
         F.lit(run_id).alias("run_id"),

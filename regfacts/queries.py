@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,9 @@ from regfacts.operators import aggregates as agg
 from regfacts.operators import joins, merge, project, responses, windows
 from regfacts.plans import dictionary as layouts
 from regfacts.plans import enrich, normalize, silver, validate
-from regfacts.session import work_folder
+from regfacts.session import settle, work_folder
 from regfacts.sources import writers
+from regfacts.sources.keyed_table import KeyedTable
 from regfacts.sources.readers import expected_files, read_points, scan_directory
 from regfacts.streaming import stream_append, stream_append_keyed
 
@@ -196,8 +198,8 @@ select count(*) as facts, count(distinct fact_id) as distinct_facts,
   2 * count(distinct case when open_key is not null then fact_id end) as open_dimensions
 from sv""")
 def star_summary(spark, sf):
-    facts = _silver(spark, sf)
-    unique = silver.distinct_facts(facts)
+    facts = settle(_silver(spark, sf))
+    unique = settle(silver.distinct_facts(facts))
     codes = fx.cell_dictionary(spark, sf).select("template_code").distinct()
     skipped = F.col("template_code").isin("K_62.00", "K_63.00", "K_64.00")
     manifest = codes.withColumn(
@@ -965,12 +967,7 @@ def label_functions(spark, sf):
     )
 
 
-@query(f"""with {SILVER}
-select tpl as template_code, '2025-12-31' as reference_date, count(distinct fact_id) as facts,
-  count(distinct case when open_key is not null then fact_id end) as open_facts
-from sv group by tpl""")
-def write_star(spark, sf):
-    root = f"{work_folder(spark)}/star-{uuid.uuid4().hex}"
+def _star(spark, sf):
     dictionary = fx.cell_dictionary(spark, sf)
     manifest = dictionary.select(
         "template_code", F.lit("complete").alias("status"),
@@ -981,13 +978,88 @@ def write_star(spark, sf):
                       "updated_at")
         ],
     ).distinct()
-    star, _ = silver.make_star(fx.bronze_points(spark, sf), dictionary, manifest, DATE, RUN)
-    writers.write_star(star, root)
+    return silver.make_star(fx.bronze_points(spark, sf), dictionary, manifest, DATE, RUN)[0]
+
+
+@query(f"""with {SILVER}
+select tpl as template_code, '2025-12-31' as reference_date, count(distinct fact_id) as facts,
+  count(distinct case when open_key is not null then fact_id end) as open_facts
+from sv group by tpl""")
+def write_star(spark, sf):
+    root = f"{work_folder(spark)}/star-{uuid.uuid4().hex}"
+    writers.write_star(_star(spark, sf), root)
     return writers.stored(spark, root, "fact").groupBy(
         "template_code", F.col("reference_date").cast("string").alias("reference_date")
     ).agg(F.count("*").alias("facts"), F.count("open_key").alias("open_facts"))
 
 
+def _second_load(facts):
+    """Facts of one template again by a later run, those of another as new facts besides."""
+    again = facts.filter(F.col("template_code") == "K_25.00")
+    more = facts.filter(F.col("template_code") == "K_26.00").withColumn(
+        "fact_id", F.concat("fact_id", F.lit("-2")))
+    return again.unionByName(more).withColumn("run_id", F.lit("later"))
+
+
+TWO_LOADS = f"""with {SILVER}, one as (
+  select tpl, fact_id, min(open_key) as open_key from sv group by tpl, fact_id
+), loads as (
+  select tpl, fact_id, open_key, case when tpl = 'K_25.00' then 'later' else '{RUN}' end as run_id from one
+  union all
+  select tpl, concat(fact_id, '-2'), open_key, 'later' from one where tpl = 'K_26.00'
+)"""
+
+
+@query(f"""{TWO_LOADS}
+select tpl as template_code, run_id, count(*) as facts, 2 * count(open_key) as dimensions
+from loads group by tpl, run_id""")
+def write_star_twice(spark, sf):
+    root = f"{work_folder(spark)}/star-{uuid.uuid4().hex}"
+    star = _star(spark, sf)
+    writers.write_star(star, root)
+    later = settle(_second_load(star.fact))
+    writers.write_star(replace(star, fact=later, fact_dimension=merge.explode_dimensions(later)), root)
+    facts = writers.stored(spark, root, "fact").select("fact_id", "template_code", "run_id")
+    bridge = writers.stored(spark, root, "fact_dimension").groupBy("fact_id").agg(F.count("*").alias("n"))
+    return facts.join(bridge, "fact_id", "left").groupBy("template_code", "run_id").agg(
+        F.count("*").alias("facts"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dimensions"))
+
+
+@query(f"""{TWO_LOADS}
+select tpl as template_code, run_id, count(*) as facts, min(fact_id) as first_id, max(fact_id) as last_id
+from loads group by tpl, run_id""")
+def keyed_merge(spark, sf):
+    stored = KeyedTable(spark, f"{work_folder(spark)}/keyed-{uuid.uuid4().hex}", "fact_id",
+                        writers.FACT_PARTITIONS)
+    facts = settle(silver.distinct_facts(_silver(spark, sf)))
+    stored.merge(facts)
+    stored.merge(_second_load(facts))
+    return stored.read().groupBy("template_code", "run_id").agg(
+        F.count("*").alias("facts"), F.min("fact_id").alias("first_id"), F.max("fact_id").alias("last_id"))
+
+
+# --- sheets --------------------------------------------------------------------
+SHEETS = """with s as (
+  select p_size as size, concat('K_', lpad(cast(p_size as varchar), 2, '0'), '.00.a') as sheet,
+    case when p_size % 2 = 1 then 9 else 0 end as down, max(p_partkey) + 11 as n_rows
+  from part group by p_size
+)"""
+
+
+@query(f"""{SHEETS} select sheet, concat('Table ', sheet) as template_name, n_rows + down as n_rows,
+  5 + down as codes_row, 8 + down as data_start, 8 as prop_col from s where size <> 8""")
+def locate_header(spark, sf):
+    return windows.locate_header(fx.deep_layout_grid(spark, sf)).select(
+        "sheet", "template_name", F.col("n_rows").cast("bigint").alias("n_rows"), "codes_row",
+        "data_start", "prop_col")
+
+
+@query(f"{SHEETS} select sheet, n_rows + down as n_rows, 'no header row' as reason from s where size = 8")
+def rejected_sheets(spark, sf):
+    return windows.rejected_sheets(fx.deep_layout_grid(spark, sf)).select(
+        "sheet", F.col("n_rows").cast("bigint").alias("n_rows"), "reason")
+
+
 # --- responses ---------------------------------------------------------------
 CENTS = "cast(cast(cast(round(o_totalprice * 100) as bigint) as double) as varchar)"
 
