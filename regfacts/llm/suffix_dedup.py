@@ -13,7 +13,6 @@ an unbounded group.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -250,7 +249,13 @@ def without_repeats(docs: DataFrame, work: Workspace, **options) -> DataFrame:
 WORDS, WORD_BYTES = 50, 6
 
 
-_WORD = re.compile(rb"[^ \t-\r]+")  # the words of bytes.split()
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of bytes.split(), in 16 bytes a word, however long the text."""
+    byte = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(byte) + 2, np.int8)
+    inside[1:-1] = (byte != 32) & ((byte < 9) | (byte > 13))
+    edges = np.flatnonzero(np.diff(inside))
+    return edges[::2], edges[1::2]
 
 
 def coded(text: bytes) -> bytes:
@@ -265,8 +270,8 @@ def clean_words(text: bytes | None, lo: np.ndarray, hi: np.ndarray) -> tuple[str
     if len(lo):
         a, b = spans_of(lo, hi)
         a, b = -(-a // WORD_BYTES), b // WORD_BYTES
-        place = np.array([m.span() for m in _WORD.finditer(text)], np.int64)
-        text = cut(text, place[a[a < b], 0], place[b[a < b] - 1, 1])[2]
+        start, end = word_places(text)
+        text = cut(text, start[a[a < b]], end[b[a < b] - 1])[2]
     return (text.decode("utf-8", "replace"),)
 
 

@@ -282,3 +282,9 @@ def test_suffix_dedup_of_a_text_of_several_pieces(spark):
     got = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, DOCS), Workspace(spark, "t"), suffix_dedup.DIGEST,
                                       suffix_dedup.digest, length=24, kgram=5).collect()
     assert sorted(map(tuple, got), key=repr) == cut_by_hand(rows, 24)
+
+
+@pytest.mark.parametrize("text", [b"", b" \t\n", b"a", " é\x0bb\x1cc\u00a0d \r\n".encode(), b"x  y\x0c z"])
+def test_places_are_those_of_split(text):
+    starts, ends = suffix_dedup.word_places(text)
+    assert [text[a:b] for a, b in zip(starts, ends, strict=True)] == text.split()
