@@ -21,8 +21,9 @@ from regfacts.plans import dictionary as layouts
 from regfacts.plans import enrich, normalize, silver, validate
 from regfacts.session import settle, work_folder
 from regfacts.sources import writers
+from regfacts.sources.bucketed import publish_buckets
 from regfacts.sources.keyed_table import KeyedTable
-from regfacts.sources.readers import expected_files, read_points, scan_directory
+from regfacts.sources.readers import expected_files, read_points, scan_directory, scan_grid
 from regfacts.streaming import stream_append, stream_append_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +231,36 @@ def attach_entity(spark, sf):
     )
 
 
+def _bucketed_star(spark, sf):
+    """Facts, open dimensions and institutions of the points, stored in buckets."""
+    facts = settle(_silver(spark, sf))
+    unique = settle(silver.distinct_facts(facts))
+    tag = uuid.uuid4().hex
+    named = agg.institutions(facts).select("lei", F.col("country").alias("home"))
+    return publish_buckets(unique, merge.explode_dimensions(unique), named,
+                           f"{work_folder(spark)}/buckets-{tag}", f"star_{tag}", buckets=16)
+
+
+@query(f"""with {SILVER}, one as (select distinct fact_id, country, tpl, num from sv)
+select country, tpl as template_code, count(*) as facts, sum(num) as total from one group by country, tpl""")
+def bucketed_entities(spark, sf):
+    """Facts with their institutions over the stored star, joined bucket by bucket."""
+    return _bucketed_star(spark, sf).facts_with_entity().groupBy(
+        F.col("home").alias("country"), "template_code"
+    ).agg(F.count("*").alias("facts"), F.sum("fact_value_num").alias("total"))
+
+
+@query(f"""with {SILVER}, one as (select distinct fact_id, tpl, open_key from sv),
+d as (select fact_id, unnest(string_split(open_key, ' | ')) as pair from one where open_key is not null)
+select tpl as template_code, split_part(pair, ' = ', 1) as dimension_name, count(*) as facts,
+  count(distinct pair) as dimension_values
+from one left join d using (fact_id) group by 1, 2""")
+def bucketed_dimensions(spark, sf):
+    """Facts with their open dimensions over the stored star; facts without any count too."""
+    return _bucketed_star(spark, sf).facts_with_dimensions().groupBy("template_code", "dimension_name").agg(
+        F.count("*").alias("facts"), F.count_distinct("dimension_value").alias("dimension_values"))
+
+
 # --- normalize ---------------------------------------------------------------
 LEI_FILLED = f"""{POINTS}, {GAPPY},
 f1 as (
@@ -334,6 +365,26 @@ def detect_layout(spark, sf):
     )
 
 
+@query("""with e as (
+  select concat(c_mktsegment, '_', cast(c_nationkey as varchar)) as source_file,
+    case when c_acctbal > 4500 then 1 else 0 end as fits, row_number() over (
+      partition by c_mktsegment, c_nationkey order by c_custkey) as k from customer
+)
+select source_file, count(*) as entities, case when avg(fits) >= 0.5 then 'lei' else 'legacy' end as layout,
+  case when avg(fits) filter (where k <= 10) >= 0.5 then 'lei' else 'legacy' end as layout_of_ten
+from e group by source_file""")
+def detect_layout_of_mixed_files(spark, sf):
+    """Files in which banks stand by LEI and by name: the share over all entities, and over the first ten."""
+    lei = F.concat(F.lit("LEI"), F.lpad(F.col("c_custkey").cast("string"), 17, "0"))
+    rows = fx.table(spark, sf, "customer").select(
+        F.concat("c_mktsegment", F.lit("_"), F.col("c_nationkey").cast("string")).alias("source_file"),
+        F.col("c_custkey").alias("line"),
+        F.when(F.col("c_acctbal") > 4500, lei).otherwise(F.concat(F.lit("Bank "), "c_name")).alias("Entity"))
+    of_ten = project.detect_layout(rows, first=10).withColumnRenamed("layout", "layout_of_ten")
+    return project.detect_layout(of_ten).groupBy("source_file").agg(
+        F.count("*").alias("entities"), F.min("layout").alias("layout"), F.min("layout_of_ten").alias("layout_of_ten"))
+
+
 @query("""with q as (
   select o_custkey, cast(date_trunc('quarter', o_orderdate) as date) as q,
     sum(cast(round(o_totalprice * 100) as bigint)) as cents from orders group by 1, 2
@@ -451,6 +502,23 @@ def validate_records(spark, sf):
     return _records(spark, sf).withColumn("notes", F.array_join("notes", "; "))
 
 
+@query(f"""with {RECORDS}
+select row_number() over (order by template_code) - 1 as pos, template_code, "rows", unmapped_facts, severity, notes,
+  (select count(*) from records) as files, (select sum("rows") from records) as total_rows
+from records""")
+def validation_document(spark, sf):
+    """Summary and records written as one nested document, read back and unnested."""
+    points, known = fx.bronze_points(spark, sf), fx.cell_dictionary(spark, sf)
+    records, summary = validate.validation_report(points, known)
+    report = writers.assemble_report(summary, records, ["template_code"])
+    path = f"{work_folder(spark)}/report-{uuid.uuid4().hex}"
+    writers.write_report(report, path)
+    read = spark.read.schema(report.schema).json(path)
+    return read.select("summary", F.posexplode("records").alias("pos", "record")).select(
+        F.col("pos").cast("bigint").alias("pos"), "record.template_code", "record.rows", "record.unmapped_facts",
+        "record.severity", F.array_join("record.notes", "; ").alias("notes"), "summary.files", "summary.total_rows")
+
+
 @query(f"""with {RECORDS}
 select count(*) as files, (select count(*) from known) as dictionary_templates,
   count(*) as downloaded_templates,
@@ -1060,6 +1128,29 @@ def rejected_sheets(spark, sf):
         "sheet", F.col("n_rows").cast("bigint").alias("n_rows"), "reason")
 
 
+@query("""select case when p_size = 8 then 'no workbook' when p_size = 9 then 'no sheet'
+    when p_size in (10, 11, 12) then 'no place' else 'kept' end as reason,
+  p_brand as value, count(*) as cells, sum(case when p_size between 8 and 12 then 0 else p_partkey end) as places
+from part group by 1, 2""")
+def scan_grid_files(spark, sf):
+    """Worksheet cells in CSV files: those with a place, and those set aside with a reason."""
+    key = F.col("p_partkey").cast("string")
+    path = f"{work_folder(spark)}/grid-{uuid.uuid4().hex}"
+    size = F.col("p_size")
+    fx.table(spark, sf, "part").select(
+        F.when(size != 8, F.lit("book")).alias("workbook"), F.lit(0).alias("sheet_no"),
+        F.when(size != 9, F.col("p_type")).alias("sheet"),
+        F.when(size == 10, F.concat(key, F.lit("th"))).when(size != 11, key).alias("r"),
+        F.when(size == 12, F.lit("-1")).otherwise(F.lit("2")).alias("c"), F.col("p_brand").alias("value"),
+    ).write.option("header", True).csv(path)
+    scan = scan_grid(spark, path, "csv")
+    kept = scan.cells.groupBy(F.lit("kept").alias("reason"), "value").agg(
+        F.count("*").alias("cells"), F.sum("r").alias("places"))
+    aside = scan.rejected.groupBy("reason", "value").agg(
+        F.count("*").alias("cells"), F.lit(0).cast("bigint").alias("places"))
+    return kept.unionByName(aside)
+
+
 # --- responses ---------------------------------------------------------------
 CENTS = "cast(cast(cast(round(o_totalprice * 100) as bigint) as double) as varchar)"
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Defaults for a session made here. A cluster's own settings win where set.
 # Generated methods beyond 8000 bytes are never compiled by the JVM and run an
@@ -104,12 +105,30 @@ def touched_by(stored: DataFrame, batch: DataFrame, by: str) -> DataFrame:
     return stored.filter(hit | F.col(by).isNull() if None in values else hit)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting that `df` is within the bound.
+#: Bounds of a broadcast side: its rows, and the bytes that `row_bytes` adds up.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
-    The count stops at `max_rows` + 1. Beyond it the frame is returned without
-    a hint, and the join is a shuffle join with adaptive skew handling.
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes that a row of `df` takes in memory: 8 a column, and what texts, lists and maps hold."""
+    flat = (T.NumericType, T.BooleanType, T.DatetimeType)
+    size = F.lit(8 * len(df.columns)).cast("bigint")
+    for field in df.schema:
+        if not isinstance(field.dataType, flat):
+            held = F.col("`" + field.name.replace("`", "``") + "`")
+            held = held if isinstance(field.dataType, T.BinaryType) else held.cast("string")
+            size = size + F.coalesce(F.octet_length(held), F.lit(0))
+    return size
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if `df` is within both bounds.
+
+    `df` is written once; rows and bytes are counted on the copy, and the copy is
+    what is joined, so the input does not run again. Beyond a bound the copy is
+    returned without a hint, and the join is a shuffle join with adaptive skew
+    handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    copy = settle(df)
+    rows, size = copy.agg(F.count("*"), F.sum(row_bytes(copy))).first()
+    return F.broadcast(copy) if rows <= max_rows and (size or 0) <= max_bytes else copy

@@ -6,12 +6,13 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regfacts import fixed, schema
 from regfacts.functions import drop_na_tokens, normalize_code
+from regfacts.session import settle
 from regfacts.sources.records import columns_of, file_splits, read_lines, records
 
 JSON_LIST = "array<string>"
@@ -109,6 +110,47 @@ def read_grid(spark: SparkSession, path: str, format: str = "parquet") -> DataFr
     return reader.load(path).filter(F.col("value").isNotNull())
 
 
+@dataclass(frozen=True)
+class GridScan:
+    """Cells of worksheets, and the cells that were set aside with a `reason`."""
+
+    cells: DataFrame
+    rejected: DataFrame
+
+
+def scan_grid(spark: SparkSession, path: str, format: str = "parquet") -> GridScan:
+    """`read_grid` with a side output: cells that have no place are rows of `rejected`.
+
+    Files are read once; cells and rejects are folders of the copy written then.
+    Reasons: `no workbook`, `no sheet`, `no place` (row or column lacking, negative
+    or not a whole number). Rejected cells keep row and column as text and name
+    their file. Blank cells are left out.
+    """
+    typed = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.GRID]) if format == "csv" else schema.GRID
+    reader = spark.read.schema(typed).format(format)
+    if format == "csv":
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+    raw = reader.load(path).select("*", F.col("_metadata.file_path").alias("source_path"))
+
+    def number(c: str) -> Column:
+        return F.expr(f"try_cast({c} as int)")
+
+    def lacks_place(c: str) -> Column:
+        # a cast to int takes blanks around and digits behind a point; a place has neither
+        return ~F.coalesce(F.col(c).cast("string").rlike("^[0-9]+$") & number(c).isNotNull(), F.lit(False))
+
+    reason = (
+        F.when(F.col("workbook").isNull(), "no workbook").when(F.col("sheet").isNull(), "no sheet")
+        .when(lacks_place("r") | lacks_place("c"), "no place")
+    )
+    once = settle(
+        raw.filter(F.col("value").isNotNull()).withColumns({"reason": reason, "aside": reason.isNotNull()})
+        .withColumns({"r": F.col("r").cast("string"), "c": F.col("c").cast("string")}), "aside")
+    cells = once.filter(~F.col("aside")).select(
+        *[number(f.name).alias(f.name) if f.dataType.typeName() == "integer" else f.name for f in schema.GRID])
+    return GridScan(cells, once.filter("aside").drop("aside"))
+
+
 def read_named_csvs(
     spark: SparkSession, root: str, files: Mapping[str, str] = fixed.EXPOSURE_FILES
 ) -> dict[str, DataFrame]:

@@ -13,6 +13,8 @@ NAMES = (
     "stream_append_events", "metadata_coverage", "flatten_responses", "flatten_tables",
     "normalize_export", "run_status", "code_functions", "date_functions", "flatten_responses_data_sets",
     "scan_quoted_files", "scan_rejected_files", "stream_append_keyed_events",
+    "bucketed_entities", "bucketed_dimensions", "validation_document", "scan_grid_files",
+    "detect_layout_of_mixed_files",
 )
 
 
