@@ -28,8 +28,9 @@ class Workspace:
     that no later step reads.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str, batch_rows: int | None = None):
+        """`batch_rows`: rows that a worker gets at once while a table is written; by default the session's."""
+        self.spark, self.batch_rows = spark, batch_rows
         # Spark takes a plain path to be on the default file system: tasks must open it there too
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}")
         self.root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
@@ -38,7 +39,9 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(self.path(name))
+        rows = {"spark__sql__execution__arrow__maxRecordsPerBatch": str(self.batch_rows)} if self.batch_rows else {}
+        with conf(self.spark, **rows):
+            df.write.mode("errorifexists").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -96,7 +99,7 @@ def runs(*keys: np.ndarray) -> np.ndarray:
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int) -> Iterator[pa.Table]:
     """Tables of whole key groups from batches sorted by the keys, each of `limit` rows or little more.
 
-    The caller bounds a group, so a table is bounded too.
+    The caller bounds a group, so a table is bounded too, whatever the size of a batch.
     """
     held: list[pa.RecordBatch] = []
     rows = 0
@@ -115,7 +118,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int)
         return table.slice(0, cut[-1]), table.slice(cut[-1]).combine_chunks().to_batches()
 
     goal = limit
-    for batch in batches:
+    for batch in slices(batches, limit):
         held.append(batch)
         rows += batch.num_rows
         if rows >= goal:

@@ -4,11 +4,13 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from regfacts.llm import relative_parse, simhash, suffix_dedup
-from regfacts.llm.common import Workspace
+from regfacts.llm.common import Workspace, whole_groups
 from regfacts.llm.components import components
 from regfacts.llm.run_index import RunLengthIndex
 
@@ -288,3 +290,12 @@ def test_suffix_dedup_of_a_text_of_several_pieces(spark):
 def test_places_are_those_of_split(text):
     starts, ends = suffix_dedup.word_places(text)
     assert [text[a:b] for a, b in zip(starts, ends, strict=True)] == text.split()
+
+
+def test_whole_groups_are_bounded_by_the_limit_not_by_the_batch():
+    keys = np.repeat(np.arange(4000), 5)
+    batches = pa.table({"k": keys, "n": np.arange(20000)}).to_batches(max_chunksize=10000)
+    tables = list(whole_groups(iter(batches), ["k"], 900))
+    assert max(t.num_rows for t in tables) <= 2 * 900
+    assert np.concatenate([t.column("n").to_numpy() for t in tables]).tolist() == list(range(20000))
+    assert all(a.column("k")[-1] != b.column("k")[0] for a, b in zip(tables, tables[1:], strict=False))
