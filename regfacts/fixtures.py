@@ -336,7 +336,7 @@ def layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Parts of brand 1 are section headers: a label, no code and no data.
     """
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     sheet = F.concat(F.lit("K_"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".00.a"))
     point = F.col("p_partkey").cast("string")
     is_head = F.col("p_brand") == "Brand#1"
@@ -392,8 +392,7 @@ def deep_layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed response per order: shape by status (F standard, O richer, P tables)."""
-    orders = table(spark, sf_dir, "orders")
-    orders = spread(orders)
+    orders = spread(table(spark, sf_dir, "orders"))
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
     entity, status = F.col("o_custkey").cast("string"), F.col("o_orderstatus")
     head = '{"results":[{"result":{"data":{'
@@ -450,6 +449,9 @@ def points_folder(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+#: Bytes of customers a task, as each of them becomes a deep response.
+SPREAD_RESPONSES = 64 << 10
+
 #: Nested groups of the second data set of `deep_responses`.
 DEEP_LEVELS = 40
 
@@ -460,7 +462,8 @@ def deep_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     Buildings come in the richer shape, all others in the standard one. The data
     sets have dictionaries of their own, so one index means two things.
     """
-    customers = table(spark, sf_dir, "customer")
+    # a response is thousands of times the row it comes from
+    customers = spread(table(spark, sf_dir, "customer"), SPREAD_RESPONSES)
     entity = F.col("c_custkey").cast("string")
     cents = F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")
     down = F.repeat(F.lit('{"M":[{"DM2":['), DEEP_LEVELS - 1)

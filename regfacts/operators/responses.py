@@ -32,8 +32,10 @@ LEVELS, LEVELS_AT_MOST = 6, 24
 TEXTS = "map<string,string>"
 VARIANTS = "array<variant>"
 OBJECT = "map<string,variant>"
-NODES = f"array<struct<path:array<int>,groups:{OBJECT},item:variant>>"
 PAIRS = "array<struct<key:string,value:string>>"
+#: Of a group that was walked only its values, measures and registrations go on: its own
+#: item holds all groups below it once more.
+NODES = f"array<struct<path:array<int>,groups:{OBJECT},values:{VARIANTS},names:{PAIRS}>>"
 SELECTS = "array<struct<Value:string,NativeReferenceName:string,Name:string>>"
 GROUP_NAME = r"^G\d+$"
 
@@ -90,7 +92,8 @@ def _walk(start: DataFrame, roots: Column, keep: list[str], finish: Callable[[Da
     state = start.withColumns({"_level": roots, "nodes": F.array().cast(NODES)})
     carried = [c for c in state.columns if c not in keep]
     below = F.flatten(F.transform("_level", _children)).alias("_level")
-    seen = F.concat("nodes", "_level").alias("nodes")
+    seen = F.concat("nodes", F.filter(
+        F.transform("_level", _walked), lambda n: (F.size(n["values"]) > 0) | (F.size(n["names"]) > 0))).alias("nodes")
     others = [c for c in state.columns if c not in ("_level", "nodes")]
     finished, levels = [], LEVELS
     while True:
@@ -112,6 +115,15 @@ def _walk(start: DataFrame, roots: Column, keep: list[str], finish: Callable[[Da
         state = rest.select(*keep, *[F.col(f"_state_{c}").alias(c) for c in carried])
 
 
+def _walked(node: Column) -> Column:
+    """What is kept of a group: path, group values, measures in order, registrations."""
+    measured = F.filter(_list(node["item"], "$.X"), lambda x: F.map_contains_key(_fields(x), F.lit("M0")))
+    return F.struct(
+        node["path"].alias("path"), node["groups"].alias("groups"),
+        F.transform(measured, lambda x: F.try_variant_get(x, "$.M0", "variant")).alias("values"),
+        F.filter(_registrations(node["item"]), _is_group_pair).alias("names"))
+
+
 def _by_path(a: Column, b: Column) -> Column:
     return F.when(a["path"] < b["path"], -1).when(a["path"] > b["path"], 1).otherwise(0)
 
@@ -122,13 +134,8 @@ def _facts(nodes: Column) -> Column:
         F.transform(
             nodes,
             lambda n: F.transform(
-                F.filter(
-                    _list(n["item"], "$.X"), lambda x: F.map_contains_key(_fields(x), F.lit("M0"))
-                ),
-                lambda x: F.struct(
-                    n["path"][0].alias("set"), n["groups"].alias("groups"),
-                    F.try_variant_get(x, "$.M0", "variant").alias("value"),
-                ),
+                n["values"],
+                lambda v: F.struct(n["path"][0].alias("set"), n["groups"].alias("groups"), v.alias("value")),
             ),
         )
     )
@@ -279,8 +286,9 @@ def _richer(df: DataFrame, keep: list[str]) -> DataFrame:
 
     def rows(walked: DataFrame) -> DataFrame:
         def names(outer: Column, n: Column) -> Column:
-            own = F.transform(F.filter("nodes", lambda x: x["path"][0] == n), lambda x: x["item"])
-            return _last_wins(F.filter(F.flatten(F.transform(F.concat(outer, own), _registrations)), _is_group_pair))
+            above = F.filter(F.flatten(F.transform(outer, _registrations)), _is_group_pair)
+            own = F.flatten(F.transform(F.filter("nodes", lambda x: x["path"][0] == n), lambda x: x["names"]))
+            return _last_wins(F.concat(above, own))
 
         walked = walked.withColumns({"_names": F.transform("_outer", names), "_facts": _facts(F.col("nodes"))})
         return walked.withColumn("richer", F.filter(F.transform("_facts", row), lambda r: nonblank(r["Cell"])))
