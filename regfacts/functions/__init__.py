@@ -10,7 +10,7 @@ from regfacts.functions.dates import (  # noqa: F401
     to_date_coerce,
 )
 from regfacts.functions.keys import (  # noqa: F401
-    fact_id, is_open_key, natural_key, parse_open_key,
+    fact_id, is_open_key, natural_key, packed_id, parse_open_key, plain_id,
 )
 from regfacts.functions.labels import (  # noqa: F401
     clean_label, clean_section, dpm_id, infer_unit, safe_name, view_name,

@@ -13,7 +13,7 @@ from regfacts.operators.aggregates import (
     cell_match_counts, distinct_points, open_templates, severity, validation_summary,
 )
 from regfacts.operators.joins import compare_inventories, dictionary_cells, map_to_dictionary
-from regfacts.session import broadcast_if_small
+from regfacts.session import broadcast_if_small, settle
 
 REQUIRED = ("Entity", "Row", "Column")
 RECORD = (
@@ -80,8 +80,8 @@ def validation_report(
     files: DataFrame | None = None,
     broken: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """(records, one-row summary)."""
-    records = validate(points, dictionary, files)
+    """(records, one-row summary). The records are written, so that the points are read once for both."""
+    records = settle(validate(points, dictionary, files))
     return records, validation_summary(records, dictionary, broken)
 
 
