@@ -19,8 +19,14 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of smallest id."""
-    return simhash.one_per_group(docs, Workspace(spark, "pipeline-simhash"))
+    """Of each group of near-duplicates the document of smallest id.
+
+    Groups are components of SimHash fingerprints. Of texts whose shingle sets share 0.8 a
+    few bits miss most, so what is left is grouped once more by the sets themselves.
+    """
+    work = Workspace(spark, "pipeline-simhash")
+    unlike = work.write(simhash.one_per_fingerprint(docs, work), "unlike")
+    return simhash.one_per_group(unlike, Workspace(spark, "pipeline-similar"))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -336,6 +336,21 @@ def one_per_group(docs: DataFrame, work: Workspace, *, shingle_words: int = SHIN
     """
     rows, _, links = similar_links(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity)
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "similar"))
+    return _firsts_of_groups(docs, rows, roots)
+
+
+def one_per_fingerprint(docs: DataFrame, work: Workspace, *, shingle_words: int = 4, radius: int = 4) -> DataFrame:
+    """docs with one row of each component of SimHash fingerprints at most `radius` bits apart; rows as in one_per_group."""
+    rows = work.write(docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                                  fingerprints(F.col("text"), shingle_words).alias("print")), "simhash-prints")
+    prints = work.write(rows.where(F.col("doc_id").isNotNull()).select("print").distinct(), "simhash-distinct")
+    links = work.write(print_links(prints, radius, work), "simhash-links")
+    roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "simhash"))
+    return _firsts_of_groups(docs, rows, roots)
+
+
+def _firsts_of_groups(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """docs with one row of each group, by rows (doc_id, text_hash, print) and the roots of linked prints."""
     chosen = (
         rows.where(F.col("doc_id").isNotNull()).join(roots, F.col("print") == F.col("node"), "left")
         .groupBy(F.coalesce("root", "print").alias("group")).agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))

@@ -262,6 +262,20 @@ def test_parse_joins_factors_and_looks_up_windows_across_ends():
     assert block.parse(body("ab")) == []
 
 
+def test_the_pipeline_groups_by_fingerprints(spark):
+    import corpus_pipeline
+
+    cycle = "alpha beta gamma delta epsilon " * 200
+    more = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, cycle + more), (3, cycle), (5, "one two three four five six seven"), (None, cycle), (8, None), (9, " ")]
+    docs = spark.createDataFrame(rows, DOCS)
+    # few shingles in common, but a fingerprint counts repeats
+    assert (simhash.fingerprint(rows[0][1].encode(), 4) ^ simhash.fingerprint(cycle.encode(), 4)).bit_count() <= 4
+    assert sorted(r.doc_id or 0 for r in simhash.one_per_group(docs, Workspace(spark, "t")).collect()) == [0, 3, 5, 7, 8]
+    out = corpus_pipeline.simhash_stage(spark, docs, "")
+    assert out.columns == docs.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 3, 5, 8]
+
+
 def test_unlike_texts_of_one_id_stay(spark):
     rng = random.Random(11)
     text = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(40))
