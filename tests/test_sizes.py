@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from regfacts import fixtures as fx
 from regfacts import queries as catalog
-from regfacts.operators import responses
-from regfacts.session import spread
+from regfacts import functions as fn
+from regfacts.operators import merge, responses
+from regfacts.plans import validate
+from regfacts.session import deal, spread
+from regfacts.sources import bucketed
 
 
 def test_a_large_scan_is_spread_by_its_bytes(spark, tmp_path):
@@ -17,12 +20,59 @@ def test_a_large_scan_is_spread_by_its_bytes(spark, tmp_path):
     try:
         assert spread(df, size // 40).rdd.getNumPartitions() >= 40
         assert int(spark.conf.get(begin, None) or spark.conf.get("spark.sql.shuffle.partitions")) >= 40
+        # and a step that sorts its partitions several times has twice as many, which are not joined
+        assert deal(spark.range(9).toDF("id"), "id").rdd.getNumPartitions() >= 80
         # small ones go over the cores, as before
         assert spread(df, 10 * size).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.unset(begin) if before is None else spark.conf.set(begin, before)
 
 
+def test_ids_as_bytes_come_back_as_they_were(spark):
+    texts = ["a" * 64, "0123456789abcdef" * 4, "0123456789ABCDEF" * 4, "x" * 64, "", "é", "a" * 63, "a" * 64 + "-2", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fn.packed_id("t").alias("b"))
+    rows = df.select("t", fn.plain_id("b").alias("back"), F.octet_length("b").alias("n")).collect()
+    assert [r.back for r in rows] == texts
+    assert [r.n for r in rows][:3] == [33, 33, 65]
+    assert df.select("b").distinct().count() == len(texts)
+
+
+def test_buckets_grow_with_the_facts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
+    facts = spark.range(100).select(F.concat(F.lit("f"), "id").alias("fact_id"), F.lit("e").alias("lei"))
+    banks = spark.createDataFrame([("e", "GR")], "lei string, home string")
+    made = lambda f: f.select("fact_id", F.lit("d").alias("name"))
+    stored = bucketed.publish_buckets(facts, made, banks, str(tmp_path / "s"), "star_grown", buckets=2)
+    assert len(stored.facts().inputFiles()) == 10
+    assert stored.facts_with_dimensions().filter("name = 'd'").count() == 100
+    assert stored.facts_with_entity().filter("home = 'GR'").count() == 100
+
+
+def test_a_fact_keeps_its_date_beside_its_dimensions_without_a_join(spark):
+    facts = spark.createDataFrame([("a", "x = 1 | y = 2", "2025"), ("b", None, "2025")], "fact_id string, open_key string, d string")
+    bridge = merge.explode_dimensions(facts, "d")
+    assert "Join" not in bridge._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in bridge.collect()) == [("a", "x", "1", "2025"), ("a", "y", "2", "2025")]
+
+
+def test_the_points_are_read_once_for_records_and_summary(spark):
+    names = "source_file string, Entity string, Module string, Cell string, Row string, Column string, FactValue string"
+    points = spark.createDataFrame([("K_01.00_data_points.csv", "e", "m", "c", "10", "20", "1")], names)
+    dictionary = spark.createDataFrame([("K_01.00", "10", "20")], "template_code string, row_code string, col_code string")
+    records, summary = validate.validation_report(points, dictionary)
+    assert len(records.inputFiles()) > 0
+    assert summary.first()["total_rows"] == records.first()["rows"] == 1
+
+
+def test_csv_files_of_a_table_in_one_file_are_several(spark, tmp_path):
+    rows = [(i, i, "FOP"[i % 3], 1.5 * i, "1-URGENT") for i in range(300)]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    spark.createDataFrame(rows, names).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    root = fx.points_folder(spark, str(tmp_path))
+    assert len(spark.read.text(f"{root}/F").inputFiles()) > 1
+    assert catalog.scan_quoted_files(spark, str(tmp_path)).count() == 300
+
+
 def _customers(spark, tmp_path, n=40):
     rows = [(i, f"c{i}", 0, float(i), "BUILDING" if i % 2 else "OTHER") for i in range(n)]
     names = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
