@@ -23,8 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four facts per order line: quantity, price, discount and tax."""
+#: The facts of an order line: (column code, column name, column of lineitem).
+MEASURES = (
+    ("10", "Quantity", "l_quantity"), ("20.0", "Price", "l_extendedprice"),
+    ("0030", "Discount", "l_discount"), ("40", "Tax", "l_tax"),
+)
+
+
+def _template() -> Column:
+    size = F.col("p_size")
+    return F.concat(
+        F.lit("K_"),
+        F.when(size <= 3, (size + 100).cast("string")).otherwise(
+            F.lpad(size.cast("string"), 2, "0")
+        ),
+        F.lit(".00"),
+    )
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their supplier, nation and part."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
@@ -32,29 +50,26 @@ def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    joined = (
+    return (
         spread(lines)
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
+
+
+def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four facts per order line: quantity, price, discount and tax."""
     measures = F.array(
         *[
             F.struct(
                 F.lit(n).alias("n"), F.lit(col).alias("col"), F.lit(label).alias("label"),
                 F.col(c).alias("val"),
             )
-            for n, (col, label, c) in enumerate(
-                (
-                    ("10", "Quantity", "l_quantity"),
-                    ("20.0", "Price", "l_extendedprice"),
-                    ("0030", "Discount", "l_discount"),
-                    ("40", "Tax", "l_tax"),
-                )
-            )
+            for n, (col, label, c) in enumerate(MEASURES)
         ]
     )
-    facts = joined.select("*", F.inline(measures))
+    facts = order_lines(spark, sf_dir).select("*", F.inline(measures))
     cents = F.round(F.col("val") * 100).cast("bigint")
     number = F.col("l_linenumber")
     value = (
@@ -68,20 +83,12 @@ def point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(cents.cast("string"))
     )
-    size = F.col("p_size")
-    template = F.concat(
-        F.lit("K_"),
-        F.when(size <= 3, (size + 100).cast("string")).otherwise(
-            F.lpad(size.cast("string"), 2, "0")
-        ),
-        F.lit(".00"),
-    )
     return facts.select(
         F.concat(F.lit("LEI0"), F.lpad(F.col("l_suppkey").cast("string"), 16, "0")).alias("lei"),
         F.col("s_name").alias("bank"),
         F.col("n_name").alias("country"),
         F.col("p_type").alias("module"),
-        template.alias("template"),
+        _template().alias("template"),
         F.when(
             F.col("l_returnflag") == "R",
             F.concat(F.lit("brand = "), "p_brand", F.lit(" | type = "), "p_type"),
@@ -182,9 +189,12 @@ def cell_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     No cells for line 5 (their facts do not map) and none for size 10 (a template
     the dictionary does not know); sizes from 40 on are open-row templates. Written
-    once, as it stands for a dictionary file.
+    once, as it stands for a dictionary file. Every line has all measures, so lines are made
+    distinct before their measures are listed.
     """
-    rows = point_rows(spark, sf_dir)
+    lines = order_lines(spark, sf_dir).select(_template().alias("template"), "l_linenumber").distinct()
+    rows = lines.select("*", F.inline(F.array(*[
+        F.struct(F.lit(code).alias("column"), F.lit(name).alias("column_name")) for code, name, _ in MEASURES])))
     size = F.regexp_extract("template", r"^K_(\d+)", 1).cast("int")
     cells = rows.filter((F.col("l_linenumber") != 5) & (size != 10)).select(
         F.col("template").alias("template_code"),

@@ -35,19 +35,23 @@ def validate(
     which columns a file has; without it all files are taken as complete.
 
     The points are shuffled once, to their distinct keys. Everything after that
-    works on those counts: cells per file, then the dictionary, then the file.
+    works on those counts: codes as they are written per file, then cells, then the
+    dictionary, then the file. Codes are normalized once per text and file, not once per point.
     """
     keys = ["source_file"]
     if "source_path" in points.columns and (files is None or "source_path" in files.columns):
         keys = ["source_path", "source_file"]
     copies = distinct_points(points, keys)
-    cells = copies.groupBy(
+    cells = copies.groupBy(*keys, "Row", "Column").agg(
+        F.sum("copies").alias("n"), F.sum(F.col("copies") - 1).alias("repeats")
+    ).select(
         *keys,
         normalize_code("Row").alias("row_code"),
         normalize_code("Column").alias("column_code"),
-    ).agg(
-        F.sum("copies").alias("n"), F.sum(F.col("copies") - 1).alias("repeats")
-    ).withColumn("template_code", template_from_file("source_file"))
+        "n",
+        "repeats",
+        template_from_file("source_file").alias("template_code"),
+    )
     matched = map_to_dictionary(cells, dictionary_cells(dictionary))
     counts = cell_match_counts(matched, keys)
     if files is None:

@@ -542,7 +542,8 @@ select count(*) as files, (select count(*) from known) as dictionary_templates,
   cast(sum(duplicate_fact_keys) as bigint) as total_duplicate_fact_keys
 from records""")
 def validation_summary(spark, sf):
-    summary = agg.validation_summary(_records(spark, sf), fx.cell_dictionary(spark, sf))
+    known = fx.cell_dictionary(spark, sf)
+    summary = agg.validation_summary(validate.validate(fx.bronze_points(spark, sf), known), known)
     lists = ("missing_downloads", "extra_downloads")
     return summary.withColumns({c: F.array_join(c, ",") for c in lists})
 

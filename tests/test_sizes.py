@@ -100,3 +100,55 @@ def test_flatten_any_sends_no_rows_to_the_driver(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan
     assert df.count() == 10 * 2 + 10 + 10 * 2
+
+
+def _points_tables(spark, folder, lines):
+    """The tables behind the points: one supplier, one nation, parts of sizes 1, 10 and 45."""
+    row = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, " \
+          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate date"
+    tables = {
+        "lineitem": ([(o, p, 1, n, 1.0, 20.0, 0.05, 0.02, flag, None) for o, p, n, flag in lines], row),
+        "supplier": ([(1, "Bank", 1)], "s_suppkey long, s_name string, s_nationkey int"),
+        "nation": ([(1, "GR")], "n_nationkey int, n_name string"),
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "part": ([(1, "B", "T", 1), (2, "B", "T", 10), (3, "B", "T", 45), (4, "B", "T", None)],
+                 "p_partkey long, p_brand string, p_type string, p_size int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_the_dictionary_lists_the_measures_of_distinct_lines_only(spark, tmp_path, monkeypatch):
+    sf = _points_tables(spark, tmp_path, [(o, p, n, "N") for o in range(3) for p in (1, 2, 3, 4) for n in (1, 5)])
+    seen = []
+    monkeypatch.setattr(fx, "settle", lambda df: seen.append(df) or df)
+    cells = {(r.template_code, r.row_code, r.col_code) for r in fx.cell_dictionary(spark, sf).collect()}
+    codes = ("10", "20.0", "0030", "40")
+    assert cells == {("K_60.00", "10", "10"), *[("K_101.00", "10", c) for c in codes], *[("K_45.00", "OPEN_0007", c) for c in codes]}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    # the measures are unnested above an aggregate of the lines
+    assert "Aggregate" in plan[plan.index("Generate"):]
+
+
+def test_the_summary_builds_the_dictionary_once(spark, tmp_path, monkeypatch):
+    sf = _points_tables(spark, tmp_path, [(1, 1, 1, "N"), (1, 1, 1, "N"), (2, 2, 5, "R")])
+    made, plain = [], fx.cell_dictionary
+    monkeypatch.setattr(fx, "cell_dictionary", lambda *a: made.append(a) or plain(*a))
+    row = catalog.validation_summary(spark, sf).first()
+    assert len(made) == 1
+    assert (row.files, row.total_rows, row.total_duplicate_fact_keys, row.errors) == (2, 12, 4, 1)
+
+
+def test_codes_are_normalized_per_text_and_file_not_per_point(spark):
+    names = "source_file string, Entity string, Module string, Cell string, Row string, Column string, FactValue string"
+    file = "K_01.00_data_points.csv"
+    points = spark.createDataFrame(
+        [(file, "e", "m", "c", r, "20", v) for r in ("10", " 10 ", "10.0", None, "") for v in ("1", "2", "2")], names)
+    known = spark.createDataFrame([("K_01.00", "10", "20")], "template_code string, row_code string, col_code string")
+    records = validate.validate(points, known)
+    row = records.first()
+    assert (row.rows, row.facts_mapped, row.malformed_facts, row.duplicate_fact_keys) == (15, 9, 6, 7)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    # the points are counted below the patterns
+    assert "Aggregate [" in plan[plan.rindex("RLIKE"):]
