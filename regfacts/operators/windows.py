@@ -300,16 +300,17 @@ def _sheets_with_header(grid: DataFrame) -> DataFrame:
     """Per sheet: size, title and header row; null where no row can be the header."""
     sheet = ["workbook", "sheet"]
     text = pystrip("value")
-    title = F.when(
-        (F.col("c") == 0) & (F.col("r") < 3) & (text != ""),
-        F.struct("r", text.alias("text")),
-    )
+    title = F.when((F.col("c") == 0) & (F.col("r") < 3) & (text != ""), text)
     is_code = (F.col("c") >= 3) & (F.col("r") >= 3) & text.rlike(r"^\d{4}$")
-    # one row per sheet row first: a large sheet is combined in the tasks that read it
-    rows = grid.groupBy(*sheet, "r").agg(
-        F.max("c").alias("c"), F.min(title).alias("title"), F.count_if(is_code).alias("codes"))
-    r, codes = F.col("r"), F.col("codes")
-    return rows.groupBy(*sheet).agg(
+    # one row per title and per sheet row with a code, and one for all other cells of a sheet: a large
+    # sheet is combined in the tasks that read it. Titles are keys, as a text or struct that is
+    # aggregated makes Spark sort all cells; codes are in other rows than titles
+    place = F.when(F.coalesce(is_code, F.lit(False)) | title.isNotNull(), F.col("r"))
+    rows = grid.groupBy(*sheet, place.alias("at"), title.alias("text")).agg(
+        F.max("r").alias("r"), F.max("c").alias("c"), F.count_if(is_code).alias("codes"))
+    r, codes = F.col("at"), F.col("codes")
+    titled = F.when(F.col("text").isNotNull(), F.struct("at", "text")).alias("title")
+    return rows.select("*", titled).groupBy(*sheet).agg(
         (F.max("r") + 1).alias("n_rows"),
         (F.max("c") + 1).alias("n_cols"),
         F.coalesce(F.min("title")["text"], F.first("sheet")).alias("template_name"),
@@ -352,19 +353,21 @@ def locate_header(grid: DataFrame) -> DataFrame:
     r, c, top = F.col("r"), F.col("c"), F.col("codes_row")
     rows_label = (c == 1) & (text == "Rows")
     row_number = (c == 2) & normalize_code("value", "dictionary").isNotNull()
-    start = F.when(rows_label, F.struct(r, F.lit(0).alias("prio"), (r + 1).alias("start"))).when(
-        row_number, F.struct(r, F.lit(1).alias("prio"), r.alias("start"))
-    )
+    # the row, then labels before numbers, as one number: it is aggregated without a sort
+    number = r.cast("bigint") * 2
+    start = F.when(rows_label, number).when(row_number, number + 1)
+    first = F.col("_start")
     is_property = (r == top + 1) & (c >= 3) & F.col("value").startswith("(")
     found = (
         grid.join(broadcast_if_small(sheets.select(*sheet, "codes_row")), sheet)
         .filter(r > top)
         .filter(rows_label | row_number | is_property)
         .groupBy(*sheet)
-        .agg(
-            F.min(start)["start"].alias("data_start"),
-            F.min(F.when(is_property, c)).alias("prop_col"),
+        .agg(F.min(start).alias("_start"), F.min(F.when(is_property, c)).alias("prop_col"))
+        .withColumn(
+            "data_start", (F.floor(first / 2) + 1 - first % 2).cast(grid.schema["r"].dataType)
         )
+        .drop("_start")
     )
     return sheets.join(found, sheet, "left").select(
         *sheet,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from regfacts import fixtures as fx
 from regfacts import queries as catalog
 from regfacts import functions as fn
-from regfacts.operators import merge, responses
+from regfacts.operators import merge, responses, windows
 from regfacts.plans import validate
 from regfacts.session import deal, spread
 from regfacts.sources import bucketed
@@ -152,3 +152,28 @@ def test_codes_are_normalized_per_text_and_file_not_per_point(spark):
     plan = records._jdf.queryExecution().optimizedPlan().toString()
     # the points are counted below the patterns
     assert "Aggregate [" in plan[plan.rindex("RLIKE"):]
+
+
+GRID = "workbook string, sheet_no int, sheet string, r int, c int, value string"
+
+
+def _sheet(name, cells):
+    return [("x_CODISPILLAR3_y.xlsx", 0, name, r, c, v) for r, c, v in cells]
+
+
+def test_the_header_is_found_without_sorting_the_cells(spark):
+    body = [(r, c, "x") for r in range(6, 12) for c in (4, 5)]
+    grid = spark.createDataFrame([
+        # two titles: the upper one counts; label and number meet in row 7: data start below the label
+        *_sheet("a", [(2, 0, "low"), (0, 0, " "), (1, 0, " top "), (5, 3, "0010"), (6, 9, "(q)"), (7, 1, "Rows"), (7, 2, "1"), *body]),
+        # no code in the usual rows: the row with the most, the upper of equals; a number before any label
+        *_sheet("b", [(20, 3, "0010"), (30, 3, "0010"), (30, 4, "0020"), (40, 3, "0010"), (40, 4, "0020"), (33, 2, "7"), (35, 1, "Rows")]),
+        # neither label nor number nor title
+        *_sheet("c", [(3, 3, "0010"), (9, 4, None), (None, 7, "0010"), (4, None, "0010")]),
+    ], GRID)
+    found = {r.sheet: (r.n_rows, r.template_name, r.codes_row, r.data_start, r.prop_col) for r in windows.locate_header(grid).collect()}
+    assert found == {"a": (12, "top", 5, 8, 9), "b": (41, "b", 30, 33, 8), "c": (10, "c", 3, 4, 8)}
+    assert windows.locate_header(grid).schema["data_start"].dataType.simpleString() == "int"
+    plan = windows._sheets_with_header(grid)._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate" in lowest
