@@ -108,6 +108,8 @@ def build_dictionary(grid: DataFrame) -> DataFrame:
     grid = grid.withColumn("module_name", module_from_file(workbook)).filter(
         F.col("module_name").isNotNull()
     )
+    # eight steps read the cells: written once, a sheet's rows side by side
+    grid = settle(grid)
     # both are one small record per sheet or coded column; without a broadcast a
     # large sheet would meet its header in one task
     headers = broadcast_if_small(settle(locate_header(grid)))

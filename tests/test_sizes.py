@@ -6,6 +6,7 @@ from regfacts import fixtures as fx
 from regfacts import queries as catalog
 from regfacts import functions as fn
 from regfacts.operators import merge, responses, windows
+from regfacts.plans import dictionary as layouts
 from regfacts.plans import validate
 from regfacts.session import deal, spread
 from regfacts.sources import bucketed
@@ -177,3 +178,14 @@ def test_the_header_is_found_without_sorting_the_cells(spark):
     plan = windows._sheets_with_header(grid)._jdf.queryExecution().executedPlan().toString()
     lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
     assert "HashAggregate" in lowest
+
+
+def test_a_dictionary_reads_its_cells_once(spark, monkeypatch):
+    cells = [(4, 3, "Amount"), (5, 3, "0010"), (7, 1, "Rows"), (8, 1, "one"), (8, 2, "10"), (8, 3, "4 EUR"), (9, 5, "x")]
+    grid = spark.createDataFrame(_sheet("K_01.00.a", cells), GRID)
+    settled, plain = [], layouts.settle
+    monkeypatch.setattr(layouts, "settle", lambda df: settled.append(df.columns) or plain(df))
+    made = layouts.build_dictionary(grid)
+    assert settled[0] == [*grid.columns, "module_name"]
+    assert [(r.row_code, r.col_code) for r in made.collect()] == [("0010", "0010")]
+    assert "ExistingRDD" not in made._jdf.queryExecution().optimizedPlan().toString()
