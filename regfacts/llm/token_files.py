@@ -125,7 +125,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end: int)
                             [[name], [row - len(held_docs)], [len(held_docs)], [n]])
 
     row = 0
-    for batch in slices(batches):
+    # a batch's distinct stretches are looked up once: fewer of them in larger batches
+    for batch in slices(batches, 1000):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = encoder(path).encode(texts)
         for doc, own, text in zip(batch.column("doc_id").to_pylist(), ids, texts, strict=True):

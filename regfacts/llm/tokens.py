@@ -12,15 +12,19 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Stretches that one worker remembers, the first it meets; later ones are encoded once a batch.
 CACHE = 1_000_000
 _STRETCH = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _UNSURE = re.compile("[\x1c-\x1f]")
+#: Between the stretches of a text that is sure, which does not hold it.
+_CUT = "\x1f"
+_TWO_SPACES = re.compile(r"\s\s")
 
 
 class Encoder:
@@ -34,52 +38,80 @@ class Encoder:
         self.spaces = bool(self.tokenizer.encode(" a b", add_special_tokens=False).ids
                            != self.tokenizer.encode("a b", add_special_tokens=False).ids)
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {}
+        # number of every remembered stretch, and the ids of all of them with their starts
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _marked(self, text: str) -> str:
+        """A sure text with _CUT between its stretches, or between some of them."""
+        if not self.spaces:
+            # a stretch that still holds other white space is split by the tokenizer
+            return text.replace(" ", _CUT).replace("\n", _CUT)
+        if _TWO_SPACES.search(text):
+            return _CUT.join(_STRETCH.findall(text))
+        # single white space: a space goes with what follows, a line break stands alone
+        return text.replace(" ", f"{_CUT} ").replace("\n", f"{_CUT}\n{_CUT}")
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
-        split = _STRETCH.findall if self.spaces else str.split
-        unsure = bool(_UNSURE.search("".join(texts))) or any(s in t for s in self.special for t in texts)
-        parts = [None if unsure and (_UNSURE.search(t) or any(s in t for s in self.special)) else split(t) for t in texts]
-        flat = pa.array([s for p in parts if p for s in p], pa.string()).dictionary_encode()
+        whole = [False] * len(texts)
+        if _UNSURE.search("".join(texts)) or any(s in t for s in self.special for t in texts):
+            whole = [bool(_UNSURE.search(t)) or any(s in t for s in self.special) for t in texts]
+        marked = pa.array(["" if w else self._marked(t) for t, w in zip(texts, whole, strict=True)], pa.large_string())
+        parts = pc.split_pattern(marked, _CUT)
+        flat = parts.flatten().dictionary_encode()
         # all ids of the batch: those of its distinct stretches, taken stretch by stretch
-        ids = self._of(flat.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ids, size = self._of(flat.dictionary.to_pylist())
         begin = np.cumsum(size) - size
         which = flat.indices.to_numpy()
         length = size[which]
-        ends = np.cumsum(length)
-        at = np.repeat(begin[which] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        all_ids = np.frombuffer(b"".join(ids), np.uint32)[at]
-        stretches = np.cumsum([0] + [len(p) if p else 0 for p in parts])
-        cut = np.append(0, ends)[stretches].tolist()
-        return [self._whole(t) if p is None else all_ids[a:b] for t, p, a, b in zip(texts, parts, cut, cut[1:], strict=False)]
-
-    def _of(self, stretches: list[str]) -> list[bytes]:
-        """Ids of distinct stretches."""
-        known = self.known
-        new = [s for s in stretches if s not in known]
-        if len(known) + len(new) > CACHE:
-            known = _Layered(known)
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[s] = array("I", e.ids).tobytes()
-        return [known[s] for s in stretches]
-
-
-class _Layered(dict):
-    """Stretches of one batch over those remembered."""
-
-    def __init__(self, below: dict[str, bytes]):
-        super().__init__()
-        self.below = below
-
-    def __missing__(self, key: str) -> bytes:
-        return self.below[key]
+        all_ids = ids[_places(begin[which], length)]
+        stretches = np.append(0, np.cumsum(pc.list_value_length(parts).to_numpy()))
+        cut = np.append(0, np.cumsum(length))[stretches].tolist()
+        return [self._whole(t) if w else all_ids[a:b] for t, w, a, b in zip(texts, whole, cut, cut[1:], strict=False)]
+
+    def _of(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct stretches, one after the other, and how many each has."""
+        number = np.fromiter(map(self.known.get, stretches, repeat(-1)), np.int64, len(stretches))
+        is_new = number < 0
+        new = [stretches[i] for i in np.flatnonzero(is_new).tolist()]
+        found = [e.ids for at in range(0, len(new), 4096)
+                 for e in self.tokenizer.encode_batch_fast(new[at:at + 4096], add_special_tokens=False)]
+        new_size = np.fromiter(map(len, found), np.int64, len(found))
+        new_ids = np.fromiter(chain.from_iterable(found), np.uint32, int(new_size.sum()))
+        old = number[~is_new]
+        size = np.empty(len(stretches), np.int64)
+        size[is_new], size[~is_new] = new_size, self.starts[old + 1] - self.starts[old]
+        ids = np.empty(int(size.sum()), np.uint32)
+        begin = np.cumsum(size) - size
+        ids[_places(begin[is_new], new_size)] = new_ids
+        ids[_places(begin[~is_new], size[~is_new])] = self.ids[_places(self.starts[old], size[~is_new])]
+        self._remember(new, new_ids, new_size)
+        return ids, size
+
+    def _remember(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n = len(self.known)
+        new = new[:max(0, CACHE - n)]
+        ends = self.starts[n] + np.cumsum(size[:len(new)])
+        last = int(ends[-1]) if len(new) else int(self.starts[n])
+        self.starts, self.ids = _room(self.starts, n + len(new) + 1), _room(self.ids, last)
+        self.ids[self.starts[n]:last] = ids[:last - int(self.starts[n])]
+        self.starts[n + 1:n + 1 + len(new)] = ends
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
+
+
+def _places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of ranges, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _room(held: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for n values, and as many again where it grows."""
+    return held if n <= len(held) else np.append(held, np.zeros(2 * n - len(held), held.dtype))
 
 
 _ENCODERS: dict[str, Encoder] = {}

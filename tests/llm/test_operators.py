@@ -294,6 +294,24 @@ def test_encoder_equals_the_library():
         assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_remembers_up_to_its_bound(name, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 40)
+    e = tokens.Encoder(tokens.vocabulary(name))
+    texts = [f"w{i} one two\nw{i + 1} (w{i})\n\n w{i}" + " " * (i % 3) for i in range(60)]
+    for at in (0, 7, 20, 0):
+        some = texts[at:at + 15] + ["", "x"]
+        assert [x.tolist() for x in e.encode(some)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    assert len(e.known) == 40
+
+
+def test_encoder_needs_no_pattern_for_single_white_space(monkeypatch):
+    e = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    monkeypatch.setattr(tokens, "_STRETCH", None)  # a text of single white space needs no pattern
+    texts = ["one two\nthree two", "two\tone\nthree two ", " two"]
+    assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_pipeline_keeps_columns_until_packing(spark, tmp_path):
     import corpus_pipeline
 
