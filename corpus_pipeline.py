@@ -22,11 +22,11 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Of each group of near-duplicates the document of smallest id.
 
     Groups are components of SimHash fingerprints. Of texts whose shingle sets share 0.8 a
-    few bits miss most, so what is left is grouped once more by the sets themselves.
+    few bits miss most, so what is left is grouped once more by the sets themselves. Ids
+    and hashes tell what is left; texts are neither shuffled nor copied between the two.
     """
-    work = Workspace(spark, "pipeline-simhash")
-    unlike = work.write(simhash.one_per_fingerprint(docs, work), "unlike")
-    return simhash.one_per_group(unlike, Workspace(spark, "pipeline-similar"))
+    unlike = simhash.first_of_fingerprints(docs, Workspace(spark, "pipeline-simhash"))
+    return simhash.one_per_group(docs, Workspace(spark, "pipeline-similar"), among=unlike)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -285,19 +285,29 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
 
 
 def similar_links(docs: DataFrame, work: Workspace, *, shingle_words: int, similarity: float,
-                  text_block: int = TEXT_BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  text_block: int = TEXT_BLOCK, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (doc_id, text_hash, print), the first id of each print, and links (x, y) of similar prints.
 
     A print is a hash of the set of shingles. Linked are sets that share `similarity` of
     their union. Sets that meet in a band and agree in enough minima are candidates,
     and all sets of a group of candidates are compared with one another as they are.
-    Rows of null id are not linked.
+    Rows of null id are not linked. With `among` (id, hash) only rows of these ids and text
+    hashes count; texts are not shuffled to find them, and a copy of them is not needed.
     """
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    rows = work.write(texts.mapInArrow(partial(_sketches, shingle_words=shingle_words), _SKETCH), "prints")
-    firsts = work.write(rows.where(F.col("doc_id").isNotNull()).groupBy("print").agg(
-        F.min(F.struct("doc_id", "text_hash", "minima")).alias("m")).select(
-        "print", F.col("m.doc_id").alias("first"), F.col("m.text_hash").alias("text_hash"), "m.minima"), "firsts")
+    sketches = work.write(texts.mapInArrow(partial(_sketches, shingle_words=shingle_words), _SKETCH), "prints")
+    # without the minima, which are most of the sketches
+    rows = sketches.drop("minima")
+    if among is not None:
+        rows = rows.join(among.select(F.col("id").alias("doc_id"), F.col("hash").alias("text_hash")),
+                         ["doc_id", "text_hash"], "left_semi")
+    rows = work.write(rows, "rows")
+    of_print = rows.where(F.col("doc_id").isNotNull()).groupBy("print").agg(F.min(F.struct("doc_id", "text_hash")).alias("m")).select(
+        "print", "m.doc_id", "m.text_hash")
+    # equal rows have equal minima, and meet on the keys of the join
+    firsts = work.write(sketches.join(of_print, ["print", "doc_id", "text_hash"]).groupBy(
+        "print", "doc_id", "text_hash").agg(F.min("minima").alias("minima")).withColumnRenamed("doc_id", "first"), "firsts")
+    work.drop("prints")
     bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(
         F.substring("minima", 1 + 4 * BAND_ROWS * i, 4 * BAND_ROWS)).alias("kept")) for i in range(BANDS)])
     keyed = firsts.select("print", F.explode(bands).alias("t")).select("print", "t.band", "t.kept")
@@ -317,7 +327,8 @@ def similar_links(docs: DataFrame, work: Workspace, *, shingle_words: int, simil
                 .repartition("root", "part").sortWithinPartitions("part", "root"))
     links = work.write(compared.mapInArrow(
         partial(_confirm, shingle_words=shingle_words, similarity=similarity), _LINK).distinct(), "links")
-    return rows.drop("minima"), firsts.select("print", "first"), links
+    work.drop("buckets", "candidates", "members", "member-texts", "group-bytes")
+    return rows, firsts.select("print", "first"), links
 
 
 def similar_components(docs: DataFrame, work: Workspace, **options) -> DataFrame:
@@ -327,34 +338,48 @@ def similar_components(docs: DataFrame, work: Workspace, **options) -> DataFrame
 
 
 def one_per_group(docs: DataFrame, work: Workspace, *, shingle_words: int = SHINGLE_WORDS,
-                  similarity: float = SIMILARITY) -> DataFrame:
+                  similarity: float = SIMILARITY, among: DataFrame | None = None) -> DataFrame:
     """docs with one row of each group of near duplicates: that of the smallest id, then of the smallest text hash.
 
     Groups are of texts, not of ids: unlike texts that share an id are groups of their
     own and all stay. Equal rows (id and text) are one. Rows of null id stay. All
-    texts without words are one group. The input's columns may have any name.
+    texts without words are one group. The input's columns may have any name. With `among`
+    (id, hash) the groups are of these rows only, and the others are left out but for rows of null id.
     """
-    rows, _, links = similar_links(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity)
+    rows, _, links = similar_links(docs.select("doc_id", "text"), work, shingle_words=shingle_words, similarity=similarity,
+                                   among=among)
+    work.drop("firsts")
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "similar"))
-    return _firsts_of_groups(docs, rows, roots)
+    return _kept(docs, _firsts_of_groups(rows, roots))
 
 
-def one_per_fingerprint(docs: DataFrame, work: Workspace, *, shingle_words: int = 4, radius: int = 4) -> DataFrame:
+def one_per_fingerprint(docs: DataFrame, work: Workspace, **options) -> DataFrame:
     """docs with one row of each component of SimHash fingerprints at most `radius` bits apart; rows as in one_per_group."""
+    return _kept(docs, first_of_fingerprints(docs, work, **options))
+
+
+def first_of_fingerprints(docs: DataFrame, work: Workspace, *, shingle_words: int = 4, radius: int = 4) -> DataFrame:
+    """(id, hash) of the rows that one_per_fingerprint keeps but for those of null id: ids and text hashes, written."""
     rows = work.write(docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                                   fingerprints(F.col("text"), shingle_words).alias("print")), "simhash-prints")
     prints = work.write(rows.where(F.col("doc_id").isNotNull()).select("print").distinct(), "simhash-distinct")
     links = work.write(print_links(prints, radius, work), "simhash-links")
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), Workspace(work.spark, "simhash"))
-    return _firsts_of_groups(docs, rows, roots)
+    firsts = work.write(_firsts_of_groups(rows, roots), "simhash-firsts")
+    work.drop("buckets", "simhash-prints", "simhash-distinct", "simhash-links")
+    return firsts
 
 
-def _firsts_of_groups(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """docs with one row of each group, by rows (doc_id, text_hash, print) and the roots of linked prints."""
-    chosen = (
+def _firsts_of_groups(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, hash) of one row of each group, by rows (doc_id, text_hash, print) and the roots of linked prints."""
+    return (
         rows.where(F.col("doc_id").isNotNull()).join(roots, F.col("print") == F.col("node"), "left")
         .groupBy(F.coalesce("root", "print").alias("group")).agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
         .select(F.col("one.doc_id").alias("id"), F.col("one.text_hash").alias("hash")))
+
+
+def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of docs of the chosen (id, hash), of equal ones one, and those of null id."""
     held = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
     # dropDuplicates combines equal rows before the shuffle
     kept = held.where(F.col("id").isNotNull()).join(chosen, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])

@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyarrow.fs import FileSelector
 
 from regfacts.llm import relative_parse, simhash, suffix_dedup
-from regfacts.llm.common import Workspace, whole_groups
+from regfacts.llm.common import Workspace, file_system, whole_groups
 from regfacts.llm.components import components
 from regfacts.llm.run_index import RunLengthIndex
 
@@ -276,6 +277,36 @@ def test_the_pipeline_groups_by_fingerprints(spark):
     assert out.columns == docs.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 3, 5, 8]
 
 
+def test_near_dedup_of_the_pipeline_neither_copies_texts_nor_keeps_its_tables(spark, monkeypatch):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    rows = [(4, " ".join(words)), (2, " ".join([*words[:59], "x"])), (2, " ".join(words)), (2, " ".join(words)), (None, "a"),
+            (None, "a"), (6, None), (5, " "), (7, "b c d e f g h"), (8, "b c d e f g h"), (8, "other words of one id too"),
+            (9, " ".join(words[::-1])), (10, " ".join([*words[:0:-1], "y"]))]
+    docs = spark.createDataFrame(rows, DOCS)
+    two = simhash.one_per_group(simhash.one_per_fingerprint(docs, Workspace(spark, "t")), Workspace(spark, "t"))
+    written, write = [], Workspace.write
+    monkeypatch.setattr(Workspace, "write", lambda self, df, name: written.append((self, name, df.columns)) or write(self, df, name))
+    got = corpus_pipeline.simhash_stage(spark, docs, "")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+    # texts are written for groups of candidates only
+    assert {name for _, name, columns in written if "text" in columns} == {"member-texts"}
+    left = {name for work, name, _ in written if file_system(work.path(name))[0].get_file_info(
+        file_system(work.path(name))[1]).type.name == "Directory"}
+    assert not left & {"prints", "firsts", "member-texts", "members", "buckets", "simhash-prints", "simhash-links"}
+
+
+def test_suffix_dedup_drops_the_tables_of_its_first_pass(spark):
+    work = Workspace(spark, "t")
+    docs = spark.createDataFrame([(1, "abcdefgh" * 9), (2, "xabcdefgh" * 9), (3, None)], DOCS)
+    got = suffix_dedup.repeated_bytes(docs, work, suffix_dedup.DIGEST, suffix_dedup.digest, length=24, kgram=5)
+    fs, root = file_system(work.root)
+    names = {x.base_name for x in fs.get_file_info(FileSelector(root))}
+    assert "first" in names and not names & {"frames", "shared", "live", "contents", "number"}
+    assert got.count() == 3
+
+
 def test_unlike_texts_of_one_id_stay(spark):
     rng = random.Random(11)
     text = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(40))
