@@ -2,8 +2,11 @@
 
 import gzip
 import io
+import math
 import random
 import zlib
+from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
@@ -327,3 +330,45 @@ def test_pipeline_keeps_columns_until_packing(spark, tmp_path):
         assert now.columns == docs.columns, name
     assert {r.doc_id for r in now.collect()} - {None} == set(range(20)) - {5}
     assert corpus_pipeline.run(spark, str(tmp_path)).where(F.col("length") > 0).count() >= 19
+
+
+def test_only_answers_that_a_block_lacks_are_kept(spark):
+    # a pair seen once goes back only to held-out texts that have it
+    rng = random.Random(5)
+    texts = {i: " ".join(f"w{rng.randrange(40)}" for _ in range(30)) for i in range(100, 160)}
+    batch = odd_docs(spark, list(texts.items())).where("doc_id >= 100").select(
+        pitman_yor.is_held_out(F.col("doc_id")).alias("held_out"), "text", (F.col("doc_id") % 3).cast("int").alias("block"))
+    wants = batch.repartition(2, "block").sortWithinPartitions("block").mapInArrow(
+        partial(pitman_yor._wants, shards=4), pitman_yor.WANTS)
+    counted = wants.repartition(3, "shard").sortWithinPartitions("shard").mapInArrow(pitman_yor._count, pitman_yor.COUNTED)
+    got = {(r.context, r.word): (r.n, sorted(r.blocks)) for r in counted.collect() if r.is_pair}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 10 == 0}
+    n, blocks, asked = Counter(), defaultdict(set), defaultdict(set)
+    for i, text in texts.items():
+        for pair in zip(*(x.tolist() for x in pitman_yor.pairs_of(text.encode())), strict=True):
+            n[pair] += i not in held
+            blocks[pair].add(i % 3)
+            if i in held:
+                asked[pair].add(i % 3)
+    want = {p: (k, sorted(blocks[p] if k > 1 else asked[p])) for p, k in n.items() if k > 1 or k and asked[p]}
+    assert held and got == want and len(want) < len(n)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 900])
+def test_scores_are_the_sums_of_fitted_probabilities(spark, block_bytes):
+    rng = random.Random(8)
+    texts = {i: " ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(30)) for i in range(100, 160)}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 10 == 0}
+    n = Counter()
+    for i, text in texts.items():
+        for pair in zip(*(x.tolist() for x in pitman_yor.pairs_of(text.encode())), strict=True):
+            n[pair] += i not in held
+    frame = spark.createDataFrame([(*p, k, [0]) for p, k in n.items()], "context long, word long, n long, blocks array<int>")
+    answers, n_train, _ = pitman_yor.fit(frame, Workspace(spark, "t"))
+    chance = {(r.context, r.word): r.probability for r in answers.collect()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    scored = pitman_yor.score_documents(docs, Workspace(spark, "t", drop_shuffles=True), block_bytes=block_bytes).collect()
+    assert len(scored) == len(texts) and {r.train_tokens for r in scored} == {n_train}
+    for r in scored:
+        pairs = zip(*(x.tolist() for x in pitman_yor.pairs_of(texts[r.doc_id].encode())), strict=True)
+        assert abs(r.score - sum(math.log10(chance[p]) for p in pairs)) < 1e-9
