@@ -42,7 +42,7 @@ END = b"\n"
 START = b""
 START_HASH, END_HASH = (int(np.uint64(xxhash.xxh3_64_intdigest(x)).view(np.int64)) for x in (START, END))
 #: Bytes of text of one block.
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 32 << 20
 #: Sweeps in all, and those at their beginning that are not averaged.
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
@@ -161,12 +161,13 @@ def _wants(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
 
     def flush() -> Iterator[pa.RecordBatch]:
         pair, code = count()
-        hashes, left, right, n = ids.hashes(), pair >> 31, pair & (1 << 31) - 1, code >> 1
-        context, word = hashes[left], hashes[right]
-        yield from _packed(shards, block, pair_key(context, word), context, word, code)
+        hashes, first, last = ids.hashes(), pair >> 31, pair & (1 << 31) - 1
         # every token has one context: starts are counted there, all else as words
-        seen = np.bincount(right, n, len(hashes)).astype(np.int64)
-        seen[ids[START]] = n[left == ids[START]].sum()
+        seen = np.bincount(last, code >> 1, len(hashes)).astype(np.int64)
+        seen[ids[START]] = (code[first == ids[START]] >> 1).sum()
+        context, word = hashes[first], hashes[last]
+        del pair, first, last
+        yield from _packed(shards, block, pair_key(context, word), context, word, code)
         yield from _packed(shards, block, hashes, None, hashes, seen)
 
     for batch in slices(batches):
@@ -175,7 +176,7 @@ def _wants(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
             if b != block:
                 if block is not None:
                     yield from flush()
-                block, ids, counted, size = b, Ids(), (none, none), 0
+                block, ids, counted, size = b, Ids(), (none, none), 0  # frees those of the block before
             own = ids.of(text)
             fresh.append((own[:-1] << 31 | own[1:]) << 1 | int(held))
             size += len(own)
@@ -322,16 +323,26 @@ OF_CONTEXT = [f"more{k}" for k in KEPT]
 OF_WORD = [f"{c}{k}" for k in KEPT for c in ("customers", "tables")]
 
 
-def probability(model: Model, n, kept, seen, more: list, word: list):
+def backed_off(model: Model, seen, more):
+    """What a context of `seen` tokens and `more` tables leaves to its parent (seen 0: all)."""
+    return (STRENGTH + model.discount * more) / (STRENGTH + seen)
+
+
+def of_parent(model: Model, sweep: tuple[float, float], customers, tables):
+    """A word's probability in the parent after a kept sweep."""
+    base, everyone = sweep
+    return (customers - model.parent_discount * tables + base) / (STRENGTH + everyone)
+
+
+def probability(model: Model, n, kept, seen, left: list, parents: list):
     """The average over kept sweeps of a pair's probability, for columns as for arrays.
 
-    n: the pair's count; kept: its tables over the kept sweeps; seen: the count of
-    its context (0: the context gives all to the parent); more and word: see OF_CONTEXT, OF_WORD.
+    n: the pair's count; kept: its tables over the kept sweeps; seen: the count of its
+    context; left and parents: `backed_off` and `of_parent` of each kept sweep.
     """
     share = 0.0
-    for i, (base, customers) in enumerate(model.sweeps):
-        parent = (word[2 * i] - model.parent_discount * word[2 * i + 1] + base) / (STRENGTH + customers)
-        share = share + (STRENGTH + model.discount * more[i]) / (STRENGTH + seen) * parent
+    for back, parent in zip(left, parents, strict=True):
+        share = share + back * parent
     # without a count there are no tables, and the pair's own share is zero
     return (n - model.discount * (kept / float(len(KEPT)))) / (STRENGTH + seen) + share / float(len(KEPT))
 
@@ -407,8 +418,10 @@ def fit(pairs: DataFrame, work: Workspace) -> tuple[DataFrame, int, int]:
         model.words, "word", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in (*OF_CONTEXT, *OF_WORD, "guests")}
     return met.select("context", "word", "blocks", F.coalesce("seen", F.lit(0)).cast("long").alias("seen"), probability(
-        model, F.col("n"), F.col("kept"), zero["guests"], [zero[c] for c in OF_CONTEXT],
-        [zero[c] for c in OF_WORD]).alias("probability")), model.n_train, model.vocabulary
+        model, F.col("n"), F.col("kept"), zero["guests"],
+        [backed_off(model, zero["guests"], zero[c]) for c in OF_CONTEXT],
+        [of_parent(model, x, zero[f"customers{k}"], zero[f"tables{k}"]) for k, x in zip(KEPT, model.sweeps, strict=True)],
+    ).alias("probability")), model.n_train, model.vocabulary
 
 
 #: Kinds of the rows that meet in a block, in order, and the values of the first two.
@@ -490,23 +503,28 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
                         len(VALUES[kind]), -1).astype(np.float64)))
                 continue
             if tables is None:
-                tables = sorted_table(PAIRS), sorted_table(WORDS)
-            (pair_keys, by_pair), (word_keys, by_word) = tables
+                word_keys, (seen, *counts) = sorted_table(WORDS)
+                more, by_word = counts[:len(OF_CONTEXT)], counts[len(OF_CONTEXT):]
+                # once a word, not once a token
+                left = [backed_off(model, seen, m) for m in more]
+                parents = [of_parent(model, x, *by_word[2 * i:2 * i + 2]) for i, x in enumerate(model.sweeps)]
+                tables = *sorted_table(PAIRS), word_keys, seen, np.log10(seen + 0.1) - base_total, left, parents
+                del counts, more, by_word
+            pair_keys, by_pair, word_keys, seen, base_of, left, parents = tables
             own = [ids.of(text) for text in utf8(some.column("text"))]
             new = ids.hashes(len(hashes))
             hashes, places = np.append(hashes, new), np.append(places, place(word_keys, new))
             held = some.column("held_out").to_numpy(zero_copy_only=False)
             ends = np.cumsum([0, *(len(x) - 1 for x in own)])
-            left, right = (np.concatenate(x) for x in ([x[:-1] for x in own], [x[1:] for x in own]))
-            j = place(pair_keys, pair_key(hashes[left], hashes[right]))
+            before, word = (np.concatenate(x) for x in ([x[:-1] for x in own], [x[1:] for x in own]))
+            j = place(pair_keys, pair_key(hashes[before], hashes[word]))
+            before, word = places[before], places[word]
             n, kept = by_pair[:, j]
             # a training text's pair without an answer was seen once
             single = (j == len(pair_keys)) & np.repeat(~held, np.diff(ends))
             n, kept = np.where(single, 1.0, n), np.where(single, float(len(KEPT)), kept)
-            context, word = by_word[:, places[left]], by_word[:, places[right]]
-            score = np.log10(probability(model, n, kept, context[0], list(context[1:1 + len(OF_CONTEXT)]),
-                                         list(word[1 + len(OF_CONTEXT):])))
-            known, base = word[0] > 0, np.log10(word[0] + 0.1) - base_total
+            score = np.log10(probability(model, n, kept, seen[before], [x[before] for x in left], [x[word] for x in parents]))
+            known, base = seen[word] > 0, base_of[word]
             for r, (doc, x, y) in enumerate(zip(some.column("doc_id").to_pylist(), ends[:-1].tolist(),
                                                 ends[1:].tolist(), strict=True)):
                 rows.append((doc, bool(held[r]), y - x, int(known[x:y].sum()), float(base[x:y].sum()),
