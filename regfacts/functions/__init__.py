@@ -10,7 +10,7 @@ from regfacts.functions.dates import (  # noqa: F401
     to_date_coerce,
 )
 from regfacts.functions.keys import (  # noqa: F401
-    fact_id, is_open_key, natural_key, packed_id, parse_open_key, plain_id,
+    BITMAP_BITS, fact_id, is_open_key, is_set, natural_key, packed_id, parse_open_key, plain_id,
 )
 from regfacts.functions.labels import (  # noqa: F401
     clean_label, clean_section, dpm_id, infer_unit, safe_name, view_name,
@@ -22,5 +22,5 @@ from regfacts.functions.responses import (  # noqa: F401
     canonical_field, decode_index, has_restart_token, is_number, response_messages, truthy,
 )
 from regfacts.functions.text import (  # noqa: F401
-    clean_text, drop_na_tokens, is_missing, nonblank, pystrip, to_json_list,
+    clean_text, drop_na_tokens, is_missing, nonblank, pack_texts, pystrip, to_json_list, unpack_texts,
 )
