@@ -1,8 +1,13 @@
 """Rows move as seldom, and as narrow, as their step allows."""
 
+from pyspark.sql import functions as F
+
+from regfacts import functions as fn
 from regfacts.operators import windows
 from regfacts.plans import silver
 from regfacts.session import settle
+from regfacts.sources import bucketed
+from regfacts.sources.keyed_table import KeyedTable
 
 
 def _plan(df) -> str:
@@ -30,3 +35,28 @@ def test_last_rows_are_the_same_with_and_without_a_filter(spark, monkeypatch):
     for bitmaps in (windows.FILTER_BITMAPS, 1, 0):
         monkeypatch.setattr(windows, "FILTER_BITMAPS", bitmaps)
         assert sorted(map(tuple, windows.keep_last_of_few(df, ["k", "j"], ["n"]).collect()), key=str) == expected
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    texts = ["", None, "\x1f", "\x1b", "\x1bN", "\x1b0\x1f1", "é\x1b1", "plain", "\x1f\x1f", "|"]
+    rows = [(a, 1, b, c) for a in texts for b in texts for c in ("k", None)]
+    df = spark.createDataFrame(rows, "a string, n int, b string, k string")
+    packed = fn.pack_texts(df, ["k"])
+    assert len(packed.columns) == 3
+    back = fn.unpack_texts(packed.repartition(3, "k"), df)
+    assert back.columns == df.columns
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    # bytes that are no UTF-8 too
+    raw = df.select(F.unhex(F.lit("ff41")).cast("string").alias("a"), F.lit("b").alias("b"))
+    assert fn.unpack_texts(fn.pack_texts(raw), raw).select(F.hex(F.col("a").cast("binary"))).first()[0] == "FF41"
+
+
+def test_wide_rows_are_packed_for_their_shuffles(spark, tmp_path):
+    facts = _facts(spark, [f"i{n}" for n in range(9)]).drop("source_file", "line")
+    for part, keys in (("by_id", ["fact_id"]), ("by_lei", ["lei"])):
+        bucketed.save_buckets(facts, f"moves_{part}", str(tmp_path / part), keys, 2)
+        assert sorted(spark.table(f"moves_{part}").select(*facts.columns).collect(), key=str) == sorted(facts.collect(), key=str)
+    table = KeyedTable(spark, str(tmp_path / "keyed"), "fact_id", ("reference_date", "template_code"))
+    table.merge(facts)
+    stored = table.read().select(*[F.col(c).cast("string") for c in facts.columns])
+    assert sorted(stored.collect(), key=str) == sorted(facts.collect(), key=str)
