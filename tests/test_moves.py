@@ -6,7 +6,7 @@ from regfacts import functions as fn
 from regfacts.operators import windows
 from regfacts.plans import silver
 from regfacts.session import settle
-from regfacts.sources import bucketed
+from regfacts.sources import bucketed, writers
 from regfacts.sources.keyed_table import KeyedTable
 
 
@@ -60,3 +60,21 @@ def test_wide_rows_are_packed_for_their_shuffles(spark, tmp_path):
     table.merge(facts)
     stored = table.read().select(*[F.col(c).cast("string") for c in facts.columns])
     assert sorted(stored.collect(), key=str) == sorted(facts.collect(), key=str)
+
+
+def test_facts_of_a_first_load_are_written_once(spark, tmp_path, monkeypatch):
+    facts = _facts(spark, [f"i{n}" for n in range(8)]).drop("source_file", "line")
+    small = {
+        "dim_run": "run_id string", "extraction_manifest": "reference_date string, template_code string",
+        "dim_institution": "lei string", "dim_template": "template_code string",
+        "dim_cell": "template_code string, row_code string, col_code string"}
+    tables = {name: spark.createDataFrame([], schema) for name, schema in small.items()}
+    star = writers.Star(**tables, fact=facts, fact_dimension=facts)
+    kept, write = [], writers.settle
+    monkeypatch.setattr(writers, "settle", lambda df, *by: kept.append(df.columns) or write(df, *by))
+    writers.write_star(star, str(tmp_path / "star"))
+    assert not [c for c in kept if "fact_id" in c]
+    at = str(tmp_path / "star")
+    assert sorted(r.fact_id for r in writers.stored(spark, at, "fact").collect()) == [f"i{n}" for n in range(8)]
+    bridge = writers.stored(spark, at, "fact_dimension")
+    assert sorted((r.fact_id, str(r.reference_date)) for r in bridge.collect()) == [(f"i{n}", "2025") for n in (1, 3, 5, 7)]
