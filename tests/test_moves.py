@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from regfacts import fixtures as fx
 from regfacts import functions as fn
 from regfacts.operators import windows
 from regfacts.plans import silver
-from regfacts.session import settle
+from regfacts.session import settle, spread_join
 from regfacts.sources import bucketed, writers
 from regfacts.sources.keyed_table import KeyedTable
 
@@ -78,3 +79,37 @@ def test_facts_of_a_first_load_are_written_once(spark, tmp_path, monkeypatch):
     assert sorted(r.fact_id for r in writers.stored(spark, at, "fact").collect()) == [f"i{n}" for n in range(8)]
     bridge = writers.stored(spark, at, "fact_dimension")
     assert sorted((r.fact_id, str(r.reference_date)) for r in bridge.collect()) == [(f"i{n}", "2025") for n in (1, 3, 5, 7)]
+
+
+def test_a_join_beyond_a_broadcast_moves_rows_once(spark, tmp_path):
+    for name, key in (("l", "l_key"), ("p", "p_key")):
+        spark.range(1000).toDF(key).write.parquet(str(tmp_path / name))
+    rows, other = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "p"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        assert "BroadcastHashJoin" in _plan(spread_join(rows, other, "l_key", "p_key"))
+        spark.conf.set(limit, "1")
+        joined = spread_join(rows, other, "l_key", "p_key")
+        assert _plan(joined).count("Exchange") == 2 and joined.count() == 1000
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_order_lines_are_the_same_whatever_is_broadcast(spark, tmp_path):
+    spark.createDataFrame([(n, n % 7, 1, 1, "N", 1.0, 2.0, 0.1, 0.2, None) for n in range(60)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "Bank", 1)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "GR")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(n, f"B{n}", "T", n) for n in range(6)],
+        "p_partkey long, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before, found = spark.conf.get(limit), []
+    try:
+        for value in (before, "1"):
+            spark.conf.set(limit, value)
+            found.append(sorted(fx.order_lines(spark, str(tmp_path)).select("l_orderkey", "p_brand").collect()))
+    finally:
+        spark.conf.set(limit, before)
+    assert found[0] == found[1] and len(found[0]) == 52
